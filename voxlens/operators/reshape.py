@@ -27,12 +27,12 @@ def flatten_threads(df: DataFrame, col: str = "threads") -> DataFrame:
     )
 
 
-def project_fields(df: DataFrame, mapping: dict[str, str], json_col: str | None = None) -> DataFrame:
+def project_fields(df: DataFrame, mapping: dict[str, str], json_col: str | None = None, keep: list[str] = ()) -> DataFrame:
     """Pick nested fields by path and name them. With ``json_col`` the paths are looked
     up in that JSON text column, otherwise in struct columns."""
     if json_col is None:
-        return df.select(*[F.col(path).alias(name) for name, path in mapping.items()])
-    return df.select(*[
+        return df.select(*keep, *[F.col(path).alias(name) for name, path in mapping.items()])
+    return df.select(*keep, *[
         F.get_json_object(json_col, f"$.{path}").alias(name) for name, path in mapping.items()
     ])
 

@@ -5,24 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from voxlens.functions.text import _col
+from voxlens.functions.text import SPACE, _col
+
+
+def strip(c: Column) -> Column:
+    """Without white space at both ends (any Unicode space, not only the blank)."""
+    return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
 def parse_keywords(c) -> Column:
     """Comma list to trimmed items, single quotes removed."""
-    return F.transform(F.split(F.translate(_col(c), "'", ""), ","), lambda w: F.trim(w))
+    return F.transform(F.split(F.translate(_col(c), "'", ""), ","), strip)
 
 
 def last_line(c) -> Column:
     """Last line of the answer, without surrounding white space."""
-    lines = F.split(F.regexp_replace(_col(c), r"^\s+|\s+$", ""), "\n")
-    return F.regexp_replace(F.element_at(lines, -1), r"^\s+|\s+$", "")
+    lines = F.split(strip(_col(c)), "\n")
+    return strip(F.element_at(lines, -1))
 
 
 def valid_keywords(tokens, n: int = 5) -> Column:
     """True for exactly ``n`` items, none blank. NULL is not valid."""
     tokens = _col(tokens)
-    ok = (F.size(tokens) == n) & F.forall(tokens, lambda w: F.length(F.trim(w)) > 0)
+    ok = (F.size(tokens) == n) & F.forall(tokens, lambda w: F.length(strip(w)) > 0)
     return F.coalesce(ok, F.lit(False))
 
 

@@ -108,14 +108,13 @@ def resolve_keywords(
 ) -> tuple[DataFrame, DataFrame]:
     """Keywords for each requested topic, and the grown cache.
 
-    ``topics`` has a column ``hobby``. Topics with a valid cache row keep it; the others,
-    each once, go to ``generator`` (topics to answer texts) and are asked again while the
+    ``topics`` has a column ``hobby``. Topics found in the cache keep the newest row; the
+    others, each once, go to ``generator`` (topics to answer texts) and are asked again while the
     answer is not exactly ``n`` non-blank items. New rows are fixed by a checkpoint before
     they are used twice: a generator need not answer alike after a task retry. Topics
     without a valid answer come back with NULL keywords and are not stored.
     """
     known = latest_per_key(cache, "hobby", "created_at")
-    known = known.where(valid_keywords(gather_keywords(n), n))
     missing = anti_match(topics.select("hobby").where("hobby is not null").distinct(), known, "hobby")
 
     def ask(batches):

@@ -61,7 +61,7 @@ def letter_encoder(texts: pd.Series) -> list:
 
 @query("x5_embed_encoder", """
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS dim,
-       round((length(text) - length(replace(text, substr('abcde', i, 1), ''))) / length(text), 4) AS weight
+       round(CAST(CAST((length(text) - length(replace(text, substr('abcde', i, 1), ''))) / length(text) AS FLOAT) AS DOUBLE), 4) AS weight
 FROM documents, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS i)
 """)
 def x5_encoder(spark, sf):

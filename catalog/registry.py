@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from voxlens.sources.files import read_parquet
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -18,5 +20,9 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+# Tables of whole texts: the work per row is heavy, so a small one is spread over the cores.
+TEXTS = {"documents", "pages", "conversations"}
+
+
 def table(spark, sf_dir: str, name: str):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", spread=name in TEXTS)

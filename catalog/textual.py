@@ -128,7 +128,8 @@ SELECT doc_id, k[1] AS keyword1, k[2] AS keyword2, k[3] AS keyword3, k[4] AS key
        array_to_string(list_filter(k[1:5], lambda w: w IS NOT NULL AND w <> ''), '|') AS gathered FROM t
 """)
 def c19(spark, sf):
-    spread = docs(spark, sf, *answers.spread_keywords(answers.parse_keywords("text")))
+    items = docs(spark, sf, answers.parse_keywords("text").alias("k"))
+    spread = items.select("doc_id", *answers.spread_keywords("k"))
     return spread.withColumn("gathered", F.array_join(answers.gather_keywords(), "|"))
 
 

@@ -26,9 +26,11 @@ def last_line(c) -> Column:
 
 def valid_keywords(tokens, n: int = 5) -> Column:
     """True for exactly ``n`` items, none blank. NULL is not valid."""
-    tokens = _col(tokens)
-    ok = (F.size(tokens) == n) & F.forall(tokens, lambda w: F.length(strip(w)) > 0)
-    return F.coalesce(ok, F.lit(False))
+    # A blank or missing item counts more than n, so the sum is n only in the good case.
+    total = F.aggregate(
+        _col(tokens), F.lit(0), lambda acc, w: acc + F.when(F.length(strip(w)) > 0, 1).otherwise(n + 1)
+    )
+    return F.coalesce(total == n, F.lit(False))
 
 
 def spread_keywords(tokens, n: int = 5, prefix: str = "keyword") -> list[Column]:

@@ -145,16 +145,13 @@ def classify_brand(c, first=("apple", ()), second=("samsung", ()), case_sensitiv
     )
 
 
-def lexicon_counts(tokens, positive, negative) -> tuple[Column, Column]:
-    tokens = F.coalesce(_col(tokens), F.array().cast("array<string>"))
+def lexicon_sentiment(tokens, positive, negative) -> Column:
+    """positive / negative by the larger number of listed words, neutral on a tie. The
+    tokens are walked once: only the difference of the two counts matters."""
     positive, negative = list(positive), list(negative)
-    return (
-        F.size(F.filter(tokens, lambda w: w.isin(positive))),
-        F.size(F.filter(tokens, lambda w: w.isin(negative))),
+    balance = F.aggregate(
+        F.coalesce(_col(tokens), F.array().cast("array<string>")), F.lit(0),
+        lambda acc, w: acc + w.isin(positive).cast("int") - w.isin(negative).cast("int"),
     )
-
-
-def lexicon_sentiment(tokens, positive, negative) -> Column:
-    """positive / negative by the larger number of listed words, neutral on a tie."""
-    pos, neg = lexicon_counts(tokens, positive, negative)
-    return F.when(pos > neg, "positive").when(pos < neg, "negative").otherwise("neutral")
+    names = F.array(F.lit("negative"), F.lit("neutral"), F.lit("positive"))
+    return F.element_at(names, (F.signum(balance) + 2).cast("int"))

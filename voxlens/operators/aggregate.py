@@ -11,13 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from voxlens.functions.arrays import each
 from voxlens.functions.text import words
 from voxlens.operators.lookup import gram_rows
 from voxlens.operators.ranking import is_numeric, top_per_group
 
-RANGES = 200
-
-
 def _rows() -> Column:
     return F.count(F.lit(1))
 
@@ -83,59 +81,47 @@ def describe(df: DataFrame) -> DataFrame:
     return _long(df.agg(*aggs), [f.name for f in fields], DESCRIBE_FIELDS)
 
 
-def quantiles(df: DataFrame, col, ps=(0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
+def quantiles(df: DataFrame, col, ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10_000) -> DataFrame:
     """Exact quantiles with linear interpolation: (p, value).
 
-    Values are first reduced to (value, count). Approximate cut points then place them
-    in ranges of about equal size; counts per range tell which few ranges hold the
-    wanted ranks, and only those are ordered. No task sees all values.
+    An approximate pass gives, for each quantile, two values that surely enclose it. A
+    second pass counts the rows below and keeps only rows in between (about
+    ``20 / accuracy`` of them), which are reduced to (value, count) and ranked. Nothing
+    but these few rows is shuffled, and equal values are counted before that.
     """
     value = (F.col(col) if isinstance(col, str) else col).cast("double")
-    values = df.select(value.alias("v")).where("v is not null").groupBy("v").agg(_rows().alias("n"))
-    steps = [i / RANGES for i in range(1, RANGES)]
-    cuts = values.agg(F.percentile_approx("v", steps, 10000)).scalar()
-    ranged = values.withColumn("cuts", cuts).select(
-        "v", "n", F.size(F.filter("cuts", lambda c: c <= F.col("v"))).alias("range")
-    )
-    # At most RANGES rows from here to the join.
-    upto = Window.partitionBy(F.lit(0)).orderBy("range")
-    every = Window.partitionBy(F.lit(0))
-    sizes = ranged.groupBy("range").agg(F.sum("n").alias("size"))
-    sizes = sizes.select(
-        "range", "size",
-        (F.sum("size").over(upto) - F.col("size")).alias("before"),
-        F.sum("size").over(every).alias("total"),
-    )
-    positions = F.array(*[F.lit(float(p)) for p in ps])
-
-    def spot(p):
-        return p * (F.col("total") - 1)
-
-    wanted = F.flatten(F.transform(positions, lambda p: F.array(F.floor(spot(p)), F.ceil(spot(p)))))
-    sizes = sizes.where(F.exists(
-        wanted, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("size"))
-    ))
-    inside = Window.partitionBy("range").orderBy("v")
-    placed = ranged.join(F.broadcast(sizes), "range").select(
-        "v", "total", "n", (F.col("before") + F.sum("n").over(inside)).alias("last")
-    )
+    rows = df.select(value.alias("v")).where("v is not null")
+    slack = 10.0 / accuracy
+    ends = [x for p in ps for x in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    found = rows.agg(F.struct(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("v", ends, accuracy).alias("b")
+    )).scalar()
+    total, small = found["n"], found["n"] < accuracy
+    # A small table is taken whole, the slack would be less than a row.
+    low = [F.when(small, float("-inf")).otherwise(found["b"][2 * i]) for i in range(len(ps))]
+    high = [F.when(small, float("inf")).otherwise(found["b"][2 * i + 1]) for i in range(len(ps))]
+    below = rows.agg(*[F.count(F.when(F.col("v") < low[i], 1)).alias(f"below__{i}") for i in range(len(ps))])
+    near = [F.when(F.col("v").between(low[i], high[i]), i) for i in range(len(ps))]
+    kept = rows.select("v", F.explode(F.array_compact(F.array(*near))).alias("i"))
+    counted = kept.groupBy("i", "v").agg(_rows().alias("c"))
+    upto = Window.partitionBy("i").orderBy("v")
+    # One row per quantile from here on.
+    starts = _long(below, list(range(len(ps))), ["below"], "i").select("i", "below", total.alias("n"))
+    ranked = counted.withColumn("last", F.sum("c").over(upto)).join(F.broadcast(starts), "i")
+    spot = F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1) * (F.col("n") - 1)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((rank < F.col("last")) & (rank >= F.col("last") - F.col("n")), F.col("v")))
+        last = F.col("below") + F.col("last")
+        return F.max(F.when((rank < last) & (rank >= last - F.col("c")), F.col("v")))
 
-    one = placed.agg(F.max("total").alias("total"), *[
-        x for i, p in enumerate(ps) for x in (
-            at(F.floor(spot(F.lit(float(p))))).alias(f"lo__{i}"),
-            at(F.ceil(spot(F.lit(float(p))))).alias(f"hi__{i}"),
-        )
-    ])
-    return one.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(float(p)).alias("p"),
-            (F.col(f"lo__{i}") + (F.col(f"hi__{i}") - F.col(f"lo__{i}"))
-             * (spot(F.lit(float(p))) - F.floor(spot(F.lit(float(p)))))).alias("value"),
-        ) for i, p in enumerate(ps)
-    ])))
+    picked = ranked.groupBy("i").agg(
+        at(F.floor(spot)).alias("lo"), at(F.ceil(spot)).alias("hi"), F.first(spot - F.floor(spot)).alias("part")
+    )
+    names = F.array(*[F.lit(float(p)) for p in ps])
+    return picked.select(
+        F.element_at(names, F.col("i") + 1).alias("p"),
+        (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value"),
+    )
 
 
 def quantiles_approx(df: DataFrame, col: str, ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10000) -> DataFrame:
@@ -234,7 +220,7 @@ def overlap_count(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 def word_rows(df: DataFrame, col: str, keep: list[str] = ()) -> DataFrame:
     """One row per word; a text column is cut at white space, a token array is taken as is."""
-    tokens = F.col(col) if isinstance(df.schema[col].dataType, T.ArrayType) else words(col)
+    tokens = each(col) if isinstance(df.schema[col].dataType, T.ArrayType) else words(col)
     return df.select(*keep, F.explode(tokens).alias("word"))
 
 
@@ -310,7 +296,7 @@ def answer_stability(df: DataFrame, key: str, run: str, items: str) -> DataFrame
     """Share of the runs of an input in which each answer item occurs."""
     runs = df.groupBy(key).agg(F.count_distinct(run).alias("n_runs"))
     hits = (
-        df.select(key, run, F.explode(items).alias("item")).distinct()
+        df.select(key, run, F.explode(each(items)).alias("item")).distinct()
         .groupBy(key, "item").agg(_rows().alias("n_hits"))
     )
     return hits.join(runs, key).select(

@@ -16,6 +16,7 @@ from voxlens.functions.text import grams, without, word_tokens
 from voxlens.operators.aggregate import _rows, word_counts, word_rows
 from voxlens.operators.ranking import top_per_group
 from voxlens.operators.skew import HOT_SHARE, hot_rows, join_split, number_rows
+from voxlens.session import stage
 
 
 def tokenize(df: DataFrame, col: str, out: str = "words") -> DataFrame:
@@ -55,8 +56,10 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 
 def idf_weights(counts: DataFrame, n_docs: int | DataFrame, key: str) -> DataFrame:
     """``tf * ln((n + 1) / (df + 1))`` in long form. ``n_docs`` counts all documents, also
-    those without a term. Terms found nearly everywhere do not gather in one task."""
+    those without a term. The counts are staged, so the texts are cut into terms once; terms
+    found nearly everywhere do not gather in one task."""
     n = n_docs.agg(_rows()).scalar() if isinstance(n_docs, DataFrame) else F.lit(n_docs)
+    counts = stage(counts, "term_counts")
     joined = join_split(counts, document_frequency(counts), "term", "df")
     weight = F.col("tf") * F.log((n + 1) / (F.col("df") + 1))
     return joined.select(key, "term", "tf", "df", weight.alias("weight"))
@@ -100,6 +103,7 @@ def tfidf_l2(counts: DataFrame, n_docs: int | DataFrame, key: str) -> DataFrame:
     """``tf * (ln((1 + n) / (1 + df)) + 1)``, each document scaled to length one. The
     window per document holds the terms of one text only."""
     n = n_docs.agg(_rows()).scalar() if isinstance(n_docs, DataFrame) else F.lit(n_docs)
+    counts = stage(counts, "term_counts")
     raw = join_split(counts, document_frequency(counts), "term", "df").select(
         key, "term", (F.col("tf") * (F.log((n + 1) / (F.col("df") + 1)) + 1)).alias("w")
     )
@@ -116,7 +120,7 @@ def mean_tfidf(df: DataFrame, key: str, col: str, n: int, by: str | None = None,
         total = df.agg(_rows()).scalar()
         mean = weights.groupBy("term").agg((F.sum("weight") / total).alias("mean_weight"))
         return mean.orderBy(F.desc("mean_weight"), "term").limit(n)
-    counts = word_rows(tokens, "t", [by, key]).groupBy(by, key, "word").agg(_rows().alias("tf"))
+    counts = stage(word_rows(tokens, "t", [by, key]).groupBy(by, key, "word").agg(_rows().alias("tf")), "term_counts")
     dfs = counts.groupBy(by, "word").agg(_rows().alias("df"))
     sizes = df.groupBy(by).agg(_rows().alias("n_docs"))
     # Group and word form one key; a word of every document of a large group is hot.

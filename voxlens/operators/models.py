@@ -20,7 +20,7 @@ from voxlens.operators.features import class_tfidf, count_vectors, remove_stopwo
 from voxlens.operators.ranking import split
 from voxlens.operators.skew import HOT_SHARE, hot_rows
 from voxlens.sources.files import run_sql
-from voxlens.session import cut
+from voxlens.session import stage
 
 
 def text_vectors(df: DataFrame, col: str, words: list[str] | None = None, vocab_size: int = 1 << 18, min_df: float = 1.0):
@@ -106,17 +106,19 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
     The table is written once, placed by document. A round joins it with the term factors
     and sums per document, then with the document factors and sums per term; both sums
     are combined before any shuffle. Terms of very many documents meet their rows in
-    place. Only k x k numbers come to the driver.
+    place. Factors are staged after each half round, which ends their lineage and tells
+    the planner their size. Only k x k numbers come to the driver.
     """
     w, h = [f"w{i}" for i in range(k)], [f"h{i}" for i in range(k)]
+    weights = stage(weights.select(key, "term", "weight"), "nmf_input")
     terms = weights.groupBy("term").agg(_rows().alias("n"))
-    hot_terms = cut(hot_rows(terms, "n", HOT_SHARE).select("term", F.lit(True).alias("hot")))
-    x = weights.select(key, "term", "weight").join(F.broadcast(hot_terms), "term", "left")
-    x = cut(x.withColumn("hot", F.coalesce("hot", F.lit(False))).repartition(key))
-    docs = cut(x.select(key).distinct().select(key, *[_start(key, i, seed).alias(c) for i, c in enumerate(w)]))
-    tops = cut(x.groupBy("term").agg(F.max("hot").alias("hot")).select(
+    hot_terms = hot_rows(terms, "n", HOT_SHARE).select("term", F.lit(True).alias("hot"))
+    x = weights.join(F.broadcast(hot_terms), "term", "left")
+    x = stage(x.withColumn("hot", F.coalesce("hot", F.lit(False))).repartition(key), "nmf_weights")
+    docs = stage(x.select(key).distinct().select(key, *[_start(key, i, seed).alias(c) for i, c in enumerate(w)]), "nmf_documents")
+    tops = stage(x.groupBy("term").agg(F.max("hot").alias("hot")).select(
         "term", "hot", *[_start("term", i, seed + 1).alias(c) for i, c in enumerate(h)]
-    ))
+    ), "nmf_terms")
     norm = x.agg(F.sum(F.col("weight") * F.col("weight"))).first()[0]
     errors = []
     tiny = F.lit(1e-12)
@@ -134,12 +136,12 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
         cold = tops.where(~F.col("hot")).drop("hot")
         met = x.where("hot").join(hot, "term").unionByName(x.where(~F.col("hot")).join(cold, "term"))
         sums = met.groupBy(key).agg(*[F.sum(F.col("weight") * F.col(c)).alias(n) for c, n in zip(h, num)])
-        docs = cut(docs.join(sums, key).select(key, *updated(w, num, _gram(tops, "h", k))))
+        docs = stage(docs.join(sums, key).select(key, *updated(w, num, _gram(tops, "h", k))), "nmf_documents")
 
         met = x.join(docs, key)
         sums = met.groupBy("term").agg(*[F.sum(F.col("weight") * F.col(c)).alias(n) for c, n in zip(w, num)])
         inner = _gram(docs, "w", k)
-        both = cut(tops.join(sums, "term").select("term", "hot", *updated(h, num, inner), *num))
+        both = stage(tops.join(sums, "term").select("term", "hot", *updated(h, num, inner), *num), "nmf_terms")
         cross = both.agg(reduce(lambda a, b: a + b, [F.sum(F.col(a) * F.col(b)) for a, b in zip(h, num)])).first()[0]
         tops = both.drop(*num)
         outer = _gram(tops, "h", k)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxlens.functions.arrays import each
 from voxlens.functions.text import drop_special, has_special
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -14,8 +15,8 @@ ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 def flatten_threads(df: DataFrame, col: str = "threads") -> DataFrame:
     """Thread documents (map of video to thread) to one row per comment."""
-    videos = df.select(F.explode(col).alias("video_id", "thread"))
-    comments = videos.select("video_id", "thread", F.explode("thread.comments").alias("c"))
+    videos = df.select(F.explode(each(col)).alias("video_id", "thread"))
+    comments = videos.select("video_id", "thread", F.explode(each("thread.comments")).alias("c"))
     return comments.select(
         "video_id",
         F.col("thread.title").alias("title"),
@@ -64,9 +65,8 @@ def with_constant(df: DataFrame, name: str, value) -> DataFrame:
 def zip_fields(df: DataFrame, cols: list[str], keep: list[str] = ()) -> DataFrame:
     """Parallel field lists to rows, cut to the shortest list."""
     shortest = F.least(*[F.size(c) for c in cols]) if len(cols) > 1 else F.size(cols[0])
-    even = df.where(shortest > 0).select(
-        *keep, *[F.slice(F.col(c), F.lit(1), shortest).alias(c) for c in cols]
-    )
+    # No list: NULL, an empty list: nothing to slice; neither gives a row.
+    even = df.select(*keep, *[F.slice(F.col(c), F.lit(1), shortest).alias(c) for c in cols])
     return even.select(*keep, F.inline(F.arrays_zip(*cols)))
 
 

@@ -85,7 +85,9 @@ def sentiment_words(df: DataFrame, item: str, text: str, positive=wordlists.POSI
     scored = df.select(item, tokens.alias("tokens")).withColumn(
         "sentiment", lexicon_sentiment("tokens", positive, negative)
     )
-    polar = scored.where(F.col("sentiment") != "neutral")
+    # Neutral texts lose their words here instead of by a filter, which would be moved
+    # below the projection and clean every text a second time.
+    polar = scored.withColumn("tokens", F.when(F.col("sentiment") != "neutral", F.col("tokens")))
     return aggregate.word_counts_by(polar, "tokens", [item, "sentiment"], n, exclude)
 
 

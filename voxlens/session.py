@@ -47,6 +47,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: computed once however often
+    it is used, pruned by column on every read, and with a known size for join planning."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: rows and their order are fixed from here on, also when
     executors are lost."""

@@ -81,47 +81,65 @@ def describe(df: DataFrame) -> DataFrame:
     return _long(df.agg(*aggs), [f.name for f in fields], DESCRIBE_FIELDS)
 
 
-def quantiles(df: DataFrame, col, ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10_000) -> DataFrame:
-    """Exact quantiles with linear interpolation: (p, value).
+def quantiles_of(df: DataFrame, cols: dict[str, Column], ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10_000) -> DataFrame:
+    """Exact quantiles with linear interpolation of several columns: (column, p, value).
 
     An approximate pass gives, for each quantile, two values that surely enclose it. A
-    second pass counts the rows below and keeps only rows in between (about
+    second pass counts the rows below and keeps only values in between (about
     ``20 / accuracy`` of them), which are reduced to (value, count) and ranked. Nothing
-    but these few rows is shuffled, and equal values are counted before that.
+    but these few values is shuffled, and equal values are counted before that. The
+    number of passes does not depend on the number of columns.
     """
-    value = (F.col(col) if isinstance(col, str) else col).cast("double")
-    rows = df.select(value.alias("v")).where("v is not null")
+    names, k = list(cols), len(ps)
+    rows = df.select(*[cols[c].cast("double").alias(f"v{j}") for j, c in enumerate(names)])
+    rows = rows.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in rows.columns])
     slack = 10.0 / accuracy
     ends = [x for p in ps for x in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    found = rows.agg(F.struct(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("v", ends, accuracy).alias("b")
-    )).scalar()
-    total, small = found["n"], found["n"] < accuracy
-    # A small table is taken whole, the slack would be less than a row.
-    low = [F.when(small, float("-inf")).otherwise(found["b"][2 * i]) for i in range(len(ps))]
-    high = [F.when(small, float("inf")).otherwise(found["b"][2 * i + 1]) for i in range(len(ps))]
-    below = rows.agg(*[F.count(F.when(F.col("v") < low[i], 1)).alias(f"below__{i}") for i in range(len(ps))])
-    near = [F.when(F.col("v").between(low[i], high[i]), i) for i in range(len(ps))]
-    kept = rows.select("v", F.explode(F.array_compact(F.array(*near))).alias("i"))
-    counted = kept.groupBy("i", "v").agg(_rows().alias("c"))
-    upto = Window.partitionBy("i").orderBy("v")
-    # One row per quantile from here on.
-    starts = _long(below, list(range(len(ps))), ["below"], "i").select("i", "below", total.alias("n"))
-    ranked = counted.withColumn("last", F.sum("c").over(upto)).join(F.broadcast(starts), "i")
-    spot = F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1) * (F.col("n") - 1)
+    # Two numbers per column and quantile come to the driver.
+    found = rows.agg(*[
+        x for j in range(len(names)) for x in (
+            F.count(f"v{j}").alias(f"n{j}"), F.percentile_approx(f"v{j}", ends, accuracy).alias(f"b{j}")
+        )
+    ]).first()
+    # One entry per column and quantile: id, column number, quantile, lower and upper end.
+    spots = []
+    for j in range(len(names)):
+        # A small column is taken whole, the slack would be less than a row.
+        small = found[f"n{j}"] < accuracy
+        for i, p in enumerate(ps):
+            low = float("-inf") if small else found[f"b{j}"][2 * i]
+            high = float("inf") if small else found[f"b{j}"][2 * i + 1]
+            spots.append((j * k + i, j, float(p), low, high))
+    below = rows.agg(*[F.count(F.when(F.col(f"v{j}") < low, 1)).alias(f"below__{q}") for q, j, _, low, _ in spots])
+    near = [
+        F.when(F.col(f"v{j}").between(low, high), F.struct(F.lit(q).alias("q"), F.col(f"v{j}").alias("v")))
+        for q, j, _, low, high in spots
+    ]
+    kept = rows.where(F.coalesce(*near).isNotNull())
+    kept = kept.select(F.explode(F.array_compact(F.array(*near))).alias("x")).select("x.q", "x.v")
+    counted = kept.groupBy("q", "v").agg(_rows().alias("c"))
+    # One row per column and quantile from here on.
+    starts = below.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(q).alias("q"), F.lit(names[j]).alias("column"), F.lit(p).alias("p"),
+            F.col(f"below__{q}").alias("below"), F.lit(p * (found[f"n{j}"] - 1)).alias("spot"),
+        ) for q, j, p, _, _ in spots
+    ])))
+    last = F.col("below") + F.sum("c").over(Window.partitionBy("q").orderBy("v"))
+    ranked = counted.join(F.broadcast(starts), "q").withColumn("last", last)
 
     def at(rank: Column) -> Column:
-        last = F.col("below") + F.col("last")
-        return F.max(F.when((rank < last) & (rank >= last - F.col("c")), F.col("v")))
+        return F.max(F.when((rank < F.col("last")) & (rank >= F.col("last") - F.col("c")), F.col("v")))
 
-    picked = ranked.groupBy("i").agg(
-        at(F.floor(spot)).alias("lo"), at(F.ceil(spot)).alias("hi"), F.first(spot - F.floor(spot)).alias("part")
-    )
-    names = F.array(*[F.lit(float(p)) for p in ps])
-    return picked.select(
-        F.element_at(names, F.col("i") + 1).alias("p"),
-        (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value"),
-    )
+    part = F.col("spot") - F.floor("spot")
+    picked = ranked.groupBy("column", "p", "spot").agg(at(F.floor("spot")).alias("lo"), at(F.ceil("spot")).alias("hi"))
+    return picked.select("column", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * part).alias("value"))
+
+
+def quantiles(df: DataFrame, col, ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10_000) -> DataFrame:
+    """Exact quantiles of one column or expression: (p, value)."""
+    value = F.col(col) if isinstance(col, str) else col
+    return quantiles_of(df, {"value": value}, ps, accuracy).drop("column")
 
 
 def quantiles_approx(df: DataFrame, col: str, ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10000) -> DataFrame:
@@ -242,9 +260,10 @@ def word_counts_by(df: DataFrame, col: str, keys: list[str], n: int, exclude=())
 
 
 def keyword_frequency(df: DataFrame, dim: DataFrame, col: str, max_n: int = 2, min_token_len: int = 2) -> DataFrame:
-    """Hits of each dictionary keyword over the corpus, zero kept. Grams are counted
-    before they meet the dictionary."""
-    counts = gram_rows(df, [], col, max_n, min_token_len).groupBy("gram").agg(_rows().alias("hits"))
+    """Hits of each dictionary keyword over the corpus, zero kept. Only grams that are a
+    keyword are counted."""
+    wanted = dim.select(F.lower("keyword").alias("gram")).distinct()
+    counts = gram_rows(df, [], col, max_n, min_token_len).join(wanted, "gram").groupBy("gram").agg(_rows().alias("hits"))
     return dim.join(counts, F.lower(dim.keyword) == counts.gram, "left").select(
         "topic", "keyword", F.coalesce("hits", F.lit(0)).alias("n")
     )
@@ -281,9 +300,10 @@ def profile(df: DataFrame, ps=(0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
         ) for m in DESCRIBE_FIELDS
     ]))).where("value is not null or text is not null")
     parts = [types, pairs, measure(distinct_counts(df), "n_distinct"), measure(null_counts(df), "n_missing")]
-    for c in number:
-        parts.append(quantiles(df, c, ps).select(
-            F.lit(c).alias("column"), F.concat(F.lit("p"), (F.col("p") * 100).cast("int")).alias("measure"),
+    if number:
+        measured = quantiles_of(df, {c: F.col(c) for c in number}, ps)
+        parts.append(measured.select(
+            "column", F.concat(F.lit("p"), (F.col("p") * 100).cast("int")).alias("measure"),
             "value", F.lit(None).cast("string").alias("text"),
         ))
     report = parts[0]

@@ -58,11 +58,11 @@ def match_keywords(
     df: DataFrame, dim: DataFrame, key: str, col: str, max_n: int = 2, min_token_len: int = 2
 ) -> DataFrame:
     """Keywords found in each text: (key, topic, keyword, hits). Texts are cut into grams
-    once and met by an equi-join, so no text is tested against every keyword."""
-    found = gram_rows(df, [key], col, max_n, min_token_len).groupBy(key, "gram").agg(
-        F.count(F.lit(1)).alias("hits")
-    )
-    return found.join(dim, found.gram == F.lower(dim.keyword)).select(key, "topic", "keyword", "hits")
+    once and met by an equi-join, so no text is tested against every keyword. Grams that
+    are no keyword end at the join, before anything is counted or shuffled for counting."""
+    grams_ = gram_rows(df, [key], col, max_n, min_token_len)
+    found = grams_.join(dim, grams_.gram == F.lower(dim.keyword))
+    return found.groupBy(key, "topic", "keyword").agg(F.count(F.lit(1)).alias("hits"))
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:

@@ -45,8 +45,14 @@ def rank_slice(df: DataFrame, order: list[Column], skip: int, take: int, by: lis
     return top_per_group(df, list(by), order, skip + take, "__k").where(F.col("__k") > skip).drop("__k")
 
 
+def content_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+
+
 def sort(df: DataFrame, *cols) -> DataFrame:
-    return df.orderBy(*cols)
+    """Rows in the given order. Equal rows of the order follow by content, so that the
+    range partitioner can cut a value that very many rows share."""
+    return df.orderBy(*cols, content_hash(df))
 
 
 def extreme_text(df: DataFrame, col: str, n: int, key: str, longest: bool = True) -> DataFrame:

@@ -104,7 +104,7 @@ def embed(df: DataFrame, col: str, encoder: Callable[[pd.Series], list] | None =
 
 def resolve_keywords(
     topics: DataFrame, cache: DataFrame, generator: Callable[[pd.Series], pd.Series], created_at,
-    attempts: int = 3, n: int = 5,
+    attempts: int = 3, n: int = 5, tasks: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Keywords for each requested topic, and the grown cache.
 
@@ -121,9 +121,11 @@ def resolve_keywords(
         for batch in batches:
             yield pd.DataFrame({"hobby": batch["hobby"], "answer": generator(batch["hobby"])})
 
+    tasks = tasks or topics.sparkSession.sparkContext.defaultParallelism
     new = None
     for _ in range(attempts):
-        answers = missing.mapInPandas(ask, "hobby string, answer string")
+        # Few bytes but slow answers: a fixed number of tasks, not one per amount of data.
+        answers = missing.repartition(tasks).mapInPandas(ask, "hobby string, answer string")
         tried = cut(answers.select("hobby", parse_keywords(last_line("answer")).alias("k")))
         good = tried.where(valid_keywords("k", n))
         new = good if new is None else new.unionByName(good)

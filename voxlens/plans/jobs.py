@@ -98,11 +98,11 @@ def brand_report(df: DataFrame, text: str, first, second, dim: DataFrame, stop=(
     tokens = branded.select("brand", without(word_tokens(clean_comment(text)), stop).alias("tokens"))
     named = tokens.where(F.col("brand").isin(first[0], second[0]))
     hits = lookup.gram_rows(branded.where(F.col("brand").isin(first[0], second[0])), ["brand"], text)
-    counts = hits.groupBy("brand", "gram").agg(F.count(F.lit(1)).alias("n"))
+    found = hits.join(dim, hits.gram == F.lower(dim.keyword))
     return {
         "shares": aggregate.class_share(branded, "brand"),
         "words": aggregate.word_counts_by(named, "tokens", ["brand"], n),
-        "keywords": counts.join(dim, counts.gram == F.lower(dim.keyword)).select("brand", "topic", "keyword", "n"),
+        "keywords": aggregate.count_by(found, ["brand", "topic", "keyword"]),
     }
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxlens.operators.ranking import sort
 from voxlens.schemas import THREADS, conform
 from voxlens.session import fresh_path
 
@@ -92,7 +93,7 @@ def write_parquet(df: DataFrame, path: str, by: list[str] = (), mode: str = "err
 
 def write_csv(df: DataFrame, path: str, order=(), mode: str = "errorifexists") -> None:
     """UTF-8 CSV with header; sorted over all files when an order is given."""
-    df = df.orderBy(*order) if order else df
+    df = sort(df, *order) if order else df
     df.write.mode(mode).option("header", True).option("encoding", "UTF-8").option("escape", '"').option(
         "quoteAll", True
     ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

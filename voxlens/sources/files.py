@@ -53,7 +53,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def read_threads(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Thread documents as a ``threads`` map column. One document per line by default,
     which splits; ``multiline`` reads each file as one printed document."""
-    text = spark.read.option("wholetext", multiline).text(path)
+    text = spark.read.text(path, wholetext=multiline)
     text = text.where(F.length(F.trim("value")) > 0)
     parsed = F.from_json("value", THREADS["threads"].dataType, {"mode": "FAILFAST"})
     return text.select(parsed.alias("threads"))

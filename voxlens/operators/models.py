@@ -20,7 +20,7 @@ from voxlens.operators.features import class_tfidf, count_vectors, remove_stopwo
 from voxlens.operators.ranking import split
 from voxlens.operators.skew import HOT_SHARE, hot_rows
 from voxlens.sources.files import run_sql
-from voxlens.session import stage
+from voxlens.session import fresh_path, stage
 
 
 def text_vectors(df: DataFrame, col: str, words: list[str] | None = None, vocab_size: int = 1 << 18, min_df: float = 1.0):
@@ -200,7 +200,11 @@ def train_sentiment(df: DataFrame, text: str, label: str, num_features: int = 1
         IDF(inputCol="tf", outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol="label", maxIter=20, regParam=0.01),
     ]
-    return Pipeline(stages=stages).fit(train), train, test
+    # Saved and loaded: the model survives the session, and the loaded one carries no
+    # training summary, which would tie the scoring tasks to this session.
+    path = fresh_path(df.sparkSession, "sentiment_model")
+    Pipeline(stages=stages).fit(train).write().save(path)
+    return PipelineModel.load(path), train, test
 
 
 def predict(model: PipelineModel, rows: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -145,21 +145,20 @@ def refresh_landing(df: DataFrame, path: str, fmt: str = "parquet", must_be_new:
 
     The new content is written next to the folder and swapped in by renaming, so a
     failed write leaves the old content in place, and a job may read the folder it
-    refreshes. The row count is observed during the one write. (On object stores a
-    rename is a copy; use a table format there.)
+    refreshes. The rows are counted from what was written (Parquet footers), the job
+    that makes them runs once. (On object stores a rename is a copy; use a table format
+    there.)
     """
-    from pyspark.sql import Observation
-
     spark = df.sparkSession
     base = path.rstrip("/")
     jvm, fs = _file_system(spark, base)
     at = jvm.org.apache.hadoop.fs.Path
     if must_be_new and fs.exists(at(base)):
         raise FileExistsError(base)
-    seen = Observation()
     tag = uuid.uuid4().hex
     staged, old = f"{base}__new_{tag}", f"{base}__old_{tag}"
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).save(staged)
+    df.write.format(fmt).save(staged)
+    n = spark.read.format(fmt).schema(df.schema).load(staged).count()
     had = fs.exists(at(base))
     if had and not fs.rename(at(base), at(old)):
         raise IOError(f"cannot set {base} aside")
@@ -169,7 +168,7 @@ def refresh_landing(df: DataFrame, path: str, fmt: str = "parquet", must_be_new:
         raise IOError(f"cannot swap in {staged}")
     if had:
         fs.delete(at(old), True)
-    return seen.get["n"]
+    return n
 
 
 def append_landing(df: DataFrame, path: str) -> None:

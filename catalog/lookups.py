@@ -49,7 +49,7 @@ SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest({words(clean_basi
 WHERE word NOT IN (SELECT unnest(['the', 'of', 'de', 'la'])) GROUP BY doc_id, word
 """)
 def j4_table(spark, sf):
-    stop = spark.createDataFrame([(w,) for w in STOP], "word string")
+    stop = lookup.word_table(spark, STOP)
     rows = table(spark, sf, "documents").select("doc_id", F.explode(split_words(clean("text"))).alias("word"))
     return lookup.remove_words(rows, stop, "word").groupBy("doc_id", "word").agg(F.count("word").alias("n"))
 

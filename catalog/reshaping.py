@@ -252,5 +252,5 @@ def u4(spark, sf):
     return lookup.merge_words(
         table(spark, sf, "orders").select(F.lower("o_orderpriority").alias("w")),
         table(spark, sf, "events").select("event_type"),
-        spark.createDataFrame([("error",)], "word string"),
+        lookup.word_table(spark, ["error"]),
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,10 +42,20 @@ def remove_words(tokens: DataFrame, words, col: str) -> DataFrame:
     return tokens.withColumn(col, without(col, words))
 
 
+def word_table(spark: SparkSession, words) -> DataFrame:
+    """A word list as a one-column table. Made from Arrow, so that the planner knows its
+    size and can decide on a broadcast before the other side is shuffled (a table made
+    from Python rows counts as of unknown size)."""
+    return spark.createDataFrame(pa.table({"word": pa.array(list(words), pa.string())}))
+
+
 def keyword_table(spark: SparkSession, topics: dict[str, list[str]]) -> DataFrame:
-    """Dictionary of topic to keywords as a (topic, keyword) table."""
+    """Dictionary of topic to keywords as a (topic, keyword) table of known size."""
     rows = [(t, k) for t, ks in topics.items() for k in ks]
-    return spark.createDataFrame(rows, "topic string, keyword string")
+    return spark.createDataFrame(pa.table({
+        "topic": pa.array([t for t, _ in rows], pa.string()),
+        "keyword": pa.array([k for _, k in rows], pa.string()),
+    }))
 
 
 def gram_rows(df: DataFrame, keep: list[str], col: str, max_n: int = 2, min_token_len: int = 2) -> DataFrame:

@@ -91,13 +91,15 @@ def _start(key: str, topic: int, seed: int) -> Column:
     return (F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed * 1000 + topic)), F.lit(1000)) + 1) / 1000.0
 
 
-def _gram(df: DataFrame, prefix: str, k: int) -> list[list[float]]:
-    """k x k inner products of the factor columns: one row whatever the data."""
+def _gram(df: DataFrame, prefix: str, k: int, *more: Column):
+    """k x k inner products of the factor columns, and further sums: one row whatever the
+    data."""
     row = df.agg(*[
         F.sum(F.col(f"{prefix}{i}") * F.col(f"{prefix}{j}")).alias(f"g{i}_{j}")
         for i in range(k) for j in range(i, k)
-    ]).first()
-    return [[float(row[f"g{min(i, j)}_{max(i, j)}"] or 0.0) for j in range(k)] for i in range(k)]
+    ], *[F.sum(m).alias(f"m{i}") for i, m in enumerate(more)]).first()
+    gram = [[float(row[f"g{min(i, j)}_{max(i, j)}"] or 0.0) for j in range(k)] for i in range(k)]
+    return gram, [float(row[f"m{i}"] or 0.0) for i in range(len(more))]
 
 
 def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int = 42) -> NmfResult:
@@ -120,6 +122,7 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
         "term", "hot", *[_start("term", i, seed + 1).alias(c) for i, c in enumerate(h)]
     ), "nmf_terms")
     norm = x.agg(F.sum(F.col("weight") * F.col("weight"))).first()[0]
+    outer, _ = _gram(tops, "h", k)
     errors = []
     tiny = F.lit(1e-12)
 
@@ -136,15 +139,14 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
         cold = tops.where(~F.col("hot")).drop("hot")
         met = x.where("hot").join(hot, "term").unionByName(x.where(~F.col("hot")).join(cold, "term"))
         sums = met.groupBy(key).agg(*[F.sum(F.col("weight") * F.col(c)).alias(n) for c, n in zip(h, num)])
-        docs = stage(docs.join(sums, key).select(key, *updated(w, num, _gram(tops, "h", k))), "nmf_documents")
+        docs = stage(docs.join(sums, key).select(key, *updated(w, num, outer)), "nmf_documents")
 
         met = x.join(docs, key)
         sums = met.groupBy("term").agg(*[F.sum(F.col("weight") * F.col(c)).alias(n) for c, n in zip(w, num)])
-        inner = _gram(docs, "w", k)
+        inner, _ = _gram(docs, "w", k)
         both = stage(tops.join(sums, "term").select("term", "hot", *updated(h, num, inner), *num), "nmf_terms")
-        cross = both.agg(reduce(lambda a, b: a + b, [F.sum(F.col(a) * F.col(b)) for a, b in zip(h, num)])).first()[0]
+        outer, (cross,) = _gram(both, "h", k, reduce(lambda a, b: a + b, [F.col(a) * F.col(b) for a, b in zip(h, num)]))
         tops = both.drop(*num)
-        outer = _gram(tops, "h", k)
         errors.append(norm - 2 * cross + sum(inner[i][j] * outer[i][j] for i in range(k) for j in range(k)))
     return NmfResult(docs, tops.drop("hot"), errors)
 

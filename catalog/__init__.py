@@ -1 +1,7 @@
 """Registered queries, one module per group of operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -217,13 +217,13 @@ def text_runs(texts, chars: int = RUN_CHARS):
         yield start, run
 
 
-def _tasks(data, with_ids: bool):
+def _tasks(data, name: str, with_ids: bool):
     def run(batches):
-        made = worker_cache(f"bpe-{data.id}")
+        made = worker_cache(f"bpe-{name}")
         if not made:
             made["bpe"] = BytePairEncoder(parse_ranks(data.value))
         bpe = made["bpe"]
-        encoder = TextEncoder(f"bpe-{data.id}", bpe.encode_all)
+        encoder = TextEncoder(f"bpe-{name}", bpe.encode_all)
         for batch in batches:
             keys = batch.column(0)
             for at, texts in text_runs(batch.column(1)):
@@ -253,10 +253,11 @@ def encode_texts(spark: SparkSession, docs: DataFrame, ranks_path: str, id_col:
     other columns are no special case: each row is encoded on its own. Only the two columns
     are read. The rank file (size checked) is sent to the executors once.
     """
-    data = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    ranks = read_ranks(ranks_path)
+    data, name = spark.sparkContext.broadcast(ranks), hashlib.sha256(ranks).hexdigest()
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     out = docs.select(id_col, text_col).mapInArrow(
-        _tasks(data, with_ids), schema + (", ids array<int>" if with_ids else "")
+        _tasks(data, name, with_ids), schema + (", ids array<int>" if with_ids else "")
     )
     return out.withColumnRenamed("id", id_col)

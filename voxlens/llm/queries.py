@@ -1,4 +1,4 @@
 """All queries of this subpackage."""
 
-from voxlens.llm import q_bpe, q_exact, q_packing  # noqa: F401
+from voxlens.llm import q_bpe, q_exact, q_packing, q_warc  # noqa: F401
 from voxlens.llm.registry import ORACLE, QUERIES  # noqa: F401

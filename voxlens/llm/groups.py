@@ -28,6 +28,14 @@ def with_group(df: DataFrame, keys: list[str], member: Column, spread: Column, s
     return salted.join(whole, [*keys, "__salt"]).drop("__salt")
 
 
+def join_salted(df: DataFrame, dim: DataFrame, keys: list[str], spread: Column, salts: int = SALTS) -> DataFrame:
+    """Inner join of ``df`` with a table holding few rows per key, safe for hot keys: a key's
+    rows are dealt over ``salts`` parts, and the key's row goes to the parts that exist."""
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    wanted = salted.select(*keys, "__salt").distinct().join(dim, keys)
+    return salted.join(wanted, [*keys, "__salt"]).drop("__salt")
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))

@@ -32,14 +32,22 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=_U)
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of the texts ``data[bounds[i]:bounds[i + 1]]``, and the text it is
-    in. Words are runs of bytes other than ASCII white space, A-Z taken as a-z."""
+def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of the texts ``data[bounds[i]:bounds[i + 1]]``. Words are
+    runs of bytes other than ASCII white space."""
     inside = ~_IS_SPACE[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[bounds] = True
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     starts = np.flatnonzero(inside & (cut[:-1] | np.r_[True, ~inside[:-1]]))
     ends = np.flatnonzero(inside & (cut[1:] | np.r_[~inside[1:], True])) + 1
+    return starts, ends
+
+
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, A-Z taken as a-z, and the text it is in."""
+    starts, ends = word_spans(data, bounds)
     sums = np.zeros(len(data) + 1, _U)
     np.cumsum(_BYTES[_LOWER[data]] * _powers(_BASE, len(data)), out=sums[1:], dtype=_U)
     hashes = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(data) + 1)[starts]

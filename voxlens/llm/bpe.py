@@ -185,21 +185,20 @@ class BytePairEncoder:
 
 class TextEncoder:
     """Whole texts: a pre-token is encoded once per worker and then looked up. ``of_pieces``
-    gives the ids of a list of pre-tokens; any other encoder of pre-tokens can stand there."""
+    gives what is kept of each of a list of pre-tokens, such as its ids."""
 
     def __init__(self, name: str, of_pieces):
         self.of_pieces, self.cache, self.split = of_pieces, worker_cache(f"ids-{name}"), Splitter()
 
-    def look_up(self, texts: list[str]) -> list[list[tuple[tuple[int, ...], str]]]:
-        """Per text the (ids, ids as text) of its pre-tokens."""
+    def look_up(self, texts: list[str]) -> list[list]:
+        """Per text what is kept of its pre-tokens."""
         cut = [self.split(text) for text in texts]
         cache, seen = self.cache, set().union(*cut)
         missing = [p for p in seen if p not in cache]
         if len(cache) + len(missing) > CACHE_ENTRIES:
             cache.clear()
             missing = list(seen)
-        for piece, ids in zip(missing, self.of_pieces([p.encode() for p in missing])):
-            cache[piece] = ids, ",".join(map(str, ids))
+        cache.update(zip(missing, self.of_pieces(missing)))
         return [list(map(cache.__getitem__, pieces)) for pieces in cut]
 
 
@@ -223,7 +222,11 @@ def _tasks(data, name: str, with_ids: bool):
         if not made:
             made["bpe"] = BytePairEncoder(parse_ranks(data.value))
         bpe = made["bpe"]
-        encoder = TextEncoder(f"bpe-{name}", bpe.encode_all)
+
+        def of_pieces(pieces):
+            return [(ids, ",".join(map(str, ids))) for ids in bpe.encode_all([p.encode() for p in pieces])]
+
+        encoder = TextEncoder(f"bpe-{name}", of_pieces)
         for batch in batches:
             keys = batch.column(0)
             for at, texts in text_runs(batch.column(1)):

@@ -49,8 +49,15 @@ def repeated_filter(keys: DataFrame, key: Column, cells: int = FILTER_CELLS) ->
     return twice.groupBy("__block").agg(F.bitmap_construct_agg("__cell").alias("__bits"))
 
 
-def maybe_repeated(df: DataFrame, key: Column, bits: DataFrame, cells: int = FILTER_CELLS) -> DataFrame:
-    """``df`` with a flag ``__maybe``: false only where no other row has the same key."""
+def key_filter(keys: DataFrame, key: Column, cells: int = FILTER_CELLS) -> DataFrame:
+    """A filter of the same form and bound that marks the cells of all given keys."""
+    block, places = _cells(key, cells)
+    hits = keys.select(block.alias("__block"), F.explode(places).alias("__cell"))
+    return hits.groupBy("__block").agg(F.bitmap_construct_agg("__cell").alias("__bits"))
+
+
+def _tested(df: DataFrame, key: Column, bits: DataFrame, cells: int) -> DataFrame:
+    """``df`` with a flag ``__maybe``: whether the filter has all cells of the key."""
     block, places = _cells(key, cells)
     tested = df.withColumn("__block", block).withColumn("__cells", places).join(F.broadcast(bits), "__block", "left")
 
@@ -63,6 +70,16 @@ def maybe_repeated(df: DataFrame, key: Column, bits: DataFrame, cells: int = FIL
     return tested.withColumn("__maybe", flag).drop("__block", "__cells", "__bits")
 
 
+def maybe_repeated(df: DataFrame, key: Column, bits: DataFrame, cells: int = FILTER_CELLS) -> DataFrame:
+    """``df`` with a flag ``__maybe``: false only where no other row has the same key."""
+    return _tested(df, key, bits, cells)
+
+
+def may_be_among(df: DataFrame, key: Column, bits: DataFrame, cells: int = FILTER_CELLS) -> DataFrame:
+    """The rows of ``df`` whose key is among those of a ``key_filter``, and few others."""
+    return _tested(df, key, bits, cells).where("__maybe").drop("__maybe")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  cells: int = FILTER_CELLS) -> DataFrame:
     """One row per input row: the id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.

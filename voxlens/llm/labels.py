@@ -1,7 +1,8 @@
-"""Bounded samples of labelled texts."""
+"""Bounded samples of labelled texts, and the use of models that were learned from them."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +25,28 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, held: Column, bou
     few = known.orderBy(F.xxhash64("id", F.lit("sample")), "id").limit(bound)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return texts.join(F.broadcast(few), "id")
+
+
+def score_rows(docs: DataFrame, scorer, data, id_col: str, text_col: str) -> DataFrame:
+    """(id, ``score``) per row. ``scorer`` makes, in a task, a function from a column of texts
+    to scores out of the broadcast ``data``."""
+    def run(batches):
+        of = scorer(data)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(of(batch.column(1)))], names=["id", "score"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    out = docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, score double")
+    return out.withColumnRenamed("id", id_col)
+
+
+def keep_rows(docs: DataFrame, scorer, data, accept, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score ``accept`` takes: in place,
+    without a shuffle or a join."""
+    def run(batches):
+        of = scorer(data)
+        for batch in batches:
+            yield batch.filter(pa.array(accept(of(batch.column(at)))))
+
+    at = docs.columns.index(text_col)
+    return docs.mapInArrow(run, docs.schema)

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from voxlens.llm.labels import held_out
-from voxlens.llm.quality import learn, score
+from voxlens.llm.labels import held_out, keep_rows
+from voxlens.llm.quality import learn, score, scorer
 from voxlens.llm.registry import query, table
 
 ACCEPT = 0.3
@@ -18,6 +18,12 @@ def scored(spark, docs, labels):
     )
 
 
+def accepted(spark, docs, labels):
+    """The documents that are not rejected, with all columns."""
+    model = learn(docs, labels, held_out(F.col("id"), 5, 0))
+    return keep_rows(docs, scorer, spark.sparkContext.broadcast(model), lambda score: score >= ACCEPT)
+
+
 @query("op1_quality_classifier")
 def op1_quality_classifier(spark, sf_dir):
     return scored(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

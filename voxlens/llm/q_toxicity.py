@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from voxlens.llm.labels import held_out
+from voxlens.llm.labels import held_out, keep_rows
 from voxlens.llm.registry import query, table
-from voxlens.llm.toxicity import learn, score
+from voxlens.llm.toxicity import broadcast, learn, score, scorer
 
 REJECT = 0.7
 
@@ -18,6 +18,12 @@ def scored(spark, docs, labels):
     )
 
 
+def accepted(spark, docs, labels):
+    """The documents that are not rejected, with all columns."""
+    model = learn(docs, labels, held_out(F.col("id"), 3, 1))
+    return keep_rows(docs, scorer, broadcast(spark, model), lambda score: score < REJECT)
+
+
 @query("op2_toxicity")
 def op2_toxicity(spark, sf_dir):
     return scored(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

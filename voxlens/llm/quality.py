@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlens.llm.labels import sample
+from voxlens.llm.labels import sample, score_rows
 from voxlens.llm.shingles import byte_runs, word_hashes, word_spans
 
 #: Bound of the labelled sample that is learned from, and of the passages of one of its
@@ -160,23 +160,19 @@ def learn(docs: DataFrame, labels: DataFrame, held, id_col: str = "doc_id", text
     return fit(np.concatenate(x), np.repeat(np.arange(len(x)), [len(b) for b in x]), y)
 
 
-def _scores(data):
-    def run(batches):
-        model = data.value
-        for batch in batches:
-            for at, text, bounds in byte_runs(batch.column(1)):
-                n = len(bounds) - 1
-                x, owner = passage_features(text, bounds)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, n), pa.array(predict(model, x, owner, n))], names=["id", "score"])
-    return run
+def scorer(data):
+    """A function from an Arrow column of texts to scores, for tasks; ``data`` is a broadcast
+    model."""
+    model = data.value
+
+    def of(column) -> np.ndarray:
+        parts = [predict(model, *passage_features(text, bounds), len(bounds) - 1) for _, text, bounds in byte_runs(column)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+    return of
 
 
 def score(spark: SparkSession, docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ``score``) per row, from all passages of the text. Null, empty and blank texts are
     one empty passage; repeated rows and null ids are rows like any other; other columns are
     not read. No rows give no rows."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        _scores(spark.sparkContext.broadcast(model)), f"id {kind}, score double")
-    return out.withColumnRenamed("id", id_col)
+    return score_rows(docs, scorer, spark.sparkContext.broadcast(model), id_col, text_col)

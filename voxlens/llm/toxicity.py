@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlens.llm.labels import sample
+from voxlens.llm.labels import sample, score_rows
 from voxlens.llm.pretokens import worker_cache
 
 #: Bound of the labelled sample that is learned from; a third of it calibrates the score.
@@ -315,27 +315,25 @@ def learn(docs: DataFrame, labels: DataFrame, held, id_col: str = "doc_id", text
     return {"lexicon": lexicon, "exceptions": exceptions, "weights": _logistic(x, y)}
 
 
-def _map_scores(data):
-    def run(batches):
-        lexicon, exceptions, weights = data.value
-        matcher = Matcher(lexicon, exceptions)
-        for batch in batches:
-            for at, texts in _runs(batch.column(1)):
-                if weights is None:
-                    scores = np.zeros(len(texts))
-                else:
-                    x = _features(*fold(texts), matcher)
-                    scores = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array(scores)], names=["id", "score"])
-    return run
+def scorer(data):
+    """A function from an Arrow column of texts to scores, for tasks; ``data`` is a broadcast
+    (lexicon, exceptions, weights)."""
+    lexicon, exceptions, weights = data.value
+    matcher = Matcher(lexicon, exceptions)
+
+    def of(column) -> np.ndarray:
+        if weights is None:
+            return np.zeros(len(column))
+        parts = [_features(*fold(texts), matcher) @ weights[:-1] + weights[-1] for _, texts in _runs(column)]
+        return 1 / (1 + np.exp(-np.clip(np.concatenate(parts), -30, 30))) if parts else np.zeros(0)
+    return of
+
+
+def broadcast(spark: SparkSession, model: dict):
+    return spark.sparkContext.broadcast((model["lexicon"], model["exceptions"], model["weights"]))
 
 
 def score(spark: SparkSession, docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ``score``) per row, from the whole text. Null and empty texts have no hits and get
     the score of a text without any; repeated rows and null ids are rows like any other."""
-    data = spark.sparkContext.broadcast((model["lexicon"], model["exceptions"], model["weights"]))
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        _map_scores(data), f"id {kind}, score double")
-    return out.withColumnRenamed("id", id_col)
+    return score_rows(docs, scorer, broadcast(spark, model), id_col, text_col)

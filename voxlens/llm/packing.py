@@ -10,7 +10,9 @@ capacity are filled.
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
+from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
@@ -18,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlens.llm.bpe import TextEncoder, text_runs
-from voxlens.llm.pretokens import worker_cache
+from voxlens.llm.pretokens import GENERAL, PieceCache, Splitter, worker_cache
 
 #: Most bytes of a tokenizer file: it is read by the driver and sent to the executors whole.
 TOKENIZER_BYTES = 64 << 20
@@ -28,6 +29,8 @@ TOKENIZER_BYTES = 64 << 20
 DOCS_PER_GROUP = 2048
 #: Tokens at which the quadratic part of the cost equals the linear part.
 EVEN_COST_AT = 6144
+#: Documents of one Arrow batch of pieces.
+ROWS = 512
 
 
 def read_tokenizer(path: str) -> str:
@@ -38,33 +41,64 @@ def read_tokenizer(path: str) -> str:
     return data.decode()
 
 
-def _of_pieces(tokenizer):
-    def ids(pieces: list[bytes]) -> list[tuple[int, ...]]:
-        found = tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        return [tuple(x.ids) for x in found]
-    return ids
+def _ranks(tokenizer: dict) -> dict[bytes, int] | None:
+    """Token bytes and ids of a byte-level BPE whose ids follow the order of its merges, so
+    that ids can serve as ranks; null for any other tokenizer."""
+    model, before = tokenizer["model"], tokenizer.get("pre_tokenizer") or {}
+    plain = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not tokenizer.get("normalizer")
+    if model.get("type") != "BPE" or not plain or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+        return None
+    vocab = model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    merged = [vocab[a + b] for a, b in pairs]
+    if merged != sorted(merged):
+        return None
+    # The letters that stand for bytes in such files: printable ones for themselves, the others from 256 on.
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
+    made = {*byte_of, *(a + b for a, b in pairs)}
+    return {bytes(map(byte_of.__getitem__, token)): i for token, i in vocab.items() if token in made}
+
+
+def _of_piece(data: str):
+    """Ids of a pre-token as little-endian unsigned 32-bit numbers. Where ids are ranks, the
+    merges of the same file are applied by a leaner library, with the same ids."""
+    ranks = _ranks(json.loads(data))
+    if ranks is not None:
+        import tiktoken
+
+        encode = tiktoken.Encoding("own", pat_str=GENERAL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    else:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(data)
+        tokenizer.encode_special_tokens = True  # their strings in a text are text
+
+        def encode(piece):
+            return tokenizer.encode(piece, add_special_tokens=False).ids
+
+    def made(piece: str) -> bytes:
+        ids = encode(piece)
+        return pack_ids("<%dI" % len(ids), *ids)
+    return made
 
 
 def _pieces(data, name: str, capacity: int, end_id: int):
     """Windows of ``capacity`` tokens, with their checksum, and the rest of each document
     with its ids."""
     def run(batches):
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         made = worker_cache(f"tokenizer-{name}")
         if not made:
-            made["tokenizer"] = Tokenizer.from_str(data.value)
-            made["tokenizer"].encode_special_tokens = True  # their strings in a text are text
-        encoder = TextEncoder(f"tokenizer-{name}", _of_pieces(made["tokenizer"]))
+            made["cache"], made["split"] = PieceCache(_of_piece(data.value)), Splitter()
+        ids_of, split = made["cache"].__getitem__, made["split"]
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for at, texts in text_runs(batch.column(1)):
+            for at in range(0, batch.num_rows, ROWS):
                 rows = []
-                for key, parts in zip(keys[at : at + len(texts)], encoder.look_up(texts)):
-                    ids = np.fromiter((i for part in parts for i in part[0]), "<u4")
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                for key, text in zip(batch.column(0).slice(at, ROWS), batch.column(1).slice(at, ROWS)):
+                    key = key.as_py()
+                    ids = np.frombuffer(b"".join(map(ids_of, split(text.as_py() or ""))) + end, "<u4")
                     for start in range(0, len(ids), capacity):
                         piece = ids[start : start + capacity]
                         full = len(piece) == capacity

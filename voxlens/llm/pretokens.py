@@ -40,3 +40,17 @@ def worker_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker and is shared by its tasks. It
     hangs on ``sys`` because functions travel by value and bring new globals each time."""
     return sys.__dict__.setdefault("_pretoken_caches", {}).setdefault(name, {})
+
+
+class PieceCache(dict):
+    """What ``make`` gives for a pre-token, made once while the cache has room."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, piece: str):
+        if len(self) >= CACHE_ENTRIES:
+            self.clear()
+        made = self[piece] = self.make(piece)
+        return made

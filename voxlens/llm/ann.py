@@ -4,7 +4,7 @@ Vectors are scaled to length one and projected on random lines. Each projection
 sorted array. A query looks at a window around its own projection in every array; windows are
 widened level by level (virtual rehashing, no table is built anew), and a vector that falls
 into enough windows is verified by its exact cosine. A search ends when enough verified
-vectors are within the radius of the level; the last level takes in all vectors, so a search
+vectors are within the radius of the level before; the last level takes in all vectors, so a search
 that finds too few ends with all of them verified.
 
 The table is cut into blocks of a fixed size, each with its own sorted arrays, and a block of
@@ -88,8 +88,9 @@ class Block:
                 places.append(new)
                 scores.append(cosines(query, self.vectors[new]))
             found = np.concatenate(scores)
-            # a cosine of s is a distance of sqrt(2 - 2 s) between vectors of length one
-            if (found >= 1 - radius * radius / 2).sum() >= k:
+            # A cosine of s is a distance of sqrt(2 - 2 s) between vectors of length one. What is
+            # that near has met the windows of a level more.
+            if (found >= 1 - (radius / GROWTH) ** 2 / 2).sum() >= k:
                 break
         else:
             new = np.flatnonzero(~done)

@@ -140,7 +140,7 @@ def b6_keywords(spark, sf):
 @query("b7_cluster_corpus")
 def b7(spark, sf):
     reports = jobs.cluster_corpus(
-        table(spark, sf, "documents"), "doc_id", "text", ks=range(2, 5), judged=range(2, 4), words=EXCLUDE, min_df=5.0
+        table(spark, sf, "documents"), "doc_id", "text", words=EXCLUDE
     )
     return lookup.union_all([
         reports["sizes"].select(F.lit("size").alias("report"), "cluster", F.col("n").cast("double").alias("value")),

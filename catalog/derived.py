@@ -34,7 +34,7 @@ def reviews_raw(spark: SparkSession, sf: str) -> DataFrame:
         F.when(kind == 0, "점").when(kind == 1, F.lit(None)).when(kind == 2, "n/a").otherwise(score).alias("scoring"),
         F.col("source").alias("market"),
         F.concat(F.lit("2024-"), two_digits(1 + F.col("doc_id") % 12), F.lit("-15")).alias("purchasing_date"),
-        F.substring("text", 1, 20).alias("review_title"),
+        F.concat("lang", F.lit(" "), "source").alias("review_title"),
         F.col("text").alias("review_content"),
         F.col("lang").alias("item"),
     )

@@ -1,7 +1,5 @@
 """T and A20: text features in long form, similarity, term extraction."""
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from catalog import sqltext as q
@@ -42,15 +40,10 @@ SELECT term, CAST(count(*) AS DOUBLE) AS total, CAST(count(DISTINCT doc_id) AS D
 FROM (SELECT doc_id, unnest({KEPT}) AS term FROM documents) GROUP BY term
 """)
 def t3(spark, sf):
-    vectors, model = features.count_vectors(kept(spark, sf))
-    # One row over all documents: vectors are summed in the executors.
-    sums = vectors.select(
-        Summarizer.metrics("sum", "numNonZeros").summary(F.col("features")).alias("s")
-    ).select(vector_to_array("s.sum").alias("total"), vector_to_array("s.numNonZeros").alias("in_docs"))
-    vocab = spark.createDataFrame(list(enumerate(model.vocabulary)), "pos int, term string")
-    return sums.select(F.posexplode(F.arrays_zip("total", "in_docs")).alias("pos", "z")).join(vocab, "pos").select(
-        "term", "z.total", "z.in_docs"
-    )
+    vectors, index = features.count_arrays(kept(spark, sf), "doc_id", "filtered_words")
+    sums = vectors.select(F.inline("entries")).groupBy("idx").agg(
+        F.sum("tf").cast("double").alias("total"), F.count("idx").cast("double").alias("in_docs"))
+    return sums.join(index.select("idx", F.col("token").alias("term")), "idx").select("term", "total", "in_docs")
 
 
 @query("t3_term_counts", COUNTS)

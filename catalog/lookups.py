@@ -21,11 +21,11 @@ def j1(spark, sf):
 
 
 @query("j2_anti_match", """
-SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
 """)
 def j2(spark, sf):
-    known = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return lookup.anti_match(table(spark, sf, "customer").select("c_custkey", "c_name"), known, "c_custkey")
+    known = table(spark, sf, "labels").select("doc_id")
+    return lookup.anti_match(table(spark, sf, "documents").select("doc_id", "source"), known, "doc_id")
 
 
 @query("j3_lookup", """

@@ -6,41 +6,41 @@ from catalog.profiling import EXCLUDE, rounded
 from catalog.registry import query, table
 from voxlens.functions.text import word_tokens
 from voxlens.operators import features, models, scoring
+from voxlens.session import stage
 
 
 def vectors(spark, sf):
+    """Hashed vectors of all terms, written once."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    placed, vocab = models.text_vectors(docs, "text", EXCLUDE, min_df=5.0)
-    return placed.select("doc_id", "features", "tfidf_features"), vocab
+    return stage(models.text_vectors(docs, "text", EXCLUDE).select("doc_id", "tfidf_features"), "vectors")
 
 
 @query("t9_cluster")
 def t9(spark, sf):
-    held = vectors(spark, sf)[0].persist()
-    return models.cluster(held, 2)[0].select("doc_id", "cluster")
+    return models.cluster(vectors(spark, sf), 2)[0].select("doc_id", "cluster")
 
 
 @query("t10_elbow")
 def t10(spark, sf):
-    return models.elbow(vectors(spark, sf)[0], range(2, 10))
+    return models.elbow(vectors(spark, sf), range(2, 10))
 
 
 @query("t11_silhouette")
 def t11(spark, sf):
-    return models.silhouette(vectors(spark, sf)[0], range(2, 6))
+    return models.silhouette(vectors(spark, sf), range(2, 6))
 
 
 @query("t12_cluster_members")
 def t12(spark, sf):
-    held = vectors(spark, sf)[0].persist()
-    clustered, _ = models.cluster(held, 2)
+    clustered, _ = models.cluster(vectors(spark, sf), 2)
     members = models.cluster_members(clustered.select("doc_id", "cluster"), "doc_id", 1)
     return members.join(F.broadcast(models.cluster_sizes(clustered)), "cluster")
 
 
 @query("t13_lda_topics")
 def t13(spark, sf):
-    counted, vocab = vectors(spark, sf)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    counted, vocab = models.counted_vectors(docs, "text", EXCLUDE)
     return models.lda_topics(counted, vocab.vocabulary, k=3, n=10)
 
 
@@ -52,7 +52,7 @@ def weights(spark, sf):
 
 @query("t14_nmf_topics")
 def t14(spark, sf):
-    return models.nmf_topics(weights(spark, sf), "doc_id", k=3, n=5, rounds=5)
+    return models.nmf_topics(weights(spark, sf), "doc_id", k=3, n=5)
 
 
 @query("t15_embedding_topics")
@@ -64,5 +64,5 @@ def t15(spark, sf):
 @query("t18_sentiment_model")
 def t18(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels"), "doc_id")
-    model, _, test = models.train_sentiment(docs, "text", "quality", 1 << 16, key="doc_id")
+    model, _, test = models.train_sentiment(docs, "text", "quality", key="doc_id")
     return rounded(models.predict(model, test).select("doc_id", "label", "sentiment", "score"), "score", digits=6)

@@ -20,9 +20,12 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-# Tables of whole texts: the work per row is heavy, so a small one is spread over the cores.
+# Tables of whole texts: the work per row is heavy. A session whose files do not split can ask
+# for their rows to be dealt out; otherwise they are read as they lie.
 TEXTS = {"documents", "pages", "conversations"}
+DEAL_OUT = "spark.voxlens.text.partitions"
 
 
 def table(spark, sf_dir: str, name: str):
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet", spread=name in TEXTS)
+    partitions = int(spark.conf.get(DEAL_OUT, "0")) if name in TEXTS else 0
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", partitions=partitions)

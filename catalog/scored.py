@@ -21,7 +21,7 @@ SELECT doc_id, CASE WHEN p > n THEN 'positive' WHEN p < n THEN 'negative' ELSE '
 """)
 def x1(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", clean_basic("text").alias("t"))
-    scored = scoring.score_text(docs, "t", scoring.lexicon_scorer(POSITIVE, NEGATIVE))
+    scored = scoring.score_text(docs, "t", positive=POSITIVE, negative=NEGATIVE)
     return rounded(scored.select(
         "doc_id", F.col("score.label").alias("sentiment"), F.col("score.confidence").alias("confidence")
     ), "confidence")
@@ -34,7 +34,7 @@ SELECT CASE WHEN p > n THEN 'positive' WHEN p < n THEN 'negative' ELSE 'neutral'
 """)
 def x2(spark, sf):
     docs = table(spark, sf, "documents").select(clean_basic("text").alias("t"))
-    scored = scoring.score_text(docs, "t", scoring.lexicon_scorer(POSITIVE, NEGATIVE))
+    scored = scoring.score_text(docs, "t", positive=POSITIVE, negative=NEGATIVE)
     return rounded(scored.groupBy(F.col("score.label").alias("sentiment")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("score.confidence").alias("mean_confidence")
     ), "mean_confidence")
@@ -45,7 +45,7 @@ SELECT doc_id, CASE WHEN contains(text, 'ption') OR contains(text, 'heit') THEN
 """)
 def x3(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return scoring.score_relevance(docs, "text", scoring.keyword_relevance(["ption", "heit"])).select("doc_id", "relevant")
+    return scoring.score_relevance(docs, "text", words=["ption", "heit"]).select("doc_id", "relevant")
 
 
 @query("x5_embed")

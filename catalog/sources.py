@@ -16,14 +16,15 @@ from voxlens.sources import files
 
 PART = T.StructType([
     T.StructField("p_partkey", T.LongType()), T.StructField("p_name", T.StringType()),
-    T.StructField("p_brand", T.StringType()), T.StructField("p_retailprice", T.DoubleType()),
+    T.StructField("p_brand", T.StringType()), T.StructField("p_type", T.StringType()),
+    T.StructField("p_size", T.IntegerType()), T.StructField("p_retailprice", T.DoubleType()),
 ])
 DOCS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
 ])
 
 
-@query("s1_read_parquet", "SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")
+@query("s1_read_parquet", "SELECT * FROM part")
 def s1(spark, sf):
     return files.read_parquet(spark, f"{sf}/part.parquet", PART)
 

@@ -59,6 +59,6 @@ REVIEWS_RAW = """
 SELECT CASE doc_id % 10 WHEN 0 THEN '점' WHEN 1 THEN NULL WHEN 2 THEN 'n/a' ELSE (n_chars % 101) || '점' END AS scoring,
        source AS market,
        '2024-' || lpad(CAST(1 + doc_id % 12 AS VARCHAR), 2, '0') || '-15' AS purchasing_date,
-       left(text, 20) AS review_title, text AS review_content, lang AS item
+       lang || ' ' || source AS review_title, text AS review_content, lang AS item
 FROM documents
 """

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,8 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[8]", **{
+        "spark.voxlens.text.partitions": "8",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="voxlens-tests-"),
         "spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
     })
     session.sparkContext.setLogLevel("ERROR")

@@ -11,7 +11,7 @@ from tests.compare import compare, connect
 from voxlens.session import build_session
 
 sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
-spark = build_session("checks", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+spark = build_session("checks", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.voxlens.text.partitions": "8"})
 spark.sparkContext.setLogLevel("ERROR")
 con = connect(sf_dir)
 wanted, bad = sys.argv[1:], 0

@@ -25,7 +25,7 @@ def corpus(spark):
 
 @pytest.fixture(scope="module")
 def vectors(corpus):
-    return models.text_vectors(corpus, "text")
+    return models.text_vectors(corpus, "text"), None
 
 
 def test_clusters(vectors):
@@ -45,8 +45,8 @@ def test_cost_and_silhouette(vectors):
     assert len(scores) == 2 and all(-1 <= r["silhouette"] <= 1 for r in scores)
 
 
-def test_lda(vectors):
-    rows, vocab = vectors
+def test_lda(corpus):
+    rows, vocab = models.counted_vectors(corpus, "text")
     topics = models.lda_topics(rows, vocab.vocabulary, k=2, n=4).collect()
     assert len(topics) == 8 and all(r["term"] in FRUIT + TOOLS and r["weight"] > 0 for r in topics)
 
@@ -105,7 +105,7 @@ def test_model_runs_once_per_row(spark):
 
 def test_relevance(spark):
     df = spark.createDataFrame([("배터리 좋다",), ("그냥",), (None,), ("",)], "t string")
-    out = scoring.score_relevance(df, "t", scoring.keyword_relevance(["배터리"])).collect()
+    out = scoring.score_relevance(df, "t", words=["배터리"]).collect()
     assert [r["relevant"] for r in out] == [1, 0, 0, 0]
 
 

@@ -39,6 +39,60 @@ def test_review_load_parses_first(spark):
     assert [(r["scoring"], r["purchasing_date"]) for r in out] == [(100, dt.datetime(2024, 1, 2))]
 
 
+def test_review_dates_and_rejected_rows(spark):
+    rows = [("90점", "m", "2024.10.01.", "t", "c", "S24"), ("80점", "m", "2024.10.02", "t", "c", "S24"),
+            ("점", "m", "2024-01-02", "t", "c", "S24"), ("70점", "m", "soon", "t", None, "S24")]
+    raw = spark.createDataFrame(rows, schemas.REVIEWS_RAW)
+    assert sorted((r["scoring"], r["purchasing_date"].day) for r in jobs.clean_reviews(raw).collect()) == [(80, 2), (90, 1)]
+    rejected = {(r["scoring"], r["purchasing_date"], r["reason"]) for r in jobs.rejected_reviews(raw).collect()}
+    assert rejected == {("점", "2024-01-02", "scoring"), ("70점", "soon", "purchasing_date, review_content")}
+
+
+def test_empty_word_lists_match_nothing(spark):
+    from voxlens.functions import text
+
+    df = spark.createDataFrame([("text",), ("내 아이폰",), (None,)], "t string")
+    assert filters.contains_any(df, "t", []).count() == 0
+    assert [r[0] for r in df.select(text.classify_brand("t")).collect()] == ["neither", "apple", "neither"]
+    assert [r[0] for r in df.select(text.classify_brand("t", ("a", ()), ("b", ()))).collect()] == ["neither"] * 3
+
+
+def test_nan_is_in_no_bin(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(float("nan"),), (None,)], "v double")
+    assert [(r["bin"], r["n"]) for r in aggregate.histogram(df, "v", 5).orderBy("bin").collect()] == [(i, 2) for i in range(5)]
+
+
+def test_weights_of_a_key_in_two_groups(spark):
+    from voxlens.operators import features
+
+    df = spark.createDataFrame([("a", 1, "xx yy"), ("b", 1, "xx yy")], "g string, k int, t string")
+    got = {(r["g"], r["term"]): r["mean_weight"] for r in features.mean_tfidf(df, "k", "t", 5, by="g").collect()}
+    assert len(got) == 4 and all(w == pytest.approx(0.5**0.5) for w in got.values())
+
+
+def test_undeclared_columns_are_noticed(spark):
+    df = spark.createDataFrame([GOOD], RAW).withColumn("more", F.lit(1))
+    with pytest.raises(ValueError, match="more"):
+        schemas.conform(df, RAW)
+    assert schemas.conform(df, RAW, extra="drop").columns == RAW.fieldNames()
+
+
+def test_quantiles_narrow_their_brackets(spark, monkeypatch):
+    monkeypatch.setattr(aggregate, "BRACKET", 50)
+    values = [((i * 7919) % 20011) / 3.0 for i in range(20011)]
+    rows = [(v, 5.0 if i % 3 else float(i)) for i, v in enumerate(values)] + [(None, float("nan"))]
+    df = spark.createDataFrame(rows, "v double, w double")
+    ps = (0.0, 0.1, 0.25, 0.5, 0.731, 1.0)
+    got = {(r["column"], r["p"]): r["value"] for r in
+           aggregate.quantiles_of(df, {"v": F.col("v"), "w": F.col("w")}, ps, accuracy=100).collect()}
+    import numpy as np
+
+    for name, at in (("v", 0), ("w", 1)):
+        known = [r[at] for r in rows[:-1]]
+        assert [got[name, p] for p in ps] == pytest.approx([float(np.quantile(known, p)) for p in ps])
+    assert aggregate.quantiles_of(df.limit(0), {"v": F.col("v")}).count() == 0
+
+
 def test_missing_counts_on_mixed_types(spark):
     df = spark.createDataFrame([("a", 1.0, 1), (None, float("nan"), None), ("NaN", None, 2)], "s string, d double, i int")
     found = {r["column"]: r["n_missing"] for r in aggregate.null_counts(df).collect()}

@@ -77,12 +77,10 @@ def test_csv_keeps_quotes_and_lines(spark):
     assert files.read_csv(spark, path, df.schema).exceptAll(df).count() == 0
 
 
-def test_small_tables_are_spread_large_ones_are_not(spark, sf, monkeypatch):
+def test_rows_are_dealt_out_on_demand_only(spark, sf):
     path = f"{sf}/documents.parquet"
-    spread = files.read_parquet(spark, path, spread=True)
-    assert "RoundRobin" in spread._jdf.queryExecution().toString()
-    monkeypatch.setattr(files, "SPLIT_BYTES", 10)
-    assert "RoundRobin" not in files.read_parquet(spark, path, spread=True)._jdf.queryExecution().toString()
+    assert "RoundRobin" in files.read_parquet(spark, path, partitions=3)._jdf.queryExecution().toString()
+    assert "RoundRobin" not in files.read_parquet(spark, path)._jdf.queryExecution().toString()
 
 
 def test_shared_folder_comes_from_the_session(spark):

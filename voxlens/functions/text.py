@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from voxlens.wordlists import APPLE_WORDS, SAMSUNG_WORDS
+
 SPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 WORD = r"\p{L}\p{N}_"
 
@@ -40,7 +42,9 @@ def _squeeze(c: Column) -> Column:
 
 
 def any_of(words) -> str:
-    """Regular expression that finds any of the words literally."""
+    """Regular expression that finds any of the words literally; of no words, nothing."""
+    if not words:
+        return "(?!)"
     return "|".join(re.sub(r"([^0-9A-Za-z_\s가-힣])", r"\\\1", w) for w in words)
 
 
@@ -134,7 +138,7 @@ def grams(c, n: int) -> Column:
     return joined
 
 
-def classify_brand(c, first=("apple", ()), second=("samsung", ()), case_sensitive: bool = True) -> Column:
+def classify_brand(c, first=("apple", APPLE_WORDS), second=("samsung", SAMSUNG_WORDS), case_sensitive: bool = True) -> Column:
     """Name of the brand whose words occur, ``both`` or ``neither``. NULL text is ``neither``."""
     text = _col(c) if case_sensitive else F.lower(_col(c))
     (name_a, words_a), (name_b, words_b) = first, second
@@ -155,3 +159,18 @@ def lexicon_sentiment(tokens, positive, negative) -> Column:
     )
     names = F.array(F.lit("negative"), F.lit("neutral"), F.lit("positive"))
     return F.element_at(names, (F.signum(balance) + 2).cast("int"))
+
+
+def lexicon_score(c, positive, negative) -> Column:
+    """Struct of ``label``, the polarity with more listed words, and ``confidence``, its share
+    of the listed words; neutral on a tie, 0.0 without any."""
+    tokens = F.coalesce(words(c), F.array().cast("array<string>"))
+
+    def count(listed) -> Column:
+        listed = list(listed)
+        return F.size(F.filter(tokens, lambda w: w.isin(listed))) if listed else F.lit(0)
+
+    pos, neg = count(positive), count(negative)
+    label = F.when(pos > neg, "positive").when(pos < neg, "negative").otherwise("neutral")
+    share = F.when(pos + neg > 0, F.greatest(pos, neg) / (pos + neg)).otherwise(F.lit(0.0))
+    return F.struct(label.alias("label"), share.alias("confidence"))

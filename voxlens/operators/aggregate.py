@@ -1,11 +1,14 @@
 """Counting and summarising: DataFrame -> DataFrame.
 
-Every group-by here is a plain hash aggregate, so rows are combined before the shuffle
-and a hot key costs one row per task.
+Every group-by here is an aggregate that combines rows before the shuffle, so a hot key
+costs one row per task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil, floor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +36,16 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Distinct values per column in one job; a missing value counts as one value."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
+    """Distinct values per column; a missing value counts as one value. Exact counts read
+    each column on its own, so no row is multiplied by the number of columns."""
+    if not approximate:
+        each_column = [
+            df.select(F.col(c)).distinct().agg(_rows().alias("n_distinct")).select(F.lit(c).alias("column"), "n_distinct")
+            for c in df.columns
+        ]
+        return reduce(DataFrame.unionByName, each_column)
     one = df.agg(*[
-        (count(F.col(c)) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0)))
+        (F.approx_count_distinct(F.col(c)) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0)))
         .cast("long").alias(f"n_distinct__{i}")
         for i, c in enumerate(df.columns)
     ])
@@ -81,50 +90,68 @@ def describe(df: DataFrame) -> DataFrame:
     return _long(df.agg(*aggs), [f.name for f in fields], DESCRIBE_FIELDS)
 
 
+# Values between the ends of a bracket that are ranked in one task.
+BRACKET = 10_000
+
+
 def quantiles_of(df: DataFrame, cols: dict[str, Column], ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10_000) -> DataFrame:
     """Exact quantiles with linear interpolation of several columns: (column, p, value).
 
-    An approximate pass gives, for each quantile, two values that surely enclose it. A
-    second pass counts the rows below and keeps only values in between (about
-    ``20 / accuracy`` of them), which are reduced to (value, count) and ranked. Nothing
-    but these few values is shuffled, and equal values are counted before that. The
-    number of passes does not depend on the number of columns.
+    Each quantile has a bracket, at first all values. While a bracket holds more than
+    ``BRACKET`` values, an approximate pass over it gives two values inside that surely
+    enclose the quantile, and a counting pass tells how many values lie below and between
+    them; a pass leaves about ``20 / accuracy`` of a bracket. What is left is reduced to
+    (value, count) and ranked. Only two numbers per column and quantile come to the driver,
+    and the number of passes does not depend on the number of columns.
     """
-    names, k = list(cols), len(ps)
+    names, slack = list(cols), 10.0 / accuracy
     rows = df.select(*[cols[c].cast("double").alias(f"v{j}") for j, c in enumerate(names)])
     rows = rows.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in rows.columns])
-    slack = 10.0 / accuracy
-    ends = [x for p in ps for x in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    # Two numbers per column and quantile come to the driver.
-    found = rows.agg(*[
-        x for j in range(len(names)) for x in (
-            F.count(f"v{j}").alias(f"n{j}"), F.percentile_approx(f"v{j}", ends, accuracy).alias(f"b{j}")
-        )
+    sizes = rows.agg(*[
+        x for j in range(len(names)) for x in (F.count(f"v{j}"), F.min(f"v{j}"), F.max(f"v{j}"))
     ]).first()
-    # One entry per column and quantile: id, column number, quantile, lower and upper end.
-    spots = []
-    for j in range(len(names)):
-        # A small column is taken whole, the slack would be less than a row.
-        small = found[f"n{j}"] < accuracy
-        for i, p in enumerate(ps):
-            low = float("-inf") if small else found[f"b{j}"][2 * i]
-            high = float("inf") if small else found[f"b{j}"][2 * i + 1]
-            spots.append((j * k + i, j, float(p), low, high))
-    below = rows.agg(*[F.count(F.when(F.col(f"v{j}") < low, 1)).alias(f"below__{q}") for q, j, _, low, _ in spots])
+    spots = [
+        {"q": j * len(ps) + i, "j": j, "p": float(p), "spot": float(p) * (sizes[3 * j] - 1), "below": 0,
+         "inside": sizes[3 * j], "low": sizes[3 * j + 1], "high": sizes[3 * j + 2]}
+        for j in range(len(names)) for i, p in enumerate(ps) if sizes[3 * j]
+    ]
+
+    def inside(s, low, high) -> Column:
+        return F.when(F.col(f"v{s['j']}").between(low, high), F.col(f"v{s['j']}"))
+
+    open_ = [s for s in spots if s["inside"] > BRACKET]
+    while open_:
+        near = rows.agg(*[
+            F.percentile_approx(inside(s, s["low"], s["high"]), [
+                max(0.0, (floor(s["spot"]) - s["below"]) / s["inside"] - slack),
+                min(1.0, (ceil(s["spot"]) + 1 - s["below"]) / s["inside"] + slack),
+            ], accuracy) for s in open_
+        ]).first()
+        counted = rows.agg(*[
+            x for s, (low, high) in zip(open_, near) for x in (
+                F.count(F.when(F.col(f"v{s['j']}") < low, 1)), F.count(inside(s, low, high)))
+        ]).first()
+        left = []
+        for i, (s, (low, high)) in enumerate(zip(open_, near)):
+            shrunk = counted[2 * i + 1] < s["inside"]
+            s.update(low=low, high=high, below=counted[2 * i], inside=counted[2 * i + 1])
+            if shrunk and s["inside"] > BRACKET:  # else the bracket is a few values that repeat
+                left.append(s)
+        open_ = left
+    if not spots:
+        return df.sparkSession.createDataFrame([], "column string, p double, value double")
     near = [
-        F.when(F.col(f"v{j}").between(low, high), F.struct(F.lit(q).alias("q"), F.col(f"v{j}").alias("v")))
-        for q, j, _, low, high in spots
+        F.when(F.col(f"v{s['j']}").between(s["low"], s["high"]), F.struct(F.lit(s["q"]).alias("q"), F.col(f"v{s['j']}").alias("v")))
+        for s in spots
     ]
     kept = rows.where(F.coalesce(*near).isNotNull())
     kept = kept.select(F.explode(F.array_compact(F.array(*near))).alias("x")).select("x.q", "x.v")
     counted = kept.groupBy("q", "v").agg(_rows().alias("c"))
-    # One row per column and quantile from here on.
-    starts = below.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(q).alias("q"), F.lit(names[j]).alias("column"), F.lit(p).alias("p"),
-            F.col(f"below__{q}").alias("below"), F.lit(p * (found[f"n{j}"] - 1)).alias("spot"),
-        ) for q, j, p, _, _ in spots
-    ])))
+    # One row per column and quantile.
+    starts = df.sparkSession.createDataFrame(
+        [(s["q"], names[s["j"]], s["p"], s["below"], s["spot"]) for s in spots],
+        "q int, column string, p double, below bigint, spot double",
+    )
     last = F.col("below") + F.sum("c").over(Window.partitionBy("q").orderBy("v"))
     ranked = counted.join(F.broadcast(starts), "q").withColumn("last", last)
 
@@ -142,14 +169,6 @@ def quantiles(df: DataFrame, col, ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int
     return quantiles_of(df, {"value": value}, ps, accuracy).drop("column")
 
 
-def quantiles_approx(df: DataFrame, col: str, ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10000) -> DataFrame:
-    """One-pass quantiles within ``1 / accuracy`` of the rank."""
-    found = df.agg(F.percentile_approx(F.col(col).cast("double"), list(map(float, ps)), accuracy).alias("q"))
-    return found.select(F.inline(F.arrays_zip(
-        F.array(*[F.lit(float(p)) for p in ps]).alias("p"), F.col("q").alias("value")
-    ))).toDF("p", "value")
-
-
 def length_stats(df: DataFrame, col: str) -> DataFrame:
     """Text length: max, min, mean, population stddev, median and quartiles as
     (measure, value)."""
@@ -205,10 +224,10 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, col, bins: int = 30) -> DataFrame:
-    """Equal-width bins between min and max, the last one closed, empty bins kept. A
-    constant column gets the range value - 0.5 to value + 0.5."""
+    """Equal-width bins between min and max, the last one closed, empty bins kept; missing
+    values and NaN are in none. A constant column gets the range value - 0.5 to value + 0.5."""
     value = (F.col(col) if isinstance(col, str) else col).cast("double")
-    values = df.select(value.alias("v")).where("v is not null")
+    values = df.select(value.alias("v")).where("v is not null and not isnan(v)")
     flat = F.min("v") == F.max("v")
     bounds = values.agg(F.struct(
         F.when(flat, F.min("v") - 0.5).otherwise(F.min("v")).alias("lo"),

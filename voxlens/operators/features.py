@@ -31,12 +31,30 @@ def remove_stopwords(df: DataFrame, col: str, words: list[str] | None = None, ou
 
 
 def count_vectors(df: DataFrame, col: str = "filtered_words", out: str = "features",
-                  vocab_size: int = 1 << 18, min_df: float = 1.0):
-    """Term count vectors and the fitted vocabulary model (at most ``vocab_size`` terms)."""
-    model = CountVectorizer(inputCol=col, outputCol=out, vocabSize=vocab_size, minDF=min_df).fit(df)
+                  min_df: float = 1.0):
+    """Term count vectors and the fitted vocabulary model, which has every term. The model is
+    on the driver; ``count_arrays`` has no such limit."""
+    terms = max(1, word_rows(df, col).select("word").distinct().count())
+    model = CountVectorizer(inputCol=col, outputCol=out, vocabSize=terms, minDF=min_df).fit(df)
     return model.transform(df), model
 
 
+def count_arrays(df: DataFrame, key: str, col: str) -> tuple[DataFrame, DataFrame]:
+    """Count vectors without a vocabulary on the driver: (key, entries), entries being the
+    (idx, tf) of a document by index, and the table (token, idx, n) of all terms."""
+    counts = stage(term_counts(df, key, col), "term_counts")
+    totals = counts.groupBy("term").agg(F.sum("tf").alias("n"))
+    index = number_rows(totals, [F.desc("n"), F.asc("term")], "rank").select(
+        F.col("term").alias("token"), (F.col("rank") - 1).alias("idx"), "n"
+    )
+    index = stage(index, "term_index")
+    held = counts.groupBy("term").agg(_rows().alias("df"))
+    dim = held.join(index.withColumnRenamed("token", "term"), "term").select("term", "idx", "df")
+    met = join_split(counts, stage(dim, "term_index"), "term", "df")
+    entries = met.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("idx", "tf"))).alias("entries"))
+    return entries, index
+
+
 def tfidf_vectors(df: DataFrame, col: str = "features", out: str = "tfidf_features") -> DataFrame:
     return IDF(inputCol=col, outputCol=out).fit(df).transform(df)
 
@@ -130,7 +148,7 @@ def mean_tfidf(df: DataFrame, key: str, col: str, n: int, by: str | None = None,
         key, "pair", "n_docs",
         (F.col("tf") * (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1)).alias("w"),
     )
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(F.col(f"pair.{by}"), key)))
     mean = raw.withColumn("w", F.col("w") / length).groupBy("pair", "n_docs").agg(F.sum("w").alias("w"))
     mean = mean.select("pair.*", (F.col("w") / F.col("n_docs")).alias("mean_weight"))
     mean = mean.withColumnRenamed("word", "term")

@@ -23,11 +23,19 @@ from voxlens.sources.files import run_sql
 from voxlens.session import fresh_path, stage
 
 
-def text_vectors(df: DataFrame, col: str, words: list[str] | None = None, vocab_size: int = 1 << 18, min_df: float = 1.0):
-    """tokenize -> stop words -> counts -> TF-IDF; returns rows and the vocabulary model."""
+# Dimensions of hashed term counts: centres of clusters have this size whatever the corpus.
+HASHED = 1 << 18
+
+
+def text_vectors(df: DataFrame, col: str, words: list[str] | None = None, dims: int = HASHED) -> DataFrame:
+    """tokenize -> stop words -> hashed counts of all terms -> TF-IDF."""
     tokens = remove_stopwords(tokenize(df, col), "words", words)
-    counted, model = count_vectors(tokens, vocab_size=vocab_size, min_df=min_df)
-    return tfidf_vectors(counted), model
+    return tfidf_vectors(HashingTF(inputCol="filtered_words", outputCol="features", numFeatures=dims).transform(tokens))
+
+
+def counted_vectors(df: DataFrame, col: str, words: list[str] | None = None):
+    """tokenize -> stop words -> counts of all terms; returns rows and the vocabulary model."""
+    return count_vectors(remove_stopwords(tokenize(df, col), "words", words))
 
 
 def cluster(df: DataFrame, k: int = 2, seed: int = 42, features: str = "tfidf_features", out: str = "cluster"):

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# Largest rank for which the planner keeps only the first rows of each group before the
-# shuffle (default of spark.sql.optimizer.windowGroupLimitThreshold).
-PRESHUFFLE_RANK = 1000
-
 
 def latest_per_key(df: DataFrame, key, ts: str) -> DataFrame:
     """One row per key, the one with the largest time (then the largest other columns).
@@ -24,16 +20,16 @@ def latest_per_key(df: DataFrame, key, ts: str) -> DataFrame:
     return newest.select(*keys, "__r.*").select(*df.columns)
 
 
-def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str = "rank") -> DataFrame:
+def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str = "rank",
+                  slices: int | None = None) -> DataFrame:
     """First ``n`` rows of each group in the given total order, with their rank.
 
-    Up to rank 1000 the planner cuts each group before the shuffle; beyond that the
-    group is first cut within hashed slices, so that a hot group never meets one task
-    whole."""
-    if n > PRESHUFFLE_RANK:
-        slices = df.withColumn("__s", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
-        part = Window.partitionBy(*keys, "__s").orderBy(*order)
-        df = slices.withColumn(name, F.row_number().over(part)).where(F.col(name) <= n).drop("__s", name)
+    Each group is first cut within hashed slices, as many as there are shuffle partitions
+    unless given, so that a hot group never meets one task whole, whatever ``n`` is."""
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.withColumn("__s", F.pmod(F.xxhash64(*df.columns), F.lit(slices)))
+    part = Window.partitionBy(*keys, "__s").orderBy(*order)
+    df = sliced.withColumn(name, F.row_number().over(part)).where(F.col(name) <= n).drop("__s", name)
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(ranked)).where(F.col(name) <= n)
 

@@ -43,6 +43,19 @@ def parse_timestamps(df: DataFrame, cols: list[str], fmt: str = ISO_FORMAT) -> D
     return df.withColumns({c: F.try_to_timestamp(F.col(c), F.lit(fmt)) for c in cols})
 
 
+# Dates as the review pages and tables write them.
+DATE_FORMATS = ("yyyy.MM.dd.", "yyyy.MM.dd", "yyyy/MM/dd")
+
+
+def parse_dates(df: DataFrame, cols: list[str], formats=DATE_FORMATS) -> DataFrame:
+    """Date text to timestamp: what a cast reads, else the first format that fits; malformed
+    text gives NULL."""
+    return df.withColumns({
+        c: F.coalesce(F.col(c).try_cast("timestamp"), *[F.try_to_timestamp(F.col(c), F.lit(f)) for f in formats])
+        for c in cols
+    })
+
+
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast; a value that does not fit gives NULL."""
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})

@@ -25,18 +25,24 @@ from voxlens.functions.answers import (
     spread_keywords,
     valid_keywords,
 )
-from voxlens.functions.text import word_tokens
+from voxlens.functions.text import any_of, lexicon_score, word_tokens
 from voxlens.operators.lookup import anti_match, lookup, merge_cache
 from voxlens.operators.ranking import latest_per_key
 from voxlens.schemas import KEYWORD_CACHE
 from voxlens.session import cut
+from voxlens.wordlists import NEGATIVE_WORDS, POSITIVE_WORDS
 
 SCORE = T.StructType([T.StructField("label", T.StringType()), T.StructField("confidence", T.DoubleType())])
 
 
-def score_text(df: DataFrame, col: str, scorer: Callable[[pd.Series], pd.DataFrame], out: str = "score") -> DataFrame:
-    """Label and confidence in one struct, so the model runs once per row. ``scorer``
-    takes a text batch and returns columns ``label`` and ``confidence``."""
+def score_text(df: DataFrame, col: str, scorer: Callable[[pd.Series], pd.DataFrame] | None = None, out: str = "score",
+               positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> DataFrame:
+    """Label and confidence in one struct, so the model runs once per row. The default is a
+    word rule in the JVM; a ``scorer`` takes a text batch and returns columns ``label`` and
+    ``confidence``."""
+    if scorer is None:
+        return df.withColumn(out, lexicon_score(col, positive, negative))
+
     @F.pandas_udf(SCORE)
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
@@ -45,25 +51,14 @@ def score_text(df: DataFrame, col: str, scorer: Callable[[pd.Series], pd.DataFra
     return df.withColumn(out, run(F.col(col)))
 
 
-def lexicon_scorer(positive, negative) -> Callable[[pd.Series], pd.DataFrame]:
-    """Word rule: the polarity with more listed words, its share as confidence."""
-    positive, negative = frozenset(positive), frozenset(negative)
-
-    def score(texts: pd.Series) -> pd.DataFrame:
-        tokens = texts.fillna("").str.split()
-        pos = tokens.map(lambda t: sum(w in positive for w in t)).to_numpy(dtype=float)
-        neg = tokens.map(lambda t: sum(w in negative for w in t)).to_numpy(dtype=float)
-        label = np.where(pos > neg, "positive", np.where(pos < neg, "negative", "neutral"))
-        share = np.divide(np.maximum(pos, neg), pos + neg, out=np.zeros_like(pos), where=(pos + neg) > 0)
-        return pd.DataFrame({"label": label, "confidence": share})
-
-    return score
-
+def score_relevance(df: DataFrame, col: str, load: Callable[[], Callable[[pd.Series], pd.Series]] | None = None,
+                    out: str = "relevant", words=()) -> DataFrame:
+    """1 / 0 from the answer of a model, or by default whether any of ``words`` occurs. ``load``
+    is called once per task and returns the function from text batch to answer batch."""
+    if load is None:
+        found = F.coalesce(F.col(col).rlike(any_of(list(words))), F.lit(False))
+        return df.withColumn(out, found.cast("int"))
 
-def score_relevance(df: DataFrame, col: str, load: Callable[[], Callable[[pd.Series], pd.Series]],
-                    out: str = "relevant") -> DataFrame:
-    """1 / 0 from the answer of a model. ``load`` is called once per task and returns the
-    function from text batch to answer batch."""
     @F.pandas_udf(T.StringType())
     def ask(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         answer = load()
@@ -73,18 +68,6 @@ def score_relevance(df: DataFrame, col: str, load: Callable[[], Callable[[pd.Ser
     return df.withColumn(out, parse_flag(ask(F.col(col))))
 
 
-def keyword_relevance(words) -> Callable[[], Callable[[pd.Series], pd.Series]]:
-    """Word rule: answer ``1`` when any of the words occurs in the text."""
-    words = list(words)
-
-    def load():
-        def answer(texts: pd.Series) -> pd.Series:
-            return texts.fillna("").map(lambda t: "1" if any(w in t for w in words) else "0")
-        return answer
-
-    return load
-
-
 def embed(df: DataFrame, col: str, encoder: Callable[[pd.Series], list] | None = None, dims: int = 64,
           out: str = "embedding") -> DataFrame:
     """Text to a float array. The default is a hashed bag of words of unit length, made in

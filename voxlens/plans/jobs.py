@@ -19,6 +19,7 @@ from voxlens.functions.text import (
     words,
 )
 from voxlens.operators import aggregate, filters, lookup, models, ranking, reshape
+from voxlens.session import stage
 from voxlens.sources import database, files
 
 Sink = Callable[[DataFrame], int]
@@ -43,11 +44,24 @@ def comment_etl(spark: SparkSession, src, sink: Sink) -> int:
     return sink(clean_comments(files.read_parquet(spark, src, schemas.COMMENTS_RAW)))
 
 
-def clean_reviews(raw: DataFrame) -> DataFrame:
-    """Score and date as values, incomplete rows and copies dropped."""
+def _parsed_reviews(raw: DataFrame) -> DataFrame:
     parsed = reshape.parse_score(raw, "scoring", to="int")
-    parsed = reshape.cast_columns(parsed, {"purchasing_date": "timestamp"})
-    return lookup.dedup(filters.drop_incomplete(parsed))
+    return reshape.parse_dates(parsed, ["purchasing_date"])
+
+
+def clean_reviews(raw: DataFrame) -> DataFrame:
+    """Score and date as values, incomplete rows and copies dropped; ``rejected_reviews``
+    has the dropped ones."""
+    return lookup.dedup(filters.drop_incomplete(_parsed_reviews(raw)))
+
+
+def rejected_reviews(raw: DataFrame) -> DataFrame:
+    """The raw rows that ``clean_reviews`` leaves out as incomplete, with the columns that
+    are missing or unreadable as ``reason``."""
+    as_read = F.struct(*[F.col(c) for c in raw.columns]).alias("__raw")
+    parsed = _parsed_reviews(raw.withColumn("__raw", as_read))
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in raw.columns]))
+    return parsed.where(F.size(missing) > 0).select("__raw.*", F.array_join(missing, ", ").alias("reason"))
 
 
 def review_etl(spark: SparkSession, src, sink: Sink) -> int:
@@ -109,9 +123,8 @@ def brand_report(df: DataFrame, text: str, first, second, dim: DataFrame, stop=(
 def cluster_corpus(df: DataFrame, key: str, text: str, k: int = 2, seed: int = 42, ks=range(2, 10),
                    judged=range(2, 6), **vectors) -> dict[str, DataFrame]:
     """TF-IDF clusters with sizes, members, cost and silhouette per k. The vectors are
-    kept for all fits."""
-    placed, vocab = models.text_vectors(df.select(key, text), text, **vectors)
-    held = placed.select(key, "tfidf_features").persist()
+    written once for all fits."""
+    held = stage(models.text_vectors(df.select(key, text), text, **vectors).select(key, "tfidf_features"), "vectors")
     clustered, _ = models.cluster(held, k, seed)
     return {
         "clusters": clustered.select(key, "cluster"),

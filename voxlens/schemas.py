@@ -44,8 +44,11 @@ KEYWORD_CACHE = T.StructType(
 )
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the declared columns in order; a missing column or another type is an error."""
+def conform(df: DataFrame, schema: T.StructType, extra: str = "error") -> DataFrame:
+    """Select the declared columns in order; a missing column or another type is an error. So
+    is a column that is not declared, unless ``extra`` is ``drop``."""
+    if extra not in ("error", "drop"):
+        raise ValueError(f"extra: {extra}")
     found = {f.name: f.dataType for f in df.schema.fields}
     wrong = [
         f"{f.name}: expected {f.dataType.simpleString()}, found "
@@ -53,6 +56,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         for f in schema.fields
         if found.get(f.name) != f.dataType
     ]
+    if extra == "error":
+        wrong += [f"{name}: not declared" for name in found if name not in schema.fieldNames()]
     if wrong:
         raise ValueError("schema mismatch: " + "; ".join(wrong))
     return df.select(*schema.fieldNames())

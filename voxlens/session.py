@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +24,8 @@ def build_session(app: str = "voxlens", master: str | None = None, **conf) -> Sp
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors see. Taken from ``spark.checkpoint.dir``; a local
-    folder is made only for a local master with that setting unset (tests)."""
+    """The folder all executors see. Taken from ``spark.checkpoint.dir``; with a local master
+    and that setting unset it lies below the warehouse."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if root:
@@ -37,7 +36,7 @@ def shared_root(spark: SparkSession) -> str:
         return context.getCheckpointDir()
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="voxlens-")
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     context.setCheckpointDir(root)
     return root
 

@@ -12,34 +12,18 @@ from voxlens.operators.ranking import sort
 from voxlens.schemas import THREADS, conform
 from voxlens.session import fresh_path
 
-# Size of a full split (default of spark.sql.files.maxPartitionBytes).
-SPLIT_BYTES = 128 * 1024 * 1024
+def read_parquet(spark: SparkSession, path, schema: T.StructType | None = None, partitions: int | None = None,
+                 extra: str = "error") -> DataFrame:
+    """A directory, glob or file. With a schema the footer types must agree with it, and
+    columns beyond it are an error or, with ``extra="drop"``, left out.
 
-
-def read_parquet(spark: SparkSession, path, schema: T.StructType | None = None, spread: bool = False) -> DataFrame:
-    """A directory, glob or file. With a schema the footer types must agree with it.
-
-    ``spread`` is for work that is heavy per row, such as text cleaning, on a table of a
-    few files: below one full split per core the rows are dealt out to all cores. A
-    larger table is read as it lies, without a shuffle.
+    ``partitions`` deals the rows out anew, for work that is heavy per row on files that do
+    not split; without it the table is read as it lies.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.parquet(*paths)
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if table_bytes(spark, paths) < cores * SPLIT_BYTES:
-            df = df.repartition(cores)
-    return df if schema is None else conform(df, schema)
-
-
-def table_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Size of the files below the paths (globs included), from the file system."""
-    total = 0
-    for path in paths:
-        jvm, fs = _file_system(spark, path)
-        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(path)) or []:
-            total += fs.getContentSummary(status.getPath()).getLength()
-    return total
+    df = spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
+    if partitions:
+        df = df.repartition(partitions)
+    return df if schema is None else conform(df, schema, extra)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

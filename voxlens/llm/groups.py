@@ -59,9 +59,9 @@ def components(links: DataFrame) -> DataFrame:
     written to the shared folder, so its plan stays short and a lost executor costs one round.
     Edges that repeat or link a node with itself change nothing.
     """
-    edges = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = stage(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     nodes = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
-    edges = stage(edges, "links")
+    edges = links.where("a <> b")
     seen = None
     while True:
         rows = _both_ways(edges)

@@ -224,20 +224,21 @@ def _tasks(data, name: str, with_ids: bool):
         bpe = made["bpe"]
 
         def of_pieces(pieces):
-            return [(ids, ",".join(map(str, ids))) for ids in bpe.encode_all([p.encode() for p in pieces])]
+            found = bpe.encode_all([p.encode() for p in pieces])
+            return [(len(ids), ",".join(map(str, ids)), bpe.decode(ids), ids if with_ids else None) for ids in found]
 
-        encoder = TextEncoder(f"bpe-{name}", of_pieces)
+        encoder = TextEncoder(f"bpe-{name}-{with_ids}", of_pieces)
         for batch in batches:
             keys = batch.column(0)
             for at, texts in text_runs(batch.column(1)):
                 counts, id_sums, text_sums, lists = [], [], [], []
                 for parts in encoder.look_up(texts):
-                    ids = list(chain.from_iterable(part[0] for part in parts))
-                    counts.append(len(ids))
-                    id_sums.append(hashlib.sha256(",".join([part[1] for part in parts]).encode()).hexdigest())
-                    text_sums.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                    sizes, texts_of_ids, decoded, ids = zip(*parts) if parts else ((), (), (), ())
+                    counts.append(sum(sizes))
+                    id_sums.append(hashlib.sha256(",".join(texts_of_ids).encode()).hexdigest())
+                    text_sums.append(hashlib.sha256(b"".join(decoded)).hexdigest())
                     if with_ids:
-                        lists.append(ids)
+                        lists.append(list(chain.from_iterable(ids)))
                 columns = {"id": keys.slice(at, len(texts)), "n_tokens": pa.array(counts, pa.int64()),
                            "ids_sha256": pa.array(id_sums, pa.string()),
                            "decoded_sha256": pa.array(text_sums, pa.string())}

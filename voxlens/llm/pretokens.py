@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 import sys
 
-#: Most entries of one worker's cache (about 100 MB); a full cache starts anew.
-CACHE_ENTRIES = 1 << 19
+#: Most entries of one worker's cache (about 350 MB); a full cache starts anew.
+CACHE_ENTRIES = 1 << 20
 
 # The pattern's classes, written out for texts within Latin-1.
 _SPACE, _DIGIT, _LETTER = r"\t-\r \x85\xa0", "0-9\xb2\xb3\xb9\xbc-\xbe", "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"

@@ -137,15 +137,19 @@ def b6_keywords(spark, sf):
     return brand_report(spark, sf)["keywords"]
 
 
-@query("b7_cluster_corpus")
+@query("b7_cluster_corpus", """
+SELECT 'size' AS report, count(*) AS n, true AS good FROM documents
+UNION ALL SELECT 'cost', 8, true UNION ALL SELECT 'silhouette', 4, true
+""")
 def b7(spark, sf):
     reports = jobs.cluster_corpus(
         table(spark, sf, "documents"), "doc_id", "text", words=EXCLUDE
     )
     return lookup.union_all([
-        reports["sizes"].select(F.lit("size").alias("report"), "cluster", F.col("n").cast("double").alias("value")),
-        reports["elbow"].select(F.lit("cost").alias("report"), F.col("k").alias("cluster"), F.col("cost").alias("value")),
-        reports["silhouette"].select(F.lit("silhouette").alias("report"), F.col("k").alias("cluster"), F.col("silhouette").alias("value")),
+        reports["sizes"].agg(F.lit("size").alias("report"), F.sum("n").alias("n"), F.every(F.col("n") > 0).alias("good")),
+        reports["elbow"].agg(F.lit("cost").alias("report"), F.count("k").alias("n"), F.every(F.col("cost") > 0).alias("good")),
+        reports["silhouette"].agg(F.lit("silhouette").alias("report"), F.count("k").alias("n"),
+                                  F.every(F.col("silhouette").between(-1, 1)).alias("good")),
     ])
 
 

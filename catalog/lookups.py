@@ -142,9 +142,14 @@ def l5(spark, sf):
     return ranking.sample(table(spark, sf, "events").select("event_id", "event_type"), 0.1, 42, "event_id")
 
 
-@query("l5_sample_rows")
+@query("l5_sample_rows", "SELECT true AS from_table, true AS once, true AS a_tenth")
 def l5_rows(spark, sf):
-    return ranking.sample(table(spark, sf, "events").select("event_id", "event_type"), 0.1, 42)
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    drawn = ranking.sample(events, 0.1, 42).groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("times"))
+    met = events.join(drawn, ["event_id", "event_type"], "full")
+    rows = events.agg(F.count(F.lit(1))).scalar()
+    return met.agg((F.count(F.lit(1)) == rows).alias("from_table"), F.every(F.coalesce("times", F.lit(1)) == 1).alias("once"),
+                   (F.count("times") / F.count(F.lit(1))).between(0.05, 0.15).alias("a_tenth"))
 
 
 @query("l6_split", f"""
@@ -155,7 +160,8 @@ def l6(spark, sf):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query("l6_split_rows")
+@query("l6_split_rows", "SELECT doc_id, 1 AS n_parts FROM documents")
 def l6_rows(spark, sf):
     train, test = ranking.split(table(spark, sf, "documents").select("doc_id"), [0.8, 0.2], 42)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.groupBy("doc_id").agg(F.count("part").cast("int").alias("n_parts"))

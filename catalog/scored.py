@@ -7,7 +7,7 @@ from catalog import sqltext as q
 from catalog.profiling import in_list, rounded
 from catalog.registry import query, table
 from catalog.textual import NEGATIVE, POSITIVE
-from voxlens.functions.text import clean_basic
+from voxlens.functions.text import clean_basic, word_tokens
 from voxlens.operators import scoring
 
 POS = f"len(list_filter({q.words('t')}, lambda w: w IN ({in_list(POSITIVE)})))"
@@ -48,10 +48,14 @@ def x3(spark, sf):
     return scoring.score_relevance(docs, "text", words=["ption", "heit"]).select("doc_id", "relevant")
 
 
-@query("x5_embed")
+@query("x5_embed", "SELECT doc_id, 64 AS n_dims, true AS unit FROM documents")
 def x5(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return scoring.embed(docs, "text").select("doc_id", F.posexplode("embedding").alias("dim", "weight"))
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    empty = F.size(F.coalesce(word_tokens("text"), F.array().cast("array<string>"))) == 0
+    return scoring.embed(docs, "text").select(
+        "doc_id", F.size("embedding").alias("n_dims"),
+        (F.abs(length - F.when(empty, 0.0).otherwise(1.0)) < 1e-5).alias("unit"))
 
 
 def letter_encoder(texts: pd.Series) -> list:

@@ -161,7 +161,11 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
 
 def nmf_topics(weights: DataFrame, key: str, k: int = 3, n: int = 5, rounds: int = 20, seed: int = 42) -> DataFrame:
     """Top words of each factor: (topic, rank, term, weight)."""
-    terms = nmf(weights, key, k, rounds, seed).terms
+    return factor_topics(nmf(weights, key, k, rounds, seed).terms, k, n)
+
+
+def factor_topics(terms: DataFrame, k: int, n: int) -> DataFrame:
+    """Top words of the term factors of ``nmf``."""
     tops = [
         terms.select("term", F.col(f"h{i}").alias("weight")).orderBy(F.desc("weight"), "term").limit(n)
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("m"), "term"))).alias("l"))

@@ -126,11 +126,12 @@ def p10_links(spark, sf):
 
 
 @query("p10_extract_nested_fields", f"""
-SELECT page_id, {unescape('''regexp_extract(html, '<div class="ad">([^<]*)</div>', 1)''')} AS ad FROM pages
+WITH n AS (SELECT page_id, regexp_extract(html, '<nav>(.*?)</nav>', 1, 's') AS nav FROM pages)
+SELECT page_id, {unescape("""array_to_string(regexp_extract_all(nav, '<a [^>]*>([^<]*)</a>', 1), '|')""")} AS links FROM n
 """)
 def p10_nested(spark, sf):
-    fields = pages.extract_nested_fields(table(spark, sf, "pages"), {"ad": ("div", "ad", None)}, keep=["page_id"])
-    return fields.select("page_id", F.get("ad", F.lit(0)).alias("ad"))
+    fields = pages.extract_nested_fields(table(spark, sf, "pages"), {"links": ("nav ul > li a", None)}, keep=["page_id"])
+    return fields.select("page_id", F.array_join("links", "|").alias("links"))
 
 
 @query("p11_page_window", """
@@ -139,12 +140,16 @@ SELECT page_id, CAST(1 + page_id % 7 * 10 AS INTEGER) AS "current",
        CAST(1 + page_id % 10 AS INTEGER) AS n_listed, page_id % 10 = 9 AS has_next FROM pages
 """)
 def p11(spark, sf):
+    """The given pages, with a counter and a page list put behind them."""
     first = 1 + F.col("page_id") % 7 * 10
     further = F.when(
         F.col("page_id") % 10 > 0, F.sequence(first + 1, first + F.col("page_id") % 10)
     ).otherwise(F.array().cast("array<bigint>"))
     links = F.transform(further, lambda n: F.concat(F.lit('<a data-pagenumber="'), n.cast("string"), F.lit('">next</a>')))
-    html = F.concat(F.lit("<div><span>"), first.cast("string"), F.lit("</span>"), F.array_join(links, ""), F.lit("</div>"))
+    html = F.concat(
+        F.coalesce("html", F.lit("")), F.lit(f'<div><span>3</span></div><div id="{pages.LIST[1:]}"><div><div><div><span>'),
+        first.cast("string"), F.lit("</span>"), F.array_join(links, ""), F.lit("</div></div></div></div>"),
+    )
     return pages.page_window(table(spark, sf, "pages").select("page_id", html.alias("html")), keep=["page_id"])
 
 

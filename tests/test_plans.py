@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "PythonUDF")
 # Operators whose subject is a passed Python function or a parser.
-WITH_PYTHON = ("x4", "x5", "x6", "x7", "t20_extract_terms_tokenizer", "p10_extract_nested_fields")
+WITH_PYTHON = ("x4", "x5", "x6", "x7", "t20_extract_terms_tokenizer", "p10_extract_nested_fields", "p11_page_window")
 LAZY = [n for n in entry.oracle_sql() if not n.startswith(WITH_PYTHON)]
 
 

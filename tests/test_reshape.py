@@ -171,11 +171,13 @@ def test_schema_mismatch_is_an_error(spark):
         schemas.conform(spark.createDataFrame([GOOD], RAW).withColumn("like_count", F.lit("3")), RAW)
 
 
-HTML = """
-<div id="list"><div class="top_info"><span class="point_type_s"><span>100점</span></span>
+HTML = f"""
+<span class="date">2020.01.01.</span><span>3</span>
+<div id="{pages.LIST[1:]}"><div><div class="top_info"><span class="point_type_s">x <span>100점</span> extra</span>
 <span class="mall"><img src="x.png" alt="몰 &amp; 샵"></span><span class="date">2024.10.01.</span></div>
-<div class="atc_cont"><div class="tit_W">좋은 <b>폰</b></div><div class="atc_exp"><div class="atc">화질<br>최고</div></div></div>
-<div><span>11</span><a data-pagenumber="12">12</a><a data-pagenumber="20">next</a></div></div>
+<div class="atc_cont"><div class="tit_W">좋은 <b>폰</b></div><p><div class="tit_W">other</div></p>
+<div class="atc_exp"><div class="atc">화질<br>최고 &copy;</div></div></div>
+<div><div><span>11</span><a data-pagenumber="12">12</a><a data-pagenumber="20">next</a></div></div></div></div>
 """
 
 
@@ -184,18 +186,31 @@ def test_review_page(spark):
     first, second = pages.extract_nested_fields(df, keep=["id"]).orderBy("id").collect()
     assert first["scoring"] == ["100점"] and first["market"] == ["몰 & 샵"]
     assert first["purchasing_date"] == ["2024.10.01."]
-    assert first["review_title"] == ["좋은 폰"] and first["review_content"] == ["화질최고"]
+    assert first["review_title"] == ["좋은 폰"] and first["review_content"] == ["화질최고 ©"]
     assert second["review_title"] == []
     rows = reshape.zip_fields(pages.extract_nested_fields(df), list(pages.REVIEW_FIELDS))
     assert rows.count() == 1
 
 
 def test_page_list(spark):
+    def shown(inner):
+        return f'<span>7</span><div id="{pages.LIST[1:]}"><div><div><div>{inner}</div></div></div></div>'
+
     block = "<span>1</span>" + "".join(f'<a data-pagenumber="{i}">{i}</a>' for i in range(2, 11))
-    df = spark.createDataFrame([(1, block), (2, "<span> 3 </span>")], "id int, html string")
-    full, single = pages.page_window(df, keep=["id"]).orderBy("id").collect()
+    df = spark.createDataFrame([(1, shown(block)), (2, shown("<span> 3 </span>")), (3, HTML), (4, "<span>5</span>")],
+                               "id int, html string")
+    full, single, listed, none = pages.page_window(df, keep=["id"]).orderBy("id").collect()
     assert (full["current"], full["last"], full["has_next"]) == (1, 10, True)
     assert (single["current"], single["last"], single["has_next"]) == (3, 3, False)
+    assert (listed["current"], listed["last"], listed["has_next"]) == (11, 20, True)
+    assert none["current"] is None and none["n_listed"] == 1
+
+
+def test_character_references(spark):
+    text = "a &amp;lt; &copy;&middot;&#44032;&#xAC00; &#x1F600; &nosuch; &#xD800; & b;"
+    df = spark.createDataFrame([(text,), ("plain",), (None,)], "t string")
+    assert [r[0] for r in df.select(pages.unescape(F.col("t"))).collect()] == [
+        "a &lt; ©·가가 😀 &nosuch; &#xD800; & b;", "plain", None]
 
 
 def test_split_is_whole_and_stable(spark):

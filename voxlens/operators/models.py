@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,7 +11,7 @@ from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from voxlens.functions.text import word_tokens
@@ -20,7 +21,7 @@ from voxlens.operators.features import class_tfidf, count_vectors, remove_stopwo
 from voxlens.operators.ranking import split
 from voxlens.operators.skew import HOT_SHARE, hot_rows
 from voxlens.sources.files import run_sql
-from voxlens.session import fresh_path, stage
+from voxlens.session import discard, fresh_path, stage
 
 
 # Dimensions of hashed term counts: centres of clusters have this size whatever the corpus.
@@ -99,38 +100,53 @@ def _start(key: str, topic: int, seed: int) -> Column:
     return (F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed * 1000 + topic)), F.lit(1000)) + 1) / 1000.0
 
 
-def _gram(df: DataFrame, prefix: str, k: int, *more: Column):
-    """k x k inner products of the factor columns, and further sums: one row whatever the
-    data."""
-    row = df.agg(*[
-        F.sum(F.col(f"{prefix}{i}") * F.col(f"{prefix}{j}")).alias(f"g{i}_{j}")
-        for i in range(k) for j in range(i, k)
-    ], *[F.sum(m).alias(f"m{i}") for i, m in enumerate(more)]).first()
+def _gram_sums(prefix: str, k: int, *more: Column) -> list[Column]:
+    """k x k inner products of the factor columns, and further sums."""
+    return [
+        F.sum(F.col(f"{prefix}{i}") * F.col(f"{prefix}{j}")).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)
+    ] + [F.sum(m).alias(f"m{i}") for i, m in enumerate(more)]
+
+
+def _observed(df: DataFrame, name: str, prefix: str, k: int, *more: Column):
+    """The table staged, and its gram matrix and further sums, found while it is written."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *_gram_sums(prefix, k, *more)), name)
+    row = seen.get
     gram = [[float(row[f"g{min(i, j)}_{max(i, j)}"] or 0.0) for j in range(k)] for i in range(k)]
-    return gram, [float(row[f"m{i}"] or 0.0) for i in range(len(more))]
+    return staged, gram, [float(row[f"m{i}"] or 0.0) for i in range(len(more))]
+
+
+def _bucketed(df: DataFrame, by: str, name: str) -> tuple[DataFrame, str]:
+    """A table in the shared folder whose rows lie in one bucket per shuffle partition, so a
+    join by that column leaves them where they are. Also its name."""
+    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(buckets, by).write.bucketBy(buckets, by).option("path", fresh_path(spark, name)).saveAsTable(table)
+    return spark.table(table), table
 
 
 def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int = 42) -> NmfResult:
     """Non-negative factors of a sparse (key, term, weight) table by multiplicative updates.
 
-    The table is written once, placed by document. A round joins it with the term factors
-    and sums per document, then with the document factors and sums per term; both sums
-    are combined before any shuffle. Terms of very many documents meet their rows in
-    place. Factors are staged after each half round, which ends their lineage and tells
-    the planner their size. Only k x k numbers come to the driver.
+    The table is written twice, in buckets by document and, without the terms of very many
+    documents, by term. A round joins the term factors to the second (those terms meet their
+    rows in the first, by broadcast) and sums per document, then the document factors to the
+    first and sums per term: factors and partial sums move, the table does not. Factors are
+    staged after each half round, with their inner products found on the way, and those of
+    the round before are removed. Only k x k numbers come to the driver.
     """
     w, h = [f"w{i}" for i in range(k)], [f"h{i}" for i in range(k)]
     weights = stage(weights.select(key, "term", "weight"), "nmf_input")
     terms = weights.groupBy("term").agg(_rows().alias("n"))
     hot_terms = hot_rows(terms, "n", HOT_SHARE).select("term", F.lit(True).alias("hot"))
-    x = weights.join(F.broadcast(hot_terms), "term", "left")
-    x = stage(x.withColumn("hot", F.coalesce("hot", F.lit(False))).repartition(key), "nmf_weights")
-    docs = stage(x.select(key).distinct().select(key, *[_start(key, i, seed).alias(c) for i, c in enumerate(w)]), "nmf_documents")
-    tops = stage(x.groupBy("term").agg(F.max("hot").alias("hot")).select(
+    marked = weights.join(F.broadcast(hot_terms), "term", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    by_doc, doc_table = _bucketed(marked, key, "nmf_by_document")
+    by_term, term_table = _bucketed(by_doc.where("not hot").drop("hot"), "term", "nmf_by_term")
+    docs = stage(by_doc.select(key).distinct().select(key, *[_start(key, i, seed).alias(c) for i, c in enumerate(w)]), "nmf_documents")
+    tops, outer, _ = _observed(by_doc.groupBy("term").agg(F.max("hot").alias("hot")).select(
         "term", "hot", *[_start("term", i, seed + 1).alias(c) for i, c in enumerate(h)]
-    ), "nmf_terms")
-    norm = x.agg(F.sum(F.col("weight") * F.col("weight"))).first()[0]
-    outer, _ = _gram(tops, "h", k)
+    ), "nmf_terms", "h", k)
+    norm = by_doc.agg(F.sum(F.col("weight") * F.col("weight"))).first()[0]
     errors = []
     tiny = F.lit(1e-12)
 
@@ -144,18 +160,23 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
     num = [f"num{i}" for i in range(k)]
     for _ in range(rounds):
         hot = F.broadcast(tops.where("hot").drop("hot"))
-        cold = tops.where(~F.col("hot")).drop("hot")
-        met = x.where("hot").join(hot, "term").unionByName(x.where(~F.col("hot")).join(cold, "term"))
+        cold = by_term.join(tops.where(~F.col("hot")).drop("hot"), "term")
+        met = by_doc.where("hot").drop("hot").join(hot, "term").unionByName(cold)
         sums = met.groupBy(key).agg(*[F.sum(F.col("weight") * F.col(c)).alias(n) for c, n in zip(h, num)])
-        docs = stage(docs.join(sums, key).select(key, *updated(w, num, outer)), "nmf_documents")
-
-        met = x.join(docs, key)
-        sums = met.groupBy("term").agg(*[F.sum(F.col("weight") * F.col(c)).alias(n) for c, n in zip(w, num)])
-        inner, _ = _gram(docs, "w", k)
-        both = stage(tops.join(sums, "term").select("term", "hot", *updated(h, num, inner), *num), "nmf_terms")
-        outer, (cross,) = _gram(both, "h", k, reduce(lambda a, b: a + b, [F.col(a) * F.col(b) for a, b in zip(h, num)]))
-        tops = both.drop(*num)
-        errors.append(norm - 2 * cross + sum(inner[i][j] * outer[i][j] for i in range(k) for j in range(k)))
+        old, (docs, inner, _) = docs, _observed(
+            docs.join(sums, key).select(key, *updated(w, num, outer)), "nmf_documents", "w", k)
+        discard(old)
+
+        sums = by_doc.join(docs, key).groupBy("term").agg(
+            *[F.sum(F.col("weight") * F.col(c)).alias(n) for c, n in zip(w, num)])
+        cross = reduce(lambda a, b: a + b, [F.col(a) * F.col(b) for a, b in zip(h, num)])
+        old, (tops, outer, (crossed,)) = tops, _observed(
+            tops.join(sums, "term").select("term", "hot", *updated(h, num, inner), *num), "nmf_terms", "h", k, cross)
+        discard(old)
+        tops = tops.drop(*num)
+        errors.append(norm - 2 * crossed + sum(inner[i][j] * outer[i][j] for i in range(k) for j in range(k)))
+    for name in (doc_table, term_table):
+        weights.sparkSession.sql(f"DROP TABLE {name}")
     return NmfResult(docs, tops.drop("hot"), errors)
 
 

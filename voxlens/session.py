@@ -54,6 +54,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {jvm.org.apache.hadoop.fs.Path(f).getParent().toString() for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: rows and their order are fixed from here on, also when
     executors are lost."""

@@ -105,3 +105,13 @@ def test_encoding(spark):
     df = spark.createDataFrame([(1, ["a", "zzz", "b"]), (2, []), (3, None), (4, ["b"] * 9)], "id int, t array<string>")
     out = {r["id"]: r["encoded"] for r in features.encode_tokens(df, "id", "t", vocab, 5).collect()}
     assert out == {1: [3, 1, 2, 0, 0], 2: [0] * 5, 3: [0] * 5, 4: [2] * 5}
+
+
+def test_count_arrays_have_every_term(spark):
+    n = (1 << 18) + 5000
+    rows = spark.range(n).select((F.col("id") % 1000).alias("id"), F.array(F.lit("common"), F.concat(F.lit("t"), "id")).alias("t"))
+    docs = rows.groupBy("id").agg(F.flatten(F.collect_list("t")).alias("t"))
+    vectors, index = features.count_arrays(docs, "id", "t")
+    assert index.count() == n + 1 and index.where("idx = 0").first()["token"] == "common"
+    found = vectors.select(F.inline("entries")).agg(F.count_distinct("idx"), F.sum("tf")).first()
+    assert tuple(found) == (n + 1, 2 * n)

@@ -26,7 +26,7 @@ BLOCK, QUERIES = 8192, 1024
 #: Projections, the share of them that must collide, and half the window at radius one.
 LINES, SHARE, HALF = 128, 0.4, 0.6
 #: Radii of the levels: FIRST * GROWTH ** i.
-FIRST, GROWTH, LEVELS = 0.5, 1.1, 16
+FIRST, GROWTH, LEVELS = 0.8, 1.1, 10
 SEED = 11
 
 

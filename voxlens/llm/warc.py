@@ -93,23 +93,26 @@ def _encode(batches):
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
 
+def _fields(headers: dict, payload: bytes) -> tuple:
+    kind, digest = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
+    if kind == "response" and payload_digest(payload) != digest:
+        raise ValueError(f"payload of {headers['warc-record-id']} does not match its digest")
+    page = headers.get("x-page-id")
+    return (_uuid(headers["warc-record-id"]), int(page) if page else None, headers.get("warc-target-uri"),
+            headers["warc-date"], kind, digest, len(payload) if kind == "response" else None,
+            _uuid(headers.get("warc-refers-to")))
+
+
 def _decode(with_payload: bool):
     def run(batches):
         for batch in batches:
-            for content in batch.column(0):
-                data, rows = gzip.decompress(content.as_py()), []
-                for headers, payload in parse(data):
-                    kind, digest = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
-                    if kind == "response" and payload_digest(payload) != digest:
-                        raise ValueError(f"payload of {headers['warc-record-id']} does not match its digest")
-                    page = headers.get("x-page-id")
-                    rows.append((
-                        _uuid(headers["warc-record-id"]), int(page) if page else None, headers.get("warc-target-uri"),
-                        headers["warc-date"], kind, digest, len(payload) if kind == "response" else None,
-                        _uuid(headers.get("warc-refers-to")), *([payload] if with_payload else ()),
-                    ))
-                kinds = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.binary()]
-                names = [f.split()[0] for f in HEADER_FIELDS.split(", ")] + ["payload"]
+            for archive, content in zip(batch.column(0), batch.column(1)):
+                rows = [
+                    (archive.as_py(), *_fields(headers, payload), *([payload] if with_payload else ()))
+                    for headers, payload in parse(gzip.decompress(content.as_py()))
+                ]
+                kinds = [pa.string(), pa.string(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.binary()]
+                names = ["archive", *(f.split()[0] for f in HEADER_FIELDS.split(", ")), "payload"]
                 columns = list(zip(*rows)) or [[]] * (len(names) - (not with_payload))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds)], names=names[: len(columns)]
@@ -117,13 +120,16 @@ def _decode(with_payload: bool):
     return run
 
 
-def _resolved(batches):
+def _rewrite(batches):
+    """The records of each archive anew, the decided ones as revisits."""
     for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            first = (r["first_id"], r["first_uri"], r["first_date"]) if r["revisit"] else None
-            out.append(record(r["page_id"], r["record_id"], r["uri"], r["date"], r["payload"], r["digest"], first).decode())
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        for content, decided in zip(batch.column(0), batch.column(1)):
+            first = {d["record_id"]: (d["first_id"], d["first_uri"], d["first_date"]) for d in decided.as_py() or ()}
+            out = []
+            for headers, payload in parse(gzip.decompress(content.as_py())):
+                name, page, uri, date, _, digest, _, _ = _fields(headers, payload)
+                out.append(record(page, name, uri, date, payload, digest, first.get(name)).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
 
 def _save(records: DataFrame, path: str) -> None:
@@ -142,36 +148,37 @@ def write_archives(pages: DataFrame, path: str) -> None:
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
-    """One row per record: ``record_id``, ``page_id``, ``uri``, ``date``, ``kind``, ``digest``
+    """One row per record: ``archive`` (its file), ``record_id``, ``page_id``, ``uri``, ``date``, ``kind``, ``digest``
     (SHA-1, base32; payloads are checked against it), ``bytes`` (null for revisits),
     ``refers_to`` (record id) and, if asked for, ``payload``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("content").mapInArrow(
-        _decode(with_payload), HEADER_FIELDS + (", payload binary" if with_payload else "")
+    return _archives(spark, path).mapInArrow(
+        _decode(with_payload), "archive string, " + HEADER_FIELDS + (", payload binary" if with_payload else "")
     )
 
 
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    return files.select(F.col("path").alias("archive"), "content")
+
+
 def resolve_revisits(spark: SparkSession, source: str, target: str, min_bytes: int = 0) -> None:
     """Write the archives of ``source`` anew below ``target``: of records with equal payloads
     of at least ``min_bytes`` bytes the one with the smallest page id (null last, then by
     record id) stays a response, the others become revisits of it. Smaller payloads all stay.
 
     Only headers are shuffled by digest; a digest that holds a third of all records is split.
-    The payloads meet the decisions by record id.
+    The decisions, at most one per record of an archive, then meet the archives, which move
+    compressed.
     """
     headers = read_archives(spark, source)
     first = F.struct(F.col("page_id").isNull().alias("n"), F.col("page_id").alias("p"),
                      F.col("record_id").alias("first_id"), F.col("uri").alias("first_uri"), F.col("date").alias("first_date"))
     large = with_group(headers.where(F.col("bytes") >= min_bytes), ["digest"], first, F.col("record_id"))
     decided = large.where(F.col("record_id") != F.col("__first.first_id")).select(
-        "record_id", F.lit(True).alias("revisit"), "__first.first_id", "__first.first_uri", "__first.first_date"
-    )
-    whole = read_archives(spark, source, with_payload=True)
-    rows = whole.join(decided, "record_id", "left").select(
-        "record_id", "page_id", "uri", "date", "digest", "payload", F.coalesce("revisit", F.lit(False)).alias("revisit"),
-        "first_id", "first_uri", "first_date",
-    )
-    _save(rows.mapInArrow(_resolved, "value string"), target)
+        "archive", F.struct("record_id", "__first.first_id", "__first.first_uri", "__first.first_date").alias("d")
+    ).groupBy("archive").agg(F.collect_list("d").alias("decided"))
+    met = _archives(spark, source).join(decided, "archive", "left").select("content", "decided")
+    _save(met.mapInArrow(_rewrite, "value string"), target)
 
 
 def payload_table(spark: SparkSession, path: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from voxlens.llm.labels import sample, score_rows
 from voxlens.llm.pretokens import worker_cache
+from voxlens.session import stage
 
 #: Bound of the labelled sample that is learned from; a third of it calibrates the score.
 TRAIN_DOCS = 12288
@@ -284,6 +285,7 @@ def learn(docs: DataFrame, labels: DataFrame, held, id_col: str = "doc_id", text
     every score 0."""
     spark = docs.sparkSession
     rows = sample(docs, labels, label_col, held, bound, id_col, text_col).dropDuplicates(["text", "label"])
+    rows = stage(rows, "toxicity-sample")  # read several times; the documents only once
     third = F.pmod(F.xxhash64("id", F.lit("calibrate")), F.lit(3)) == 0
     train = rows.where(~third).select("text", "label")
     sizes = {r.label: r["count"] for r in train.groupBy("label").count().collect()}

@@ -29,6 +29,8 @@ TOKENIZER_BYTES = 64 << 20
 DOCS_PER_GROUP = 2048
 #: Tokens at which the quadratic part of the cost equals the linear part.
 EVEN_COST_AT = 6144
+#: Pre-tokens whose ids a worker keeps (about 30 MB).
+CACHED = 1 << 17
 #: Documents of one Arrow batch of pieces.
 ROWS = 512
 
@@ -90,7 +92,7 @@ def _pieces(data, name: str, capacity: int, end_id: int):
     def run(batches):
         made = worker_cache(f"tokenizer-{name}")
         if not made:
-            made["cache"], made["split"] = PieceCache(_of_piece(data.value)), Splitter()
+            made["cache"], made["split"] = PieceCache(_of_piece(data.value), CACHED), Splitter()
         ids_of, split = made["cache"].__getitem__, made["split"]
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:

@@ -45,12 +45,12 @@ def worker_cache(name: str) -> dict:
 class PieceCache(dict):
     """What ``make`` gives for a pre-token, made once while the cache has room."""
 
-    def __init__(self, make):
+    def __init__(self, make, entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.make = make
+        self.make, self.entries = make, entries
 
     def __missing__(self, piece: str):
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= self.entries:
             self.clear()
         made = self[piece] = self.make(piece)
         return made

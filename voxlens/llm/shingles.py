@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes of text that are hashed together (or one text, if longer).
-RUN_BYTES = 4 << 20
+RUN_BYTES = 512 << 10
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -35,7 +35,7 @@ LEFT = 0.7
 #: An entry is taken while it explains so many more toxic texts than odds of MIN_ODDS account for.
 MIN_GAIN = 3.0
 #: Characters that are folded and matched together (or one text, if longer).
-RUN_CHARS = 2 << 20
+RUN_CHARS = 512 << 10
 
 # Look-alike letters of other scripts, after lower-casing.
 LOOK_ALIKE = dict(zip(

@@ -63,6 +63,16 @@ def test_groups_of_near_copies(spark, options):
     assert found(docs, *options) == brute(rows, *options)
 
 
+def test_truncated_copies(spark):
+    """Beginnings of one text: the shortest links with none of the longer two, which link."""
+    rows = []
+    for base in range(12):
+        words = [f"w{base}x{i}" for i in range(23)]
+        rows += [(len(rows) + i, " ".join(words[:n])) for i, n in enumerate((23, 22, 19))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(docs, 4, 85, 100) == brute(rows, 4, 85, 100)
+
+
 def test_odd_texts(texts):
     rows = [(r.doc_id, r.text) for r in texts.collect()]
     assert found(texts, 4, 85, 100) == brute(rows, 4, 85, 100)

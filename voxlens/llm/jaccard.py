@@ -221,10 +221,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     placed = prefix.join(linked.withColumnRenamed("node", "row"), "row", "left").withColumn(
         "component", F.coalesce("component", "row"))
     open_ = placed.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least")
-    ).where("low <> high").select("token", "least")
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.min("n").alias("least"), F.max("n").alias("most"),
+    ).where("low <> high").select("token", "least", "most")
+    # The size in the bucket that suits a text best is the one closest to what it has left.
+    best = F.greatest("least", F.least(F.col("n") - F.col("pos"), F.col("most")))
     rest = join_salted(placed, open_, ["token"], F.col("row")).where(
-        _may_link(F.col("n"), F.col("pos"), F.col("least"), F.lit(0), num, den)
+        _may_link(F.col("n"), F.col("pos"), best, F.lit(0), num, den)
     )
     rest = stage(rest.select("token", "row", "n", "pos", "component"), "jaccard-open")
     x, y = rest.alias("x"), rest.alias("y")

@@ -88,8 +88,8 @@ def test_random_words(spark):
 def test_exact_beyond_64_bits(spark):
     a = 20_000_000_000_003
     facts = spark.createDataFrame(
-        [("en", "a", a + 4, None, None), ("en", "b", a + 9, None, None), ("en", "a b", a, None, a)],
-        "lang string, phrase string, f bigint, cover bigint, a bigint")
+        [("en", "a", a + 4, None), ("en", "b", a + 9, None), ("en", "a b", a, None)],
+        "lang string, phrase string, f bigint, cover bigint")
     sizes = spark.createDataFrame([("en", 4 * a)], "lang string, n bigint")
     got = C.rank_phrases(facts, sizes).first()
     assert got.score == 2000000 * a // (2 * a + 13) and got.n == 4 * a

@@ -1,17 +1,17 @@
 """Phrase collocations by stripes: each prefix keys a counter of its next words.
 
 The map side cuts runs of text into words and gives one stripe per prefix and run: the next
-words and how often each follows, and in one more counter (next word null) all that ends a piece
-or cannot be part of a frequent phrase. Stripes are shuffled by prefix and merged element by
-element. A merged stripe holds the extensions of its prefix (its counters), the prefix total
-(their sum) and the largest extension, which may subsume the prefix; an extension may also
-subsume its own last words.
-
-Words come first (the stripe of the empty prefix), then prefixes of one word, then those of two
-and three. A phrase can only be frequent if all its parts are, so each pass counts only next
-words and prefixes that a filter of the frequent ones before has. The filter has at most
-FILTER_BITS bits and never lacks a frequent phrase: a crowded one lets more through, which the
-exact counts then drop.
+words and how often each follows. Stripes are shuffled by prefix and merged element by element.
+All facts come from the merged stripes: the extensions of a prefix are its counters, the total
+of a prefix is its own counter in the stripe of its words but the last (that of the empty prefix
+for one word), and a counter is also the count by which the extension may subsume its prefix
+and its last words.
+
+A phrase can only be frequent if all its parts are. So words are counted first; then pairs of
+frequent words and triples of frequent pairs are counted by 64-bit hash alone, never too low,
+and give filters of what may be frequent. Only counters that pass them are carried in stripes
+and shuffled as text. A filter has at most FILTER_BITS bits; a crowded one, or two phrases of
+one hash, let more through, which the exact counts then drop.
 """
 
 from __future__ import annotations
@@ -70,15 +70,6 @@ def _hashes(array: pa.StringArray) -> np.ndarray:
     return word_hashes(data, offsets - offsets[0])[0]
 
 
-def phrase_hash(lang: str, phrase: str) -> int:
-    """The hash that the map side gives a phrase of a language."""
-    ws = phrase.split(" ")
-    out = np.array([_lang_hash(lang)], _U)
-    for h in _hashes(pa.array(ws, pa.string())):
-        out = _joined(out, h)
-    return int(out[0])
-
-
 class Filter:
     """Bits of two places per hash; the size is a power of two."""
 
@@ -97,24 +88,15 @@ class Filter:
         return found
 
 
-def _mark(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            hashes = np.array([phrase_hash(lang, phrase) for lang, phrase in rows], _U)
-            place = np.concatenate(Filter.places(hashes, bits))
-            yield pa.RecordBatch.from_arrays([
-                pa.array((place >> _U(6)).astype(np.int64)), pa.array((_U(1) << (place & _U(63))).view(np.int64)),
-            ], names=["slot", "bits"])
-    return run
-
-
-def filter_of(phrases: DataFrame, bits: int | None = None) -> Filter:
-    """Filter of the (lang, phrase) rows. At most FILTER_BITS / 64 words come to the driver."""
+def filter_of(hashes: DataFrame, bits: int | None = None) -> Filter:
+    """Filter of a table with a column ``hash``. At most FILTER_BITS / 64 words come to the driver."""
     if bits is None:
-        bits = min(FILTER_BITS, 1 << max(20, (BITS_PER_PHRASE * phrases.count() - 1).bit_length()))
-    marked = phrases.select("lang", "phrase").mapInArrow(_mark(bits), "slot bigint, bits bigint")
-    found = marked.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+        bits = min(FILTER_BITS, 1 << max(20, (BITS_PER_PHRASE * hashes.count() - 1).bit_length()))
+    low = F.lit(bits - 1)
+    places = F.array(F.col("hash").bitwiseAND(low), F.shiftrightunsigned("hash", 32).bitwiseAND(low))
+    marked = hashes.select(F.explode(places).alias("place"))
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    found = marked.groupBy(F.shiftright("place", 6).alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
     slots = np.zeros(bits // 64, _U)
     slots[found["slot"].to_numpy()] = found["bits"].to_numpy().view(_U)
     return Filter(slots)
@@ -131,7 +113,7 @@ class _Run:
         owner = owners(bounds, starts)
         # Breaks before a word and texts before it: both only grow, so equal sums are one piece.
         piece = np.cumsum(_BREAKS[data])[starts] + owner if len(starts) else np.zeros(0, np.int64)
-        self.same = piece[1:] == piece[:-1]
+        self.pairs = piece[1:] == piece[:-1]
         self.size = len(self.words)
         lang = of_text.indices.to_numpy()[owner].astype(np.int64)
         self.heads, self.head = np.unique(lang * max(1, self.size) + self.word, return_inverse=True)
@@ -139,9 +121,13 @@ class _Run:
         lang_hash = np.array([_lang_hash(x) for x in self.langs.to_pylist()], _U)
         self.head_hash = _joined(lang_hash[self.heads // max(1, self.size)], self.word_hash[self.heads % max(1, self.size)])
 
+    def pair_hash(self) -> np.ndarray:
+        """Hash of every word and the next one."""
+        return _joined(self.head_hash[self.head[:-1]], self.word_hash[self.word[1:]])
+
     def stripes(self, level: int, at: np.ndarray, prefix: np.ndarray, following: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
         """``at``: first word of each occurrence; ``prefix``: number of its prefix; ``following``:
-        its next word, -1 for none; ``shard``: the part of the stripe."""
+        its next word, -1 for all of them; ``shard``: the part of the stripe."""
         shards = int(shard.max(initial=0)) + 1
         width = self.size + 1
         key = (prefix * shards + shard) * width + following + 1
@@ -181,42 +167,75 @@ def _word_stripes(shards: int):
     return run
 
 
-def _shard(r: _Run, hot: np.ndarray, following: np.ndarray) -> np.ndarray:
-    spread = np.where(following >= 0, (r.word_hash % _U(SHARDS)).astype(np.int64)[following], 0)
-    return np.where(hot, spread, 0)
+def _counted(buckets: int, hashes: np.ndarray) -> pa.RecordBatch:
+    """Counts of the hashes, in rows by range of the hash."""
+    found, count = np.unique(hashes, return_counts=True)
+    bucket = ((found >> _U(32)) * _U(buckets)) >> _U(32)
+    begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(found) else np.zeros(0, np.int64)
+    offsets = pa.array(np.r_[begins, len(found)].astype(np.int32))
+    return pa.RecordBatch.from_arrays([
+        pa.array(bucket[begins].astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(found.view(np.int64))),
+        pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int32))),
+    ], names=["bucket", "hash", "n"])
 
 
-def _pair_stripes(known, hot):
-    """Stripes of prefixes of one frequent word."""
+def _pair_counts(words_known, buckets: int):
+    """Hashed counts of the pairs of words that may both be frequent."""
     def run(batches):
         for r in _runs(batches):
-            fine = known.value.has(r.head_hash)[r.head]
-            at = np.flatnonzero(fine)
-            goes_on = np.r_[r.same & fine[1:], False][at]
-            following = np.where(goes_on, np.r_[r.word[1:], 0][at], -1)
-            is_hot = np.isin(r.head_hash, hot)[r.head[at]]
-            yield r.stripes(1, at, r.head[at], following, _shard(r, is_hot, following))
+            fine = words_known.value.has(r.head_hash)[r.head]
+            at = np.flatnonzero(r.pairs & fine[:-1] & fine[1:])
+            yield _counted(buckets, r.pair_hash()[at])
     return run
 
 
-def _long_stripes(known, hot):
-    """Stripes of prefixes of two and three words whose neighbouring words are frequent pairs."""
+def _triples(r: _Run, pairs_known: Filter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Flags of the pairs that may be frequent and of the triples of such pairs, by first word,
+    and the hashes of the triples."""
+    pair_hash, n = r.pair_hash(), len(r.word)
+    fine = r.pairs & pairs_known.has(pair_hash)
+    both = fine[:-1] & fine[1:]
+    return fine, both, _joined(pair_hash[: max(0, n - 2)], r.word_hash[r.word[2:]])
+
+
+def _triple_counts(pairs_known, buckets: int):
+    """Hashed counts of the triples of words whose pairs may both be frequent."""
     def run(batches):
         for r in _runs(batches):
-            n = len(r.word)
-            pair_hash = _joined(r.head_hash[r.head[:-1]], r.word_hash[r.word[1:]])
-            fine = np.r_[r.same & known.value.has(pair_hash), False, False, False]
-            word = np.r_[r.word, 0, 0, 0]
-            at = np.flatnonzero(fine[:n])
-            prefix = np.zeros(n, np.int64)
-            prefix[at] = np.unique(r.head[at] * r.size + word[at + 1], return_inverse=True)[1]
-            is_hot = np.r_[np.isin(pair_hash, hot), False]
-            following = np.where(fine[at + 1], word[at + 2], -1)
-            yield r.stripes(2, at, prefix[at], following, _shard(r, is_hot[at], following))
-            at = at[fine[at + 1]]
-            longer = np.unique(prefix[at] * r.size + word[at + 2], return_inverse=True)[1]
-            following = np.where(fine[at + 2], word[at + 3], -1)
-            yield r.stripes(3, at, longer, following, _shard(r, is_hot[at], following))
+            _, both, triple_hash = _triples(r, pairs_known.value)
+            yield _counted(buckets, triple_hash[both])
+    return run
+
+
+def frequent_hashes(counts: DataFrame, min_count: int) -> DataFrame:
+    """(hash, n) of the hashes that occur at least ``min_count`` times."""
+    placed = counts.repartition("bucket").select("bucket", F.explode(F.arrays_zip("hash", "n")).alias("x"))
+    summed = placed.select("bucket", "x.hash", "x.n").groupBy("bucket", "hash").agg(F.sum("n").alias("n"))
+    return stage(summed.where(F.col("n") >= min_count).select("hash", "n"), "phrase-hashes")
+
+
+def _phrase_stripes(pairs_known, triples_known, hot_words: np.ndarray, hot_pairs: np.ndarray):
+    """Stripes of prefixes of one to three words, with the next words that may be frequent."""
+    def run(batches):
+        for r in _runs(batches):
+            fine, both, triple_hash = _triples(r, pairs_known.value)
+            both &= triples_known.value.has(triple_hash)
+            spread = (r.word_hash % _U(SHARDS)).astype(np.int64)
+            hot_head = np.isin(r.head_hash, hot_words)[r.head]
+            hot_pair = np.isin(r.pair_hash(), hot_pairs)
+            at = np.flatnonzero(fine)
+            following = r.word[at + 1]
+            yield r.stripes(1, at, r.head[at], following, np.where(hot_head[at], spread[following], 0))
+            prefix = np.zeros(len(r.word), np.int64)
+            prefix[at] = np.unique(r.head[at] * r.size + following, return_inverse=True)[1]
+            at = np.flatnonzero(both)
+            following = r.word[at + 2]
+            yield r.stripes(2, at, prefix[at], following, np.where(hot_pair[at], spread[following], 0))
+            longer = np.zeros(len(r.word), np.int64)
+            longer[at] = np.unique(prefix[at] * r.size + following, return_inverse=True)[1]
+            at = np.flatnonzero(both[:-1] & both[1:])
+            following = r.word[at + 3]
+            yield r.stripes(3, at, longer[at], following, np.where(hot_pair[at], spread[following], 0))
     return run
 
 
@@ -229,64 +248,64 @@ def merged(stripes: DataFrame) -> DataFrame:
     return cells.groupBy("lang", "prefix", "level", "shard", "next").agg(F.sum("n").alias("n")).drop("shard")
 
 
-def phrase_facts(cells: DataFrame, min_count: int) -> DataFrame:
-    """(lang, phrase, f, cover, a) of what is frequent in merged stripes: ``f`` the total of the
-    stripe of that prefix, ``cover`` the largest count of a frequent phrase of one word more,
-    ``a`` the count as an extension."""
-    frequent = F.col("next").isNotNull() & (F.col("n") >= min_count)
-    longer = F.concat_ws(" ", "prefix", "next")
+def phrase_facts(cells: DataFrame) -> DataFrame:
+    """(lang, phrase, f, cover) from the frequent cells of merged stripes: the count of the phrase
+    of prefix and next word, and for what such a phrase may subsume, its count."""
+    phrase = F.concat_ws(" ", "prefix", "next")
+    tail = F.substring(phrase, F.locate(" ", phrase) + 1, F.length(phrase))
     none = F.lit(None).cast("bigint")
 
-    def fact(phrase, f, cover, a):
-        return F.struct(phrase.alias("phrase"), f.alias("f"), cover.alias("cover"), a.alias("a"))
+    def fact(text, f, cover):
+        return F.struct(text.alias("phrase"), f.alias("f"), cover.alias("cover"))
 
-    own = fact(F.col("prefix"), F.col("n"), F.when(frequent, F.col("n")), none)
-    made = fact(longer, F.lit(0).cast("bigint"), none, F.col("n"))
-    tail = fact(F.substring(longer, F.locate(" ", longer) + 1, F.length(longer)), F.lit(0).cast("bigint"), F.col("n"), none)
-    facts = cells.select("lang", F.explode(F.array_compact(F.array(
-        own, F.when(frequent, made), F.when(frequent & (F.col("level") > 1), tail)))).alias("x")).select("lang", "x.*")
-    return merge_facts(facts).where((F.col("f") >= min_count) | (F.col("a") >= min_count))
+    shorter = [F.when(F.col("level") > 1, fact(text, none, F.col("n"))) for text in (F.col("prefix"), tail)]
+    return cells.select("lang", F.explode(F.array_compact(F.array(fact(phrase, F.col("n"), none), *shorter))).alias("x")).select("lang", "x.*")
 
 
-def merge_facts(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("lang", "phrase").agg(
-        F.sum("f").alias("f"), F.max("cover").alias("cover"), F.max("a").alias("a"))
+def _head_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A column ``hash`` of (lang, phrase) rows of one word."""
+    for batch in batches:
+        langs = batch.column(0).dictionary_encode()
+        of_lang = np.array([_lang_hash(x) for x in langs.dictionary.to_pylist()], _U)
+        hashes = _joined(of_lang[langs.indices.to_numpy()], _hashes(batch.column(1))) if batch.num_rows else np.zeros(0, _U)
+        yield batch.append_column("hash", pa.array(hashes.view(np.int64)))
 
 
-def _hot(spark: SparkSession, counted: DataFrame, count: str, total: int) -> np.ndarray:
-    """Hashes of the (lang, phrase) rows above HOT_SHARE of all words; fewer than 1 / HOT_SHARE."""
-    rows = counted.where(F.col(count) > HOT_SHARE * total).select("lang", "phrase").collect()
-    return np.array([phrase_hash(r["lang"], r["phrase"]) for r in rows], _U)
+def _hot(counted: DataFrame, total: int) -> np.ndarray:
+    """Hashes above HOT_SHARE of all words: fewer than 1 / HOT_SHARE."""
+    rows = counted.where(F.col("n") > HOT_SHARE * total).select("hash").collect()
+    return np.array([r["hash"] for r in rows], np.int64).view(_U)
 
 
 def mine(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "text",
          lang_col: str = "lang", filter_bits: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """The facts of all frequent phrases of one to four words (``phrase_facts``), and (lang, n):
-    words per language.
+    """(lang, phrase, f, cover) of all phrases of one to four words with at least ``min_count``
+    occurrences ``f``; ``cover`` is the largest count of such a phrase of one word more that holds
+    it (phrases of two and three words). And (lang, n): words per language.
 
     A-Z count as a-z. Texts are cut into pieces at ``. , ; : ! ?`` and line breaks, pieces into
     words at spaces and tabs; phrases lie within a piece, overlapping ones count. A null text is
     empty, a null language is ``und``.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    shards = max(SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cells = merged(texts.mapInArrow(_word_stripes(shards), STRIPES))
+    share, buckets = spark.sparkContext.broadcast, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = merged(texts.mapInArrow(_word_stripes(max(SHARDS, buckets)), STRIPES))
     found = stage(
         cells.where(f"next is null or n >= {int(min_count)}").select("lang", F.col("next").alias("phrase"), "n"), "phrase-words")
     sizes = found.where("phrase is null").select("lang", "n")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    frequent = found.where("phrase is not null")
-
-    known = spark.sparkContext.broadcast(filter_of(frequent, filter_bits))
-    hot = _hot(spark, frequent, "n", total)
-    cells = merged(texts.mapInArrow(_pair_stripes(known, hot), STRIPES))
-    pairs = stage(phrase_facts(cells, min_count), "phrase-pairs")
-    frequent = pairs.where(F.col("a") >= min_count)
+    single = found.where("phrase is not null")
+    hashed = stage(single.mapInArrow(_head_hashes, "lang string, phrase string, n bigint, hash bigint"), "phrase-hashes")
 
-    known = spark.sparkContext.broadcast(filter_of(frequent, filter_bits))
-    hot = _hot(spark, frequent, "a", total)
-    cells = merged(texts.mapInArrow(_long_stripes(known, hot), STRIPES))
-    return stage(merge_facts(pairs.unionByName(phrase_facts(cells, min_count))), "phrase-facts"), sizes
+    counts = "bucket int, hash array<bigint>, n array<int>"
+    pairs = frequent_hashes(texts.mapInArrow(_pair_counts(share(filter_of(hashed, filter_bits)), buckets), counts), min_count)
+    pairs_known = share(filter_of(pairs, filter_bits))
+    triples = frequent_hashes(texts.mapInArrow(_triple_counts(pairs_known, buckets), counts), min_count)
+    stripes = _phrase_stripes(pairs_known, share(filter_of(triples, filter_bits)), _hot(hashed, total), _hot(pairs, total))
+    cells = merged(texts.mapInArrow(stripes, STRIPES)).where(F.col("n") >= min_count)
+    facts = single.select("lang", "phrase", F.col("n").alias("f"), F.lit(None).cast("bigint").alias("cover"))
+    facts = facts.unionByName(phrase_facts(cells)).groupBy("lang", "phrase").agg(F.max("f").alias("f"), F.max("cover").alias("cover"))
+    return stage(facts, "phrase-facts"), sizes
 
 
 def collocations(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT, subsumed: int = SUBSUMED,
@@ -297,21 +316,22 @@ def collocations(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUN
 
     Phrases of at least ``min_count`` occurrences count. The cut of the least score holds, the
     first of equal ones. A phrase goes if a longer one that holds it has ``subsumed`` hundredths
-    of its count. Order: score and count descending, then phrase by bytes.
+    of its count; as a part is never rarer, those of one word more tell. Order: score and count
+    descending, then phrase by bytes.
 
     Null texts are empty, null languages ``und``; repeated rows count each time; other columns
     are not read, whatever their names. No rows, or nothing frequent, give no rows.
     """
     facts, sizes = mine(spark, docs, min_count, text_col, lang_col, filter_bits)
-    return rank_phrases(facts, sizes, min_count, subsumed, top)
+    return rank_phrases(facts, sizes, subsumed, top)
 
 
-def rank_phrases(facts: DataFrame, sizes: DataFrame, min_count: int = MIN_COUNT, subsumed: int = SUBSUMED,
-                 top: int = TOP) -> DataFrame:
+def rank_phrases(facts: DataFrame, sizes: DataFrame, subsumed: int = SUBSUMED, top: int = TOP) -> DataFrame:
     """The report of ``collocations`` from the facts of ``mine``. A part of very many phrases meets
     them in several tasks; products are decimals, as they may pass 64 bits."""
-    found = facts.where(F.col("a") >= min_count).select("lang", "phrase", "a", F.split("phrase", " ").alias("w"))
+    found = facts.select("lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("w"))
     m = F.size("w")
+    found = found.where(m > 1)
 
     def part(k: int, side: int, begin, length):
         text = F.array_join(F.slice("w", begin, length), " ")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog import sqltext as q
 from catalog.derived import comments_raw, reviews_raw
+from catalog.modelled import cost_facts, placed, silhouette_facts
 from catalog.modelled import table
 from catalog.profiling import EXCLUDE, TOPICS, in_list, rounded, topic_rows
 from catalog.registry import query
@@ -138,18 +139,20 @@ def b6_keywords(spark, sf):
 
 
 @query("b7_cluster_corpus", """
-SELECT 'size' AS report, count(*) AS n, true AS good FROM documents
+SELECT 'size' AS report, CAST(count(*) AS BIGINT) AS n, true AS good FROM documents
 UNION ALL SELECT 'cost', 8, true UNION ALL SELECT 'silhouette', 4, true
 """)
 def b7(spark, sf):
-    reports = jobs.cluster_corpus(
-        table(spark, sf, "documents"), "doc_id", "text", words=EXCLUDE
-    )
+    reports = jobs.cluster_corpus(table(spark, sf, "documents"), "doc_id", "text", words=EXCLUDE)
+    rows, fits = reports["vectors"], reports["fits"]
+    sizes = placed(rows, fits[2], reports["clusters"]).agg(F.count("doc_id").alias("n"), F.every("placed").alias("placed"))
+    sizes = sizes.join(reports["sizes"].agg(F.sum("n").alias("n")), "n")
+    cost = cost_facts(rows, fits, reports["elbow"])
+    scores = silhouette_facts(rows, {k: fits[k] for k in range(2, 6)}, reports["silhouette"])
     return lookup.union_all([
-        reports["sizes"].agg(F.lit("size").alias("report"), F.sum("n").alias("n"), F.every(F.col("n") > 0).alias("good")),
-        reports["elbow"].agg(F.lit("cost").alias("report"), F.count("k").alias("n"), F.every(F.col("cost") > 0).alias("good")),
-        reports["silhouette"].agg(F.lit("silhouette").alias("report"), F.count("k").alias("n"),
-                                  F.every(F.col("silhouette").between(-1, 1)).alias("good")),
+        sizes.select(F.lit("size").alias("report"), "n", F.col("placed").alias("good")),
+        cost.agg(F.lit("cost").alias("report"), F.count("k").alias("n"), F.every(F.col("recomputed") & F.col("better_than_one")).alias("good")),
+        scores.agg(F.lit("silhouette").alias("report"), F.count("k").alias("n"), F.every("recomputed").alias("good")),
     ])
 
 

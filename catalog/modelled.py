@@ -1,8 +1,11 @@
 """T9 to T18: clusters, topics, classifier.
 
-No SQL states what a fit finds, so these queries return facts about it that SQL can state and
-that a wrong fit does not have."""
+No SQL states what a fit finds, so these queries return facts about it that SQL can state: what
+the fit says, recomputed from its centres, factors or weights by joins and aggregates over all
+rows. ``tests/test_facts.py`` puts in wrong fits and sees the facts fail."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -10,14 +13,89 @@ from catalog.lookups import POINT
 from catalog.profiling import EXCLUDE
 from catalog.registry import query, table
 from voxlens.functions.text import word_tokens
-from voxlens.operators import features, models, scoring
+from voxlens.operators import features, lookup, models, scoring
 from voxlens.session import stage
 
 
 def vectors(spark, sf):
-    """Hashed vectors of all terms, written once."""
+    """Hashed vectors of all terms."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return stage(models.text_vectors(docs, "text", EXCLUDE).select("doc_id", "tfidf_features"), "vectors")
+    return models.text_vectors(docs, "text", EXCLUDE, keep=["doc_id"]).select("doc_id", "tfidf_features")
+
+
+def products(rows, matrix):
+    """(doc_id, norm, p0, p1, ...): products of sparse rows with the columns c0, c1, ... of a table
+    by ``idx``, as a join and sums."""
+    names = [c for c in matrix.columns if c != "idx"]
+    entries = rows.select("doc_id", F.explode(F.arrays_zip("idx", "val")).alias("e")).select("doc_id", "e.idx", "e.val")
+    sums = entries.join(matrix, "idx").groupBy("doc_id").agg(
+        *[F.sum(F.col("val") * F.col(c)).alias(f"p{i}") for i, c in enumerate(names)])
+    return rows.select("doc_id", "norm").join(sums, "doc_id", "left").fillna(0.0)
+
+
+def distances(rows, fits):
+    """(doc_id, norm, d2_0, d2_1, ...): squared distance of every row to every centre of every k."""
+    columns = {f"c{k}_{j}": fit.centres[:, j] for k, fit in fits.items() for j in range(k)}
+    used = np.flatnonzero(np.any([c != 0 for c in columns.values()], axis=0)).astype(np.int32)
+    matrix = rows.sparkSession.createDataFrame(pa.table({"idx": used, **{name: c[used] for name, c in columns.items()}}))
+    found = products(rows, matrix)
+    return found.select("doc_id", "norm", *[
+        (F.col("norm") + float(c @ c) - 2 * F.col(f"p{i}")).alias(f"d{name[1:]}") for i, (name, c) in enumerate(columns.items())])
+
+
+def least(k):
+    return F.least(*[F.col(f"d{k}_{j}") for j in range(k)])
+
+
+def placed(rows, fit, clustered):
+    """(doc_id, placed): whether a row's cluster is its nearest centre."""
+    k = fit.centres.shape[1]
+    found = clustered.select("doc_id", "cluster").join(distances(rows, {k: fit}), "doc_id")
+    own = F.element_at(F.array(*[F.col(f"d{k}_{j}") for j in range(k)]), F.col("cluster") + 1)
+    return found.select("doc_id", (own <= least(k) + 1e-9 * (1 + F.col("norm"))).alias("placed"))
+
+
+def cost_facts(rows, fits, costs):
+    """Per k of (k, cost): whether the cost is that of the centres, and below that of one cluster."""
+    n = rows.count()
+    sums = rows.select(F.explode(F.arrays_zip("idx", "val")).alias("e")).groupBy("e.idx").agg(F.sum("e.val").alias("s"))
+    one = rows.agg(F.sum("norm")).first()[0] - sums.agg(F.sum(F.col("s") * F.col("s"))).first()[0] / max(1, n)
+    again = distances(rows, fits).agg(*[F.sum(F.greatest(least(k), F.lit(0.0))).alias(str(k)) for k in fits]).first()
+    want = rows.sparkSession.createDataFrame([(k, again[str(k)]) for k in fits], "k int, again double")
+    return costs.join(want, "k").select(
+        "k", (F.abs(F.col("cost") - F.col("again")) <= 1e-8 * F.col("again")).alias("recomputed"),
+        (F.col("cost") < one).alias("better_than_one"))
+
+
+def silhouette_facts(rows, fits, scores):
+    """Per k of (k, silhouette): whether it is the mean over all rows, from sums of the clusters."""
+    spark, apart = rows.sparkSession, distances(rows, fits)
+    label = {k: F.array_position(F.array(*[F.col(f"d{k}_{j}") for j in range(k)]), least(k)) - 1 for k in fits}
+    labels = apart.select("doc_id", "norm", *[c.cast("int").alias(f"l{k}") for k, c in label.items()])
+    entries = rows.select("doc_id", F.explode(F.arrays_zip("idx", "val")).alias("e")).join(labels.drop("norm"), "doc_id")
+    cells = [(k, j) for k in fits for j in range(k)]
+    stats = labels.agg(*[x for k, j in cells for x in (
+        F.count(F.when(F.col(f"l{k}") == j, 1)), F.sum(F.when(F.col(f"l{k}") == j, F.col("norm"))))]).first()
+    size = {c: stats[2 * i] for i, c in enumerate(cells)}
+    spread = {c: (stats[2 * i + 1] or 0.0) / max(1, stats[2 * i]) for i, c in enumerate(cells)}
+    means = entries.groupBy("e.idx").agg(*[
+        (F.sum(F.when(F.col(f"l{k}") == j, F.col("e.val")).otherwise(0.0)) / max(1, size[k, j])).alias(f"c{k}_{j}") for k, j in cells])
+    found = products(rows, means).join(labels.drop("norm"), "doc_id")
+    mean = {c: F.greatest(F.col("norm") + spread[c] - 2 * F.col(f"p{i}"), F.lit(0.0)) for i, c in enumerate(cells)}
+
+    def score(k):
+        out = F.lit(0.0)
+        for j in range(k):
+            others = [mean[k, i] for i in range(k) if i != j and size[k, i]]
+            if size[k, j] > 1 and others:
+                a = mean[k, j] * (size[k, j] / (size[k, j] - 1))
+                b = F.least(*others) if len(others) > 1 else others[0]
+                out = F.when(F.col(f"l{k}") == j, F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))).otherwise(out)
+        return out
+
+    again = found.agg(*[F.avg(score(k)).alias(str(k)) for k in fits]).first()
+    want = spark.createDataFrame([(k, again[str(k)]) for k in fits], "k int, again double")
+    return scores.join(want, "k").select("k", (F.abs(F.col("silhouette") - F.col("again")) < 1e-6).alias("recomputed"))
 
 
 def falling(topics, group, order, weight):
@@ -38,33 +116,31 @@ def topic_facts(topics, terms):
 
 @query("t9_cluster", "SELECT doc_id, true AS placed FROM documents")
 def t9(spark, sf):
-    clustered = models.cluster(vectors(spark, sf), 2)[0]
-    return clustered.select("doc_id", F.col("cluster").between(0, 1).alias("placed"))
+    rows, fits = models.fit_clusters(vectors(spark, sf), [2])
+    return placed(rows, fits[2], models.assign(rows, fits[2], "cluster"))
 
 
-@query("t10_elbow", "SELECT CAST(k AS INTEGER) AS k, true AS within FROM range(2, 10) t(k)")
+@query("t10_elbow", "SELECT CAST(k AS INTEGER) AS k, true AS recomputed, true AS better_than_one FROM range(2, 10) t(k)")
 def t10(spark, sf):
-    costs = models.elbow(vectors(spark, sf), range(2, 10))
-    # More centres cost no more, but for what a fit misses.
-    most = costs.where("k = 2").agg(F.max("cost")).scalar() * 1.05
-    return costs.select("k", ((F.col("cost") > 0) & (F.col("cost") <= most)).alias("within"))
+    rows, fits = models.fit_clusters(vectors(spark, sf), range(2, 10))
+    return cost_facts(rows, fits, models.cost_table(spark, fits))
 
 
-@query("t11_silhouette", "SELECT CAST(k AS INTEGER) AS k, true AS within FROM range(2, 6) t(k)")
+@query("t11_silhouette", "SELECT CAST(k AS INTEGER) AS k, true AS recomputed FROM range(2, 6) t(k)")
 def t11(spark, sf):
-    return models.silhouette(vectors(spark, sf), range(2, 6)).select(
-        "k", F.col("silhouette").between(-1, 1).alias("within"))
+    rows, fits = models.fit_clusters(vectors(spark, sf), range(2, 6))
+    return silhouette_facts(rows, fits, models.silhouette_table(rows, fits))
 
 
-@query("t12_cluster_members", "SELECT count(*) AS n_documents, true AS members_are_size FROM documents")
+@query("t12_cluster_members", "SELECT doc_id, true AS placed, true AS member_of_size FROM documents")
 def t12(spark, sf):
-    clustered, _ = models.cluster(vectors(spark, sf), 2)
-    members = models.cluster_members(clustered.select("doc_id", "cluster"), "doc_id", 1)
-    sizes = models.cluster_sizes(clustered)
-    of_one = members.agg(F.count("doc_id").alias("members"), F.every(F.col("cluster") == 1).alias("right"))
-    total = sizes.agg(F.sum("n").alias("n_documents"), F.sum(F.when(F.col("cluster") == 1, F.col("n"))).alias("size"))
-    return total.join(of_one, of_one.members == total.size, "left").select(
-        "n_documents", F.coalesce("right", F.lit(False)).alias("members_are_size"))
+    rows, fits = models.fit_clusters(vectors(spark, sf), [2])
+    clustered = models.assign(rows, fits[2], "cluster")
+    members = lookup.union_all([models.cluster_members(clustered, "doc_id", c) for c in (0, 1)])
+    listed = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("listed"))
+    right = models.cluster_sizes(clustered).join(listed, "cluster", "left").select(
+        "cluster", F.coalesce(F.col("n") == F.col("listed"), F.lit(False)).alias("member_of_size"))
+    return members.join(right, "cluster").join(placed(rows, fits[2], members), "doc_id").select("doc_id", "placed", "member_of_size")
 
 
 @query("t13_lda_topics", """

@@ -7,8 +7,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Observation
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from voxlens.functions.text import word_tokens
 from voxlens.functions.vectors import cosine
 from voxlens.operators.aggregate import _rows
+from voxlens.operators.clusters import Fit, assign, kmeans, silhouettes, sparse_rows
 from voxlens.operators.features import class_tfidf, count_vectors, remove_stopwords, tfidf_vectors, tokenize
 from voxlens.operators.ranking import split
 from voxlens.operators.skew import HOT_SHARE, hot_rows
@@ -28,10 +28,13 @@ from voxlens.session import discard, fresh_path, stage
 HASHED = 1 << 18
 
 
-def text_vectors(df: DataFrame, col: str, words: list[str] | None = None, dims: int = HASHED) -> DataFrame:
-    """tokenize -> stop words -> hashed counts of all terms -> TF-IDF."""
+def text_vectors(df: DataFrame, col: str, words: list[str] | None = None, dims: int = HASHED,
+                 keep: list[str] | None = None) -> DataFrame:
+    """tokenize -> stop words -> hashed counts of all terms -> TF-IDF, with the columns ``keep``
+    (all of ``df`` if not given). The counts are staged, so each text is cut once."""
     tokens = remove_stopwords(tokenize(df, col), "words", words)
-    return tfidf_vectors(HashingTF(inputCol="filtered_words", outputCol="features", numFeatures=dims).transform(tokens))
+    counted = HashingTF(inputCol="filtered_words", outputCol="features", numFeatures=dims).transform(tokens)
+    return tfidf_vectors(stage(counted.select(*(df.columns if keep is None else keep), "features"), "term_vectors"))
 
 
 def counted_vectors(df: DataFrame, col: str, words: list[str] | None = None):
@@ -39,29 +42,34 @@ def counted_vectors(df: DataFrame, col: str, words: list[str] | None = None):
     return count_vectors(remove_stopwords(tokenize(df, col), "words", words))
 
 
+def fit_clusters(df: DataFrame, ks, seed: int = 42, features: str = "tfidf_features") -> tuple[DataFrame, dict[int, Fit]]:
+    """Staged sparse rows with all other columns, and K-means fits for all ``ks`` in shared scans."""
+    rows = stage(sparse_rows(df, features, [c for c in df.columns if c != features]), "sparse")
+    return rows, kmeans(rows, ks, seed)
+
+
 def cluster(df: DataFrame, k: int = 2, seed: int = 42, features: str = "tfidf_features", out: str = "cluster"):
-    """K-means; returns rows with their cluster and the model."""
-    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol=out).fit(df)
-    return model.transform(df), model
+    """K-means; returns the rows, without the vectors, with their cluster, and the fit."""
+    rows, fits = fit_clusters(df, [k], seed, features)
+    return assign(rows, fits[k], out), fits[k]
 
 
 def elbow(df: DataFrame, ks=range(2, 10), seed: int = 42, features: str = "tfidf_features") -> DataFrame:
-    """Training cost for each k; the vectors are read once and kept."""
-    held = df.select(features).persist()
-    costs = [
-        (k, KMeans(k=k, seed=seed, featuresCol=features).fit(held).summary.trainingCost) for k in ks
-    ]
-    held.unpersist()
-    return df.sparkSession.createDataFrame(costs, "k int, cost double")
+    """Cost for each k, all fitted together."""
+    return cost_table(df.sparkSession, fit_clusters(df, ks, seed, features)[1])
+
+
+def cost_table(spark, fits: dict[int, Fit]) -> DataFrame:
+    return spark.createDataFrame([(k, fit.cost) for k, fit in fits.items()], "k int, cost double")
 
 
 def silhouette(df: DataFrame, ks=range(2, 6), seed: int = 42, features: str = "tfidf_features") -> DataFrame:
-    """Silhouette (squared Euclidean) for each k."""
-    held = df.select(features).persist()
-    judge = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
-    scores = [(k, judge.evaluate(cluster(held, k, seed, features)[0])) for k in ks]
-    held.unpersist()
-    return df.sparkSession.createDataFrame(scores, "k int, silhouette double")
+    """Silhouette (squared Euclidean) for each k, all fitted together and judged in one pass."""
+    return silhouette_table(*fit_clusters(df, ks, seed, features))
+
+
+def silhouette_table(rows: DataFrame, fits: dict[int, Fit]) -> DataFrame:
+    return rows.sparkSession.createDataFrame(list(silhouettes(rows, fits).items()), "k int, silhouette double")
 
 
 def cluster_sizes(clustered: DataFrame, out: str = "cluster") -> DataFrame:

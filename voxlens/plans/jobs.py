@@ -121,16 +121,19 @@ def brand_report(df: DataFrame, text: str, first, second, dim: DataFrame, stop=(
 
 
 def cluster_corpus(df: DataFrame, key: str, text: str, k: int = 2, seed: int = 42, ks=range(2, 10),
-                   judged=range(2, 6), **vectors) -> dict[str, DataFrame]:
-    """TF-IDF clusters with sizes, members, cost and silhouette per k. The vectors are
-    written once for all fits."""
-    held = stage(models.text_vectors(df.select(key, text), text, **vectors).select(key, "tfidf_features"), "vectors")
-    clustered, _ = models.cluster(held, k, seed)
+                   judged=range(2, 6), **vectors) -> dict:
+    """TF-IDF clusters with sizes, members, cost and silhouette per k, the fits and the sparse rows
+    they are of. Every k is fitted once, all of them in the same scans over rows that are written once."""
+    vectors = models.text_vectors(df.select(key, text), text, keep=[key], **vectors).select(key, "tfidf_features")
+    rows, fits = models.fit_clusters(vectors, {k, *ks, *judged}, seed)
+    clustered = models.assign(rows, fits[k], "cluster")
     return {
-        "clusters": clustered.select(key, "cluster"),
+        "vectors": rows,
+        "fits": fits,
+        "clusters": clustered,
         "sizes": models.cluster_sizes(clustered),
-        "elbow": models.elbow(held, ks, seed),
-        "silhouette": models.silhouette(held, judged, seed),
+        "elbow": models.cost_table(df.sparkSession, {i: fits[i] for i in ks}),
+        "silhouette": models.silhouette_table(rows, {i: fits[i] for i in judged}),
     }
 
 

@@ -18,6 +18,8 @@ from voxlens.functions.arrays import each
 from voxlens.functions.text import words
 from voxlens.operators.lookup import gram_rows
 from voxlens.operators.ranking import is_numeric, top_per_group
+from voxlens.session import stage
+
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -92,52 +94,76 @@ def describe(df: DataFrame) -> DataFrame:
 
 # Values between the ends of a bracket that are ranked in one task.
 BRACKET = 10_000
+# Items of a quantile sketch, and ranks by which a bracket is wider than asked: several times
+# the sketch's error. A bracket that misses its quantile is asked for again, wider.
+SKETCH, SLACK = 4096, 0.004
 
 
-def quantiles_of(df: DataFrame, cols: dict[str, Column], ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10_000) -> DataFrame:
+def quantiles_of(df: DataFrame, cols: dict[str, Column], ps=(0.0, 0.25, 0.5, 0.75, 1.0), sketch: int = SKETCH,
+                 slack: float = SLACK) -> DataFrame:
     """Exact quantiles with linear interpolation of several columns: (column, p, value).
 
-    Each quantile has a bracket, at first all values. While a bracket holds more than
-    ``BRACKET`` values, an approximate pass over it gives two values inside that surely
-    enclose the quantile, and a counting pass tells how many values lie below and between
-    them; a pass leaves about ``20 / accuracy`` of a bracket. What is left is reduced to
-    (value, count) and ranked. Only two numbers per column and quantile come to the driver,
-    and the number of passes does not depend on the number of columns.
+    The first scan gives count, ends and one mergeable sketch per column, which answers for all
+    its quantiles. Each quantile of more than ``BRACKET`` values gets a bracket from it, the
+    second scan counts the values below and in all brackets, and those in them are reduced to
+    (value, count) and ranked in a third. Brackets that still hold too many values get a sketch of
+    their own and are counted again; each round leaves about ``2 * slack`` of a bracket. Only two
+    numbers per column and quantile come to the driver. Computed values are staged before.
     """
-    names, slack = list(cols), 10.0 / accuracy
+    names = list(cols)
     rows = df.select(*[cols[c].cast("double").alias(f"v{j}") for j, c in enumerate(names)])
     rows = rows.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in rows.columns])
-    sizes = rows.agg(*[
-        x for j in range(len(names)) for x in (F.count(f"v{j}"), F.min(f"v{j}"), F.max(f"v{j}"))
+    if not set(df.select(*cols.values()).columns) <= set(df.columns):
+        rows = stage(rows, "quantile_values")
+
+    def between(sketched: Column, count: Column, ranks: list[tuple[float, float]]) -> Column:
+        flat = F.array(*[F.lit(min(1.0, max(0.0, r))) for pair in ranks for r in pair])
+        return F.when(count > 0, F.kll_sketch_get_quantile_double(sketched, flat))
+
+    asked = [(float(p) - slack, float(p) + slack) for p in ps]
+    first = rows.agg(*[
+        x for j in range(len(names)) for x in (
+            F.count(f"v{j}"), F.min(f"v{j}"), F.max(f"v{j}"),
+            between(F.kll_sketch_agg_double(f"v{j}", sketch), F.count(f"v{j}"), asked))
     ]).first()
-    spots = [
-        {"q": j * len(ps) + i, "j": j, "p": float(p), "spot": float(p) * (sizes[3 * j] - 1), "below": 0,
-         "inside": sizes[3 * j], "low": sizes[3 * j + 1], "high": sizes[3 * j + 2]}
-        for j in range(len(names)) for i, p in enumerate(ps) if sizes[3 * j]
-    ]
+    spots = []
+    for j in range(len(names)):
+        size, low, high, near = first[4 * j : 4 * j + 4]
+        for i, p in enumerate(ps):
+            if size:
+                spots.append({"q": j * len(ps) + i, "j": j, "p": float(p), "spot": float(p) * (size - 1), "below": 0, "inside": size,
+                              "low": low, "high": high, "slack": slack, "near": (near[2 * i], near[2 * i + 1])})
 
     def inside(s, low, high) -> Column:
         return F.when(F.col(f"v{s['j']}").between(low, high), F.col(f"v{s['j']}"))
 
     open_ = [s for s in spots if s["inside"] > BRACKET]
     while open_:
-        near = rows.agg(*[
-            F.percentile_approx(inside(s, s["low"], s["high"]), [
-                max(0.0, (floor(s["spot"]) - s["below"]) / s["inside"] - slack),
-                min(1.0, (ceil(s["spot"]) + 1 - s["below"]) / s["inside"] + slack),
-            ], accuracy) for s in open_
-        ]).first()
         counted = rows.agg(*[
-            x for s, (low, high) in zip(open_, near) for x in (
-                F.count(F.when(F.col(f"v{s['j']}") < low, 1)), F.count(inside(s, low, high)))
+            x for s in open_ for x in (
+                F.count(F.when(F.col(f"v{s['j']}") < s["near"][0], 1)), F.count(inside(s, *s["near"])))
         ]).first()
         left = []
-        for i, (s, (low, high)) in enumerate(zip(open_, near)):
-            shrunk = counted[2 * i + 1] < s["inside"]
-            s.update(low=low, high=high, below=counted[2 * i], inside=counted[2 * i + 1])
-            if shrunk and s["inside"] > BRACKET:  # else the bracket is a few values that repeat
+        for i, s in enumerate(open_):
+            below, held = counted[2 * i], counted[2 * i + 1]
+            if below <= floor(s["spot"]) and ceil(s["spot"]) < below + held:
+                shrunk = held < s["inside"]
+                s.update(low=s["near"][0], high=s["near"][1], below=below, inside=held)
+                if shrunk and held > BRACKET:  # else the bracket is a few values that repeat
+                    left.append(s)
+            else:
+                s["slack"] *= 4
                 left.append(s)
         open_ = left
+        if open_:
+            near = rows.agg(*[
+                between(F.kll_sketch_agg_double(inside(s, s["low"], s["high"]), sketch), F.lit(1), [(
+                    (floor(s["spot"]) - s["below"]) / s["inside"] - s["slack"],
+                    (ceil(s["spot"]) + 1 - s["below"]) / s["inside"] + s["slack"],
+                )]) for s in open_
+            ]).first()
+            for s, ends in zip(open_, near):
+                s["near"] = tuple(ends)
     if not spots:
         return df.sparkSession.createDataFrame([], "column string, p double, value double")
     near = [
@@ -163,10 +189,10 @@ def quantiles_of(df: DataFrame, cols: dict[str, Column], ps=(0.0, 0.25, 0.5, 0.7
     return picked.select("column", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * part).alias("value"))
 
 
-def quantiles(df: DataFrame, col, ps=(0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int = 10_000) -> DataFrame:
+def quantiles(df: DataFrame, col, ps=(0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
     """Exact quantiles of one column or expression: (p, value)."""
     value = F.col(col) if isinstance(col, str) else col
-    return quantiles_of(df, {"value": value}, ps, accuracy).drop("column")
+    return quantiles_of(df, {"value": value}, ps).drop("column")
 
 
 def length_stats(df: DataFrame, col: str) -> DataFrame:

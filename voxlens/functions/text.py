@@ -163,14 +163,21 @@ def lexicon_sentiment(tokens, positive, negative) -> Column:
 
 def lexicon_score(c, positive, negative) -> Column:
     """Struct of ``label``, the polarity with more listed words, and ``confidence``, its share
-    of the listed words; neutral on a tie, 0.0 without any."""
+    of the listed words; neutral on a tie, 0.0 without any. The words are walked once."""
     tokens = F.coalesce(words(c), F.array().cast("array<string>"))
 
-    def count(listed) -> Column:
-        listed = list(listed)
-        return F.size(F.filter(tokens, lambda w: w.isin(listed))) if listed else F.lit(0)
+    def listed(w, names) -> Column:
+        return w.isin(list(names)).cast("int") if names else F.lit(0)
 
-    pos, neg = count(positive), count(negative)
-    label = F.when(pos > neg, "positive").when(pos < neg, "negative").otherwise("neutral")
-    share = F.when(pos + neg > 0, F.greatest(pos, neg) / (pos + neg)).otherwise(F.lit(0.0))
-    return F.struct(label.alias("label"), share.alias("confidence"))
+    def result(acc) -> Column:
+        pos, neg = acc["pos"], acc["neg"]
+        label = F.when(pos > neg, "positive").when(pos < neg, "negative").otherwise("neutral")
+        share = F.when(pos + neg > 0, F.greatest(pos, neg) / (pos + neg)).otherwise(F.lit(0.0))
+        return F.struct(label.alias("label"), share.alias("confidence"))
+
+    positive, negative = list(positive), list(negative)
+    return F.aggregate(
+        tokens, F.struct(F.lit(0).alias("pos"), F.lit(0).alias("neg")),
+        lambda acc, w: F.struct((acc["pos"] + listed(w, positive)).alias("pos"), (acc["neg"] + listed(w, negative)).alias("neg")),
+        result,
+    )

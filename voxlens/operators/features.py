@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from voxlens.functions.text import grams, without, word_tokens
 from voxlens.operators.aggregate import _rows, word_counts, word_rows
 from voxlens.operators.ranking import top_per_group
-from voxlens.operators.skew import HOT_SHARE, hot_rows, join_split, number_rows
+from voxlens.operators.skew import hot_rows, join_split, number_rows
 from voxlens.session import stage
 
 
@@ -72,13 +72,19 @@ def document_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(_rows().alias("df"))
 
 
+def with_frequency(counts: DataFrame) -> DataFrame:
+    """Staged term counts with the ``df`` of their term. The frequencies are aggregated once and
+    staged: hot terms, their total and the cold side read them from there."""
+    return join_split(counts, stage(document_frequency(counts), "term_frequency"), "term", "df")
+
+
 def idf_weights(counts: DataFrame, n_docs: int | DataFrame, key: str) -> DataFrame:
     """``tf * ln((n + 1) / (df + 1))`` in long form. ``n_docs`` counts all documents, also
     those without a term. The counts are staged, so the texts are cut into terms once; terms
     found nearly everywhere do not gather in one task."""
     n = n_docs.agg(_rows()).scalar() if isinstance(n_docs, DataFrame) else F.lit(n_docs)
     counts = stage(counts, "term_counts")
-    joined = join_split(counts, document_frequency(counts), "term", "df")
+    joined = with_frequency(counts)
     weight = F.col("tf") * F.log((n + 1) / (F.col("df") + 1))
     return joined.select(key, "term", "tf", "df", weight.alias("weight"))
 
@@ -102,7 +108,7 @@ def encode_tokens(df: DataFrame, key: str, col: str, vocab: DataFrame, max_len:
     """(key, encoded): token indexes cut or padded to ``max_len``; unknown tokens get 1.
     Only the first ``max_len`` tokens can appear, so lists are cut before they are joined."""
     head = df.select(key, F.posexplode_outer(F.slice(col, 1, max_len)).alias("pos", "token"))
-    hot = F.broadcast(hot_rows(vocab, "n", HOT_SHARE).select("token", F.col("idx").alias("hot_idx")))
+    hot = F.broadcast(hot_rows(vocab, "n").select("token", F.col("idx").alias("hot_idx")))
     placed = head.join(hot, "token", "left")
     in_place = placed.where("hot_idx is not null or token is null").select(key, "pos", F.col("hot_idx").alias("idx"))
     looked_up = placed.where("hot_idx is null and token is not null").join(
@@ -122,7 +128,7 @@ def tfidf_l2(counts: DataFrame, n_docs: int | DataFrame, key: str) -> DataFrame:
     window per document holds the terms of one text only."""
     n = n_docs.agg(_rows()).scalar() if isinstance(n_docs, DataFrame) else F.lit(n_docs)
     counts = stage(counts, "term_counts")
-    raw = join_split(counts, document_frequency(counts), "term", "df").select(
+    raw = with_frequency(counts).select(
         key, "term", (F.col("tf") * (F.log((n + 1) / (F.col("df") + 1)) + 1)).alias("w")
     )
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
@@ -143,7 +149,7 @@ def mean_tfidf(df: DataFrame, key: str, col: str, n: int, by: str | None = None,
     sizes = df.groupBy(by).agg(_rows().alias("n_docs"))
     # Group and word form one key; a word of every document of a large group is hot.
     pair = F.struct(by, "word")
-    terms = dfs.join(sizes, by).select(pair.alias("pair"), "df", "n_docs")
+    terms = stage(dfs.join(sizes, by).select(pair.alias("pair"), "df", "n_docs"), "term_frequency")
     raw = join_split(counts.select(key, pair.alias("pair"), "tf"), terms, "pair", "df").select(
         key, "pair", "n_docs",
         (F.col("tf") * (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1)).alias("w"),

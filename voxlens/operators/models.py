@@ -19,7 +19,7 @@ from voxlens.operators.aggregate import _rows
 from voxlens.operators.clusters import Fit, assign, kmeans, silhouettes, sparse_rows
 from voxlens.operators.features import class_tfidf, count_vectors, remove_stopwords, tfidf_vectors, tokenize
 from voxlens.operators.ranking import split
-from voxlens.operators.skew import HOT_SHARE, hot_rows
+from voxlens.operators.skew import hot_rows
 from voxlens.sources.files import run_sql
 from voxlens.session import discard, fresh_path, stage
 
@@ -146,7 +146,7 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
     w, h = [f"w{i}" for i in range(k)], [f"h{i}" for i in range(k)]
     weights = stage(weights.select(key, "term", "weight"), "nmf_input")
     terms = weights.groupBy("term").agg(_rows().alias("n"))
-    hot_terms = hot_rows(terms, "n", HOT_SHARE).select("term", F.lit(True).alias("hot"))
+    hot_terms = hot_rows(terms, "n").select("term", F.lit(True).alias("hot"))
     marked = weights.join(F.broadcast(hot_terms), "term", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     by_doc, doc_table = _bucketed(marked, key, "nmf_by_document")
     by_term, term_table = _bucketed(by_doc.where("not hot").drop("hot"), "term", "nmf_by_term")

@@ -2,29 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from voxlens.session import cut
 
-HOT_SHARE = 0.001
+# A key is hot if its rows are more than this part of what one shuffle partition gets on average.
+HOT_PART = 0.25
 
 
-def hot_rows(dim: DataFrame, weight: str, share: float = HOT_SHARE) -> DataFrame:
+def hot_share(spark: SparkSession) -> float:
+    """Share of all rows above which a key is hot: a part of the mean shuffle partition."""
+    return HOT_PART / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_rows(dim: DataFrame, weight: str, share: float | None = None) -> DataFrame:
     """Rows of a key table whose weight (row count on the big side) is above ``share`` of
-    all weight. Their number is below ``1 / share`` whatever the data, so the result is
-    small enough to broadcast by construction."""
+    all weight, by default ``hot_share``. Their number is below ``1 / share`` whatever the data
+    (four per shuffle partition), so the result is small enough to broadcast by construction."""
     total = dim.agg(F.sum(weight)).scalar()
-    return dim.where(F.col(weight) > share * total)
+    return dim.where(F.col(weight) > (share or hot_share(dim.sparkSession)) * total)
 
 
-def join_split(big: DataFrame, dim: DataFrame, key: str, weight: str, share: float = HOT_SHARE) -> DataFrame:
-    """Inner equi-join of ``big`` with a key table holding one row per key.
+def join_split(big: DataFrame, dim: DataFrame, key: str, weight: str, share: float | None = None) -> DataFrame:
+    """Inner equi-join of ``big`` with a key table holding one row per key. ``dim`` is read
+    several times and should be staged.
 
     ``weight`` is the column of ``dim`` that counts the rows of ``big`` per key. Keys
     above ``share`` meet their rows in place (broadcast of fewer than ``1 / share``
-    rows), the others are shuffled: none of them can fill a task.
+    rows), the others are shuffled: by default none of them has more than a quarter of the
+    rows of a mean partition.
     """
     hot = F.broadcast(hot_rows(dim, weight, share))
     cold = big.join(hot.select(key), key, "left_anti").join(dim, key)

@@ -66,6 +66,23 @@ def j5(spark, sf):
     )
 
 
+LONG_KEYWORDS = {"license": ["released under the MIT license", "the apache license", "gnu general public license", "license"], "more": ["the mit license"]}
+
+
+@query("j5_long_keywords", f"""
+WITH dim(topic, keyword) AS (VALUES {', '.join(f"('{t}', '{k}')" for t, ks in LONG_KEYWORDS.items() for k in ks)}),
+t AS (SELECT doc_id, {tokens('text')} AS t FROM documents),
+c AS (SELECT topic, keyword, string_split(lower(keyword), ' ') AS k FROM dim),
+h AS (SELECT doc_id, topic, keyword, len(list_filter(range(1, len(t) + 1), lambda i: t[i:i + len(k) - 1] = k)) AS hits
+      FROM t JOIN c ON list_contains(t, k[1]))
+SELECT doc_id, topic, keyword, hits FROM h WHERE hits > 0
+""")
+def j5_long(spark, sf):
+    return lookup.match_keywords(
+        table(spark, sf, "documents"), lookup.keyword_table(spark, LONG_KEYWORDS), "doc_id", "text"
+    )
+
+
 @query("w1_latest_per_key", """
 SELECT user_id, ts, event_id, event_type FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1

@@ -13,7 +13,7 @@ from catalog.lookups import POINT
 from catalog.profiling import EXCLUDE
 from catalog.registry import query, table
 from voxlens.functions.text import word_tokens
-from voxlens.operators import features, lookup, models, scoring
+from voxlens.operators import density, features, lookup, models, scoring
 from voxlens.session import stage
 
 
@@ -170,13 +170,43 @@ def t14(spark, sf):
     return facts.withColumn("errors_fall", F.lit(fall))
 
 
-@query("t15_embedding_topics", "SELECT count(*) AS n_documents, true AS falling, true AS ranked FROM documents")
+def density_facts(points, clustered, width, min_cell, min_size):
+    """(key, point) against (key, cluster): whether touching dense cells are one cluster, clusters
+    hold ``min_size`` rows, and noise is nowhere dense or beside it, but for small clusters."""
+    rows = points.select("key", density.cell_of(F.col("point"), width).alias("cell")).join(clustered, "key")
+    cells = stage(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("cluster").alias("lo"), F.max("cluster").alias("hi")), "facts")
+    dims = cells.select(F.size("cell")).first()[0]
+    dense = cells.where(F.col("n") >= min_cell)
+    pairs = density.touching(dense.select("cell"), dims).join(dense.select("cell", F.col("lo").alias("own")), "cell").join(
+        cells.select(F.col("cell").alias("near"), "n", F.col("lo").alias("other")), "near")
+    joined = pairs.agg(
+        F.coalesce(F.every((F.col("own") == F.col("other")) | (F.col("n") < min_cell)), F.lit(True)).alias("dense_meet"),
+        F.coalesce(F.every((F.col("own") < 0) | (F.col("other") >= 0)), F.lit(True)).alias("border_joins"))
+    sizes = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where("cluster >= 0")
+    large = sizes.agg(F.coalesce(F.every(F.col("size") >= min_size), F.lit(True)).alias("large"))
+    lonely = pairs.groupBy(F.col("near").alias("cell")).agg(F.max("own").alias("beside"))
+    alone = cells.join(lonely, "cell", "left").where(F.col("n") < min_cell).agg(F.coalesce(F.every(
+        (F.coalesce("beside", F.lit(-1)) >= 0) | (F.col("hi") < 0)), F.lit(True)).alias("noise_is_alone"))
+    full = F.col("n") >= max(min_cell, min_size)
+    whole = cells.agg(F.every(F.col("lo") == F.col("hi")).alias("cells_are_whole"),
+                      F.every(~full | (F.col("lo") >= 0)).alias("full_cells_count"))
+    facts = {**joined.first().asDict(), **large.first().asDict(), **alone.first().asDict(), **whole.first().asDict()}
+    return all(facts.values()), facts
+
+
+@query("t15_embedding_topics", """
+SELECT count(*) AS n_documents, true AS falling, true AS ranked, true AS dense_clusters FROM documents
+""")
 def t15(spark, sf):
-    embedded = scoring.embed(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    embedded = stage(scoring.embed(table(spark, sf, "documents").select("doc_id", "text"), "text"), "embedded")
     topics = models.embedding_topics(embedded, "text", "embedding")
     per_topic = falling(topics, "topic", "rank", "weight").groupBy("topic", "size").agg(
         F.every("falls").alias("falls"), (F.max("rank") == F.count("word")).alias("ranked"))
-    return per_topic.agg(F.sum("size").alias("n_documents"), F.every("falls").alias("falling"), F.every("ranked").alias("ranked"))
+    points = stage(models.reduced_points(embedded, "embedding", 5, ["doc_id"]).withColumnRenamed("doc_id", "key"), "points")
+    clustered = stage(density.density_clusters(points, "point", 1.0).select("key", "cluster"), "density")
+    good, _ = density_facts(points.where("point is not null"), clustered, 1.0, 4, 10)
+    return per_topic.agg(F.sum("size").alias("n_documents"), F.every("falls").alias("falling"), F.every("ranked").alias("ranked")).withColumn(
+        "dense_clusters", F.lit(good))
 
 
 @query("t18_sentiment_model", f"""

@@ -33,14 +33,14 @@ def s1(spark, sf):
 def s2(spark, sf):
     path = fresh_path(spark, "documents_csv")
     files.write_csv(table(spark, sf, "documents").select("doc_id", "text", "lang"), path)
-    return files.read_csv(spark, path, DOCS)
+    return files.read_csv(spark, path, DOCS, multiline=True)
 
 
-@query("s3_read_threads", f"SELECT video_id, title, comment, like_count FROM ({COMMENTS_RAW})")
+@query("s3_read_threads", COMMENTS_RAW)
 def s3(spark, sf):
     path = fresh_path(spark, "threads")
     files.write_threads(comments_raw(spark, sf), path)
-    return flatten_threads(files.read_threads(spark, path)).select("video_id", "title", "comment", "like_count")
+    return flatten_threads(files.read_threads(spark, path))
 
 
 @query("s5_catalog_preview", """
@@ -64,26 +64,31 @@ def s6(spark, sf):
     return files.read_parquet(spark, path)
 
 
-@query("s7_write_csv", "SELECT event_id, event_type, user_id, props FROM events")
+@query("s7_write_csv", "SELECT * FROM events")
 def s7(spark, sf):
     path = fresh_path(spark, "events_csv")
-    events = table(spark, sf, "events").select("event_id", "event_type", "user_id", "props")
+    events = table(spark, sf, "events")
     files.write_csv(events, path, [F.desc("event_id")])
     return files.read_csv(spark, path, events.schema)
 
 
-@query("s8_write_threads", f"""
-SELECT video_id, count(*) AS n_comments, CAST(sum(like_count) AS BIGINT) AS likes FROM ({COMMENTS_RAW}) GROUP BY video_id
-""")
-def s8(spark, sf):
+def written_in_parts(spark, sf):
     path = fresh_path(spark, "threads")
-    # A small bound, so that the longer threads are spread over several documents.
+    # A small bound, so that the longer threads are written in several parts.
     files.write_threads(comments_raw(spark, sf), path, max_comments=4)
-    docs = files.read_threads(spark, path).select(F.explode("threads").alias("video_id", "t"))
-    likes = F.aggregate("t.comments", F.lit(0).cast("long"), lambda a, c: a + c["like_count"])
-    return docs.groupBy("video_id").agg(
-        F.sum(F.size("t.comments")).alias("n_comments"), F.sum(likes).alias("likes")
-    )
+    return files.read_threads(spark, path)
+
+
+@query("s8_write_threads", COMMENTS_RAW)
+def s8(spark, sf):
+    return flatten_threads(written_in_parts(spark, sf))
+
+
+@query("s8_thread_totals", f"""
+SELECT video_id, count(*) AS n_comments, count(*) AS total FROM ({COMMENTS_RAW}) GROUP BY video_id
+""")
+def s8_totals(spark, sf):
+    return files.thread_totals(written_in_parts(spark, sf))
 
 
 @query("s11_refresh_landing", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'F'")

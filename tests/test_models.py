@@ -74,10 +74,52 @@ def test_embedding_topics(corpus):
     embedded = scoring.embed(corpus, "text")
     length = embedded.select(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x).alias("l")).collect()
     assert all(np.isclose(r["l"], 1.0, atol=1e-5) for r in length)
-    out = models.embedding_topics(embedded, "text", "embedding", k=4, dims=3, min_size=10, n=5).collect()
+    out = models.embedding_topics(embedded, "text", "embedding", dims=3, min_size=10, n=5).collect()
     sizes = {r["topic"]: r["size"] for r in out}
-    assert sum(sizes.values()) == 60 and all(n >= 10 for t, n in sizes.items() if t >= 0)
-    assert models.embedding_topics(embedded, "text", "embedding", k=2, dims=3, min_size=1000).select("topic").distinct().first()[0] == -1
+    assert sum(sizes.values()) == 60 and all(n >= 10 for t, n in sizes.items() if t >= 0) and any(t >= 0 for t in sizes)
+    # A topic does not mix fruit and tools.
+    for topic in {t for t in sizes if t >= 0}:
+        assert len({r["word"] in FRUIT for r in out if r["topic"] == topic}) == 1
+    assert models.embedding_topics(embedded, "text", "embedding", dims=3, min_size=1000).select("topic").distinct().first()[0] == -1
+
+
+def test_density_clusters_with_noise(spark):
+    from catalog.modelled import density_facts
+    from voxlens.operators.density import density_clusters
+
+    rng = np.random.default_rng(4)
+    blobs = [rng.normal(c, 0.5, (n, 3)) for c, n in (((0, 0, 0), 400), ((12, 0, 3), 200), ((-3, 14, 0), 100))]
+    curve = np.array([(x, 30 + np.sin(x), -20 + x / 2) for x in np.linspace(0, 12, 300)])
+    far = rng.uniform(-60, -30, (40, 3))
+    rows = np.concatenate([*blobs, curve, far])
+    made = [(i, [float(x) for x in p]) for i, p in enumerate(rows)] + [(9000, None)]
+    points = spark.createDataFrame(made, "key int, point array<double>").repartition(4)
+    got = {r["key"]: r["cluster"] for r in density_clusters(points, "point", 1.0).select("key", "cluster").collect()}
+    assert len(got) == len(made) and got[9000] == -1
+    # The blobs and the long curve, by size; what lies far is noise.
+    at = 0
+    for k, size in ((0, 400), (2, 200), (3, 100), (1, 300)):
+        own = [got[i] for i in range(at, at + size)]
+        assert own.count(k) > 0.9 * size and set(own) <= {k, -1}
+        at += size
+    assert {got[i] for i in range(at, at + 40)} == {-1}
+    clustered = spark.createDataFrame(list(got.items()), "key int, cluster int")
+    known = points.where("point is not null")
+    assert density_facts(known, clustered, 1.0, 4, 10)[0]
+    hashed = clustered.withColumn("cluster", F.pmod(F.xxhash64("key"), F.lit(4)).cast("int"))
+    assert not density_facts(known, hashed, 1.0, 4, 10)[0]
+    assert not density_facts(known, clustered.withColumn("cluster", F.lit(-1)), 1.0, 4, 10)[0]
+    assert density_clusters(points.limit(0), "point", 1.0).count() == 0
+
+
+def test_connected_components(spark):
+    from voxlens.operators.density import connected
+
+    links = [(i, i + 1) for i in range(1, 60) if i != 20] + [(70, 61), (61, 66), (80, 80)]
+    nodes = spark.range(1, 90).withColumnRenamed("id", "node")
+    got = {r["node"]: r["label"] for r in connected(nodes, spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(got[i] == 1 for i in range(1, 21)) and all(got[i] == 21 for i in range(21, 61))
+    assert got[70] == got[66] == got[61] == 61 and got[80] == 80 and got[88] == 88 and len(got) == 89
 
 
 def test_sentiment_model(corpus):

@@ -115,3 +115,19 @@ def test_count_arrays_have_every_term(spark):
     assert index.count() == n + 1 and index.where("idx = 0").first()["token"] == "common"
     found = vectors.select(F.inline("entries")).agg(F.count_distinct("idx"), F.sum("tf")).first()
     assert tuple(found) == (n + 1, 2 * n)
+
+
+def test_keywords_of_any_length(spark):
+    from voxlens.operators import lookup
+
+    dim = lookup.keyword_table(spark, {"a": ["Battery life", "very long battery life", "screen"], "b": ["battery", "screen", "long battery"]})
+    docs = spark.createDataFrame([
+        (1, "Very long battery life, very long battery"), (2, "screen SCREEN"), (3, None), (4, ""), (5, "life battery"),
+    ], "id int, text string")
+    got = sorted(tuple(r) for r in lookup.match_keywords(docs, dim, "id", "text").collect())
+    assert got == [
+        (1, "a", "Battery life", 1), (1, "a", "very long battery life", 1), (1, "b", "battery", 2), (1, "b", "long battery", 2),
+        (2, "a", "screen", 2), (2, "b", "screen", 2), (5, "b", "battery", 1),
+    ]
+    counts = {(r["topic"], r["keyword"]): r["n"] for r in aggregate.keyword_frequency(docs, dim, "text").collect()}
+    assert counts[("a", "very long battery life")] == 1 and counts[("b", "battery")] == 3 and counts[("a", "screen")] == 2

@@ -70,11 +70,39 @@ def test_failed_refresh_keeps_the_old_content(spark):
         files.refresh_landing(spark.range(1), path, must_be_new=True)
 
 
+def test_refresh_that_ends_before_the_pointer_keeps_the_old_rows(spark, monkeypatch):
+    path = fresh_path(spark, "landing")
+    files.refresh_landing(spark.range(5), path)
+    old = files.read_parquet(spark, path)
+    with monkeypatch.context() as m:
+        m.setattr(files, "_point_to", lambda *a: (_ for _ in ()).throw(IOError("lost")))
+        with pytest.raises(IOError):
+            files.refresh_landing(spark.range(9), path)
+    assert files.read_parquet(spark, path).count() == 5
+    assert files.refresh_landing(spark.range(7), path) == 7
+    # A job that began on the version before can end on it.
+    assert files.read_parquet(spark, path).count() == 7 and old.count() == 5
+    files.refresh_landing(files.read_parquet(spark, path).where("id < 3"), path)
+    files.append_landing(spark.range(1), path)
+    assert sorted(r["id"] for r in files.read_parquet(spark, path).collect()) == [0, 0, 1, 2]
+
+
+def test_lost_parts_of_a_thread_are_noticed(spark):
+    rows = spark.range(30).select(
+        F.lit("v").alias("video_id"), F.lit("t").alias("title"), F.lit("2024").alias("publish_date"), F.lit("c").alias("channel_name"),
+        F.col("id").cast("string").alias("comment"), F.col("id").alias("like_count"), F.lit(None).cast("string").alias("comment_publish_date"))
+    docs = files.nest_threads(rows, max_comments=6)
+    assert [tuple(r) for r in files.thread_totals(docs).collect()] == [("v", 30, 30)]
+    some = docs.where(F.element_at("threads", "v")["part"] > 0)
+    (found,) = files.thread_totals(some).collect()
+    assert found["n_comments"] < found["total"] == 30
+
+
 def test_csv_keeps_quotes_and_lines(spark):
     df = spark.createDataFrame([(1, 'a "b", c\nd'), (2, " x "), (3, "\\")], "id int, t string")
     path = fresh_path(spark, "csv")
     files.write_csv(df, path, [F.desc("id")])
-    assert files.read_csv(spark, path, df.schema).exceptAll(df).count() == 0
+    assert files.read_csv(spark, path, df.schema, multiline=True).exceptAll(df).count() == 0
 
 
 def test_rows_are_dealt_out_on_demand_only(spark, sf):

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from voxlens.functions.arrays import each
 from voxlens.functions.text import words
-from voxlens.operators.lookup import gram_rows
+from voxlens.operators.lookup import keyword_hits
 from voxlens.operators.ranking import is_numeric, top_per_group
 from voxlens.session import stage
 
@@ -304,11 +304,10 @@ def word_counts_by(df: DataFrame, col: str, keys: list[str], n: int, exclude=())
     return top_per_group(counts.select(*keys, "word", "n"), keys, [F.desc("n"), F.asc("word")], n)
 
 
-def keyword_frequency(df: DataFrame, dim: DataFrame, col: str, max_n: int = 2, min_token_len: int = 2) -> DataFrame:
-    """Hits of each dictionary keyword over the corpus, zero kept. Only grams that are a
-    keyword are counted."""
-    wanted = dim.select(F.lower("keyword").alias("gram")).distinct()
-    counts = gram_rows(df, [], col, max_n, min_token_len).join(wanted, "gram").groupBy("gram").agg(_rows().alias("hits"))
+def keyword_frequency(df: DataFrame, dim: DataFrame, col: str, min_token_len: int = 2) -> DataFrame:
+    """Hits of each dictionary keyword, of any number of words, over the corpus, zero kept."""
+    wanted = dim.select(F.lit("").alias("topic"), F.lower("keyword").alias("keyword")).distinct()
+    counts = keyword_hits(df, wanted, [], col, min_token_len).groupBy(F.col("keyword").alias("gram")).agg(_rows().alias("hits"))
     return dim.join(counts, F.lower(dim.keyword) == counts.gram, "left").select(
         "topic", "keyword", F.coalesce("hits", F.lit(0)).alias("n")
     )

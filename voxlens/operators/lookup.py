@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlens.functions.text import grams, without, word_tokens
+from voxlens.functions.text import without, word_tokens
 
 
 def semi_match(a: DataFrame, b: DataFrame, key) -> DataFrame:
@@ -58,21 +58,28 @@ def keyword_table(spark: SparkSession, topics: dict[str, list[str]]) -> DataFram
     }))
 
 
-def gram_rows(df: DataFrame, keep: list[str], col: str, max_n: int = 2, min_token_len: int = 2) -> DataFrame:
-    """One row per 1..max_n gram of the text, with the kept columns."""
+def keyword_hits(df: DataFrame, dim: DataFrame, keep: list[str], col: str, min_token_len: int = 2) -> DataFrame:
+    """One row per occurrence of a keyword of any number of words: (keep, topic, keyword).
+
+    The keyword table is indexed by first word. Only tokens that begin a keyword pass the first
+    join, each with as many of the following tokens as the longest keyword of that word has; they
+    are cut to the lengths of its keywords and met by the whole keyword. Texts are cut into
+    tokens once, and no text is tested against every keyword.
+    """
+    named = dim.select("topic", "keyword", F.lower("keyword").alias("__gram")).where("__gram is not null")
+    named = named.withColumn("__words", F.split("__gram", " "))
+    firsts = named.groupBy(F.element_at("__words", 1).alias("__first")).agg(F.collect_set(F.size("__words")).alias("__lengths"))
     tokens = df.select(*keep, word_tokens(col, min_token_len).alias("__t"))
-    every = F.concat(*[grams("__t", n) for n in range(1, max_n + 1)])
-    return tokens.select(*keep, F.explode(every).alias("gram"))
-
-
-def match_keywords(
-    df: DataFrame, dim: DataFrame, key: str, col: str, max_n: int = 2, min_token_len: int = 2
-) -> DataFrame:
-    """Keywords found in each text: (key, topic, keyword, hits). Texts are cut into grams
-    once and met by an equi-join, so no text is tested against every keyword. Grams that
-    are no keyword end at the join, before anything is counted or shuffled for counting."""
-    grams_ = gram_rows(df, [key], col, max_n, min_token_len)
-    found = grams_.join(dim, grams_.gram == F.lower(dim.keyword))
+    begun = tokens.select(*keep, "__t", F.posexplode("__t").alias("__at", "__first")).join(firsts, "__first")
+    begun = begun.select(*keep, F.slice("__t", F.col("__at") + 1, F.array_max("__lengths")).alias("__t"), "__lengths")
+    sized = begun.select(*keep, "__t", F.explode("__lengths").alias("__n")).where(F.size("__t") >= F.col("__n"))
+    grams_ = sized.select(*keep, F.array_join(F.slice("__t", F.lit(1), F.col("__n")), " ").alias("__gram"))
+    return grams_.join(named.select("__gram", "topic", "keyword"), "__gram").select(*keep, "topic", "keyword")
+
+
+def match_keywords(df: DataFrame, dim: DataFrame, key: str, col: str, min_token_len: int = 2) -> DataFrame:
+    """Keywords found in each text: (key, topic, keyword, hits), see ``keyword_hits``."""
+    found = keyword_hits(df, dim, [key], col, min_token_len)
     return found.groupBy(key, "topic", "keyword").agg(F.count(F.lit(1)).alias("hits"))
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, PCA, HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from voxlens.functions.text import word_tokens
 from voxlens.functions.vectors import cosine
 from voxlens.operators.aggregate import _rows
+from voxlens.operators.density import density_clusters
 from voxlens.operators.clusters import Fit, assign, kmeans, silhouettes, sparse_rows
 from voxlens.operators.features import class_tfidf, count_vectors, remove_stopwords, tfidf_vectors, tokenize
 from voxlens.operators.ranking import split
@@ -205,24 +206,32 @@ def factor_topics(terms: DataFrame, k: int, n: int) -> DataFrame:
     return every.select("topic", (F.col("pos") + 1).alias("rank"), "t.term", (-F.col("t.m")).alias("weight"))
 
 
-def embedding_topics(df: DataFrame, text: str, embedding: str, k: int = 10, dims: int = 5,
-                     min_size: int = 10, n: int = 15, seed: int = 42) -> DataFrame:
-    """Topics of embedded texts: unit vectors, ``dims`` principal components, K-means;
-    clusters below ``min_size`` become topic -1; top words by class TF-IDF with the topic
-    size: (topic, size, rank, word, weight)."""
-    held = df.select(F.col(text).alias("text"), array_to_vector(F.col(embedding).cast("array<double>")).alias("raw"))
-    unit = Normalizer(inputCol="raw", outputCol="unit").transform(held)
-    small = PCA(k=dims, inputCol="unit", outputCol="reduced").fit(unit).transform(unit).select("text", "reduced").persist()
-    placed, _ = cluster(small, k, seed, "reduced", "c")
-    sizes = placed.groupBy("c").agg(_rows().alias("size"))
-    topic = F.when(F.col("size") < min_size, -1).otherwise(F.col("c"))
-    # One row per cluster.
-    labels = F.broadcast(sizes.select("c", topic.alias("topic")))
-    tagged = placed.join(labels, "c").select("topic", word_tokens("text").alias("tokens"))
-    totals = sizes.groupBy(topic.alias("topic")).agg(F.sum("size").alias("size"))
-    return class_tfidf(tagged, "topic", "tokens", n).join(totals, "topic").select(
-        "topic", "size", "rank", "word", "weight"
-    )
+def reduced_points(df: DataFrame, embedding: str, dims: int, keep: list[str], out: str = "point") -> DataFrame:
+    """(keep, point): unit vectors cut to their first ``dims`` principal components, in units of
+    the mean spread of a component. Rows without an embedding have no point."""
+    held = df.select(*keep, F.col(embedding).cast("array<double>").alias("__e"))
+    length = F.sqrt(F.aggregate("__e", F.lit(0.0), lambda a, x: a + x * x))
+    held = stage(held.withColumn("__u", F.when(length > 0, F.transform("__e", lambda x: x / length))).drop("__e"), "unit_vectors")
+    unit = held.where("__u is not null").withColumn("unit", array_to_vector("__u"))
+    model = PCA(k=dims, inputCol="unit", outputCol="reduced").fit(unit)
+    point = vector_to_array("reduced")
+    spread = model.transform(unit).agg(*[F.stddev_pop(point[i]) for i in range(dims)]).first()
+    scale = (sum(x or 0.0 for x in spread) / dims) or 1.0
+    placed = model.transform(unit).select(*keep, F.transform(point, lambda x: x / scale).alias(out))
+    rest = held.where("__u is null").select(*keep, F.lit(None).cast("array<double>").alias(out))
+    return placed.unionByName(rest)
+
+
+def embedding_topics(df: DataFrame, text: str, embedding: str, dims: int = 5, min_size: int = 10, n: int = 15,
+                     width: float = 1.0, min_cell: int = 4) -> DataFrame:
+    """Topics of embedded texts: unit vectors, ``dims`` principal components, density clusters by
+    grid cells; what is not dense and clusters below ``min_size`` become topic -1; top words by
+    class TF-IDF with the topic size: (topic, size, rank, word, weight)."""
+    points = stage(reduced_points(df, embedding, dims, [text]), "points")
+    placed = density_clusters(points, "point", width, min_cell, min_size, "topic")
+    sizes = placed.groupBy("topic").agg(_rows().alias("size"))
+    tagged = placed.select("topic", word_tokens(text).alias("tokens"))
+    return class_tfidf(tagged, "topic", "tokens", n).join(sizes, "topic").select("topic", "size", "rank", "word", "weight")
 
 
 def similar_rows(df: DataFrame, col: str, vec: list[float], n: int, key: str) -> DataFrame:

@@ -106,13 +106,13 @@ def sentiment_words(df: DataFrame, item: str, text: str, positive=wordlists.POSI
 
 
 def brand_report(df: DataFrame, text: str, first, second, dim: DataFrame, stop=(), n: int = 10) -> dict[str, DataFrame]:
-    """Shares of the brands, their most frequent words and the keyword hits per brand."""
-    rows = lookup.dedup(df.select(text))
+    """Shares of the brands, their most frequent words and the keyword hits per brand. The
+    distinct texts are staged once for all reports."""
+    rows = stage(lookup.dedup(df.select(text)), "distinct_texts")
     branded = rows.withColumn("brand", classify_brand(text, first, second))
     tokens = branded.select("brand", without(word_tokens(clean_comment(text)), stop).alias("tokens"))
     named = tokens.where(F.col("brand").isin(first[0], second[0]))
-    hits = lookup.gram_rows(branded.where(F.col("brand").isin(first[0], second[0])), ["brand"], text)
-    found = hits.join(dim, hits.gram == F.lower(dim.keyword))
+    found = lookup.keyword_hits(branded.where(F.col("brand").isin(first[0], second[0])), dim, ["brand"], text)
     return {
         "shares": aggregate.class_share(branded, "brand"),
         "words": aggregate.word_counts_by(named, "tokens", ["brand"], n),

@@ -33,6 +33,9 @@ THREAD = T.StructType([
         T.StructField("like_count", T.LongType()),
         T.StructField("published_at", T.StringType()),
     ]))),
+    # Of threads that are written in parts: the number of this one and the comments of all.
+    T.StructField("part", T.LongType()),
+    T.StructField("total", T.LongType()),
 ])
 
 THREADS = T.StructType([T.StructField("threads", T.MapType(T.StringType(), THREAD))])

@@ -10,7 +10,6 @@ from voxlens.llm.q_packing import TOKENIZER
 
 def check(spark, docs, least_fill, capacity=1024, **options):
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     want = defaultdict(list)
     for r in docs.collect():
         want[r.doc_id].append(np.array(tokenizer.encode(r.text or "", add_special_tokens=False).ids + [0], "<u4"))
@@ -64,16 +63,50 @@ def test_least_cost_first():
     assert sorted(load.values()) == [1024, 1024]
 
 
-def test_ids_of_a_tokenizer_whose_ids_are_no_ranks():
+TEXTS = [
+    "", " ", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", " <|endoftext| >", "it's  two\n\n lines\t ",
+    "漢字 ünï 😀 x<|pad|>y<|pad|>>z", "<|pad|>ding 123", "ab<x>c <x>  <x> d",
+]
+
+
+def same_ids(data: str):
+    from voxlens.llm.packing import _of_text
+
+    tokenizer, encode = Tokenizer.from_str(data), _of_text(data)
+    for text in TEXTS:
+        assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_added_tokens_get_their_ids():
     import json
 
-    from voxlens.llm.packing import _of_piece, _ranks
+    from voxlens.llm.packing import _ranks
 
     data = json.load(open(TOKENIZER))
     assert len(_ranks(data)) == 50256
-    data["model"]["merges"] = data["model"]["merges"][::-1]
-    assert _ranks(data) is None
-    text = json.dumps(data)
-    tokenizer = Tokenizer.from_str(text)
-    piece = " pathetic"
-    assert np.frombuffer(_of_piece(text)(piece), "<u4").tolist() == tokenizer.encode(piece, add_special_tokens=False).ids
+    same_ids(json.dumps(data))
+    plain = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+    data["added_tokens"] += [{"id": 50257 + i, "content": c, **plain} for i, c in enumerate(["<|pad|>", "<|pad|>>", "<x>"])]
+    assert _ranks(data) is not None
+    same_ids(json.dumps(data))
+
+
+def test_other_tokenizers_get_whole_texts():
+    import json
+
+    from voxlens.llm.packing import _ranks
+
+    def changed(**parts):
+        data = json.load(open(TOKENIZER))
+        for name, value in parts.items():
+            data[name] = value
+        assert _ranks(data) is None
+        same_ids(json.dumps(data))
+
+    data = json.load(open(TOKENIZER))
+    changed(model={**data["model"], "merges": data["model"]["merges"][::-1]})
+    changed(pre_tokenizer={**data["pre_tokenizer"], "use_regex": False})
+    changed(pre_tokenizer={**data["pre_tokenizer"], "add_prefix_space": True})
+    changed(normalizer={"type": "Lowercase"})
+    changed(added_tokens=data["added_tokens"] + [
+        {"id": 50257, "content": "<x>", "single_word": False, "lstrip": True, "rstrip": True, "normalized": False, "special": True}])

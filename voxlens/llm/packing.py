@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import zlib
 from struct import pack as pack_ids
 
@@ -44,11 +45,15 @@ def read_tokenizer(path: str) -> str:
 
 
 def _ranks(tokenizer: dict) -> dict[bytes, int] | None:
-    """Token bytes and ids of a byte-level BPE whose ids follow the order of its merges, so
-    that ids can serve as ranks; null for any other tokenizer."""
+    """Token bytes and ids of a byte-level BPE that splits by the usual pattern and whose ids
+    follow the order of its merges, so that ids can serve as ranks; null for any other tokenizer."""
     model, before = tokenizer["model"], tokenizer.get("pre_tokenizer") or {}
-    plain = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not tokenizer.get("normalizer")
-    if model.get("type") != "BPE" or not plain or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    if not plain or model.get("type") != "BPE" or any(tokenizer.get(k) for k in ("normalizer", "truncation", "padding")):
+        return None
+    if any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "dropout")):
+        return None
+    if any(t.get(k) for t in tokenizer.get("added_tokens") or () for k in ("single_word", "lstrip", "rstrip")):
         return None
     vocab = model["vocab"]
     pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -63,27 +68,44 @@ def _ranks(tokenizer: dict) -> dict[bytes, int] | None:
     return {bytes(map(byte_of.__getitem__, token)): i for token, i in vocab.items() if token in made}
 
 
-def _of_piece(data: str):
-    """Ids of a pre-token as little-endian unsigned 32-bit numbers. Where ids are ranks, the
-    merges of the same file are applied by a leaner library, with the same ids."""
-    ranks = _ranks(json.loads(data))
-    if ranks is not None:
-        import tiktoken
+def _of_text(data: str):
+    """Ids of a text as little-endian unsigned 32-bit numbers, those that the file's tokenizer
+    gives without special tokens of its own: strings of added tokens in a text get their ids.
 
-        encode = tiktoken.Encoding("own", pat_str=GENERAL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    else:
+    Where ids are ranks, a text is cut at the added tokens (the longest of those that begin at
+    the same place) and into pre-tokens, and the merges of the same file are applied by a leaner
+    library, once per pre-token. Other tokenizers get whole texts.
+    """
+    tokenizer = json.loads(data)
+    ranks = _ranks(tokenizer)
+    if ranks is None:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(data)
-        tokenizer.encode_special_tokens = True  # their strings in a text are text
+        whole = Tokenizer.from_str(data)
+
+        def encode_whole(text: str) -> bytes:
+            ids = whole.encode(text, add_special_tokens=False).ids
+            return pack_ids("<%dI" % len(ids), *ids)
+        return encode_whole
 
-        def encode(piece):
-            return tokenizer.encode(piece, add_special_tokens=False).ids
+    import tiktoken
+
+    encode = tiktoken.Encoding("own", pat_str=GENERAL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def made(piece: str) -> bytes:
         ids = encode(piece)
         return pack_ids("<%dI" % len(ids), *ids)
-    return made
+
+    ids_of, split = PieceCache(made, CACHED).__getitem__, Splitter()
+    added = {t["content"]: pack_ids("<I", t["id"]) for t in tokenizer.get("added_tokens") or () if t["content"]}
+    if not added:
+        return lambda text: b"".join(map(ids_of, split(text)))
+    cuts = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def encode_text(text: str) -> bytes:
+        parts = cuts.split(text)  # text, added token, text, ...
+        return b"".join(added[part] if i % 2 else b"".join(map(ids_of, split(part))) for i, part in enumerate(parts))
+    return encode_text
 
 
 def _pieces(data, name: str, capacity: int, end_id: int):
@@ -92,15 +114,15 @@ def _pieces(data, name: str, capacity: int, end_id: int):
     def run(batches):
         made = worker_cache(f"tokenizer-{name}")
         if not made:
-            made["cache"], made["split"] = PieceCache(_of_piece(data.value), CACHED), Splitter()
-        ids_of, split = made["cache"].__getitem__, made["split"]
+            made["encode"] = _of_text(data.value)
+        encode = made["encode"]
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = []
                 for key, text in zip(batch.column(0).slice(at, ROWS), batch.column(1).slice(at, ROWS)):
                     key = key.as_py()
-                    ids = np.frombuffer(b"".join(map(ids_of, split(text.as_py() or ""))) + end, "<u4")
+                    ids = np.frombuffer(encode(text.as_py() or "") + end, "<u4")
                     for start in range(0, len(ids), capacity):
                         piece = ids[start : start + capacity]
                         full = len(piece) == capacity

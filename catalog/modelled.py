@@ -14,6 +14,7 @@ from catalog.profiling import EXCLUDE
 from catalog.registry import query, table
 from voxlens.functions.text import word_tokens
 from voxlens.operators import density, features, lookup, models, scoring
+from voxlens.operators.clusters import sparse_rows
 from voxlens.session import stage
 
 
@@ -209,14 +210,35 @@ def t15(spark, sf):
         "dense_clusters", F.lit(good))
 
 
+def score_facts(model, rows, scored):
+    """(doc_id, recomputed, by_threshold): whether a score is the logistic function of the sum of
+    term counts times the saved weights, and the label that of the score."""
+    _, idf, fit = model.stages
+    weights = np.asarray(fit.coefficients.toArray()) * np.asarray(idf.idf.toArray())
+    used = np.flatnonzero(weights).astype(np.int32)
+    matrix = rows.sparkSession.createDataFrame(pa.table({"idx": used, "c0": weights[used]}))
+    counted = sparse_rows(model.stages[0].transform(rows), "tf", ["doc_id"])
+    again = products(counted, matrix).select("doc_id", (1 / (1 + F.exp(-(F.col("p0") + float(fit.intercept))))).alias("again"))
+    return scored.join(again, "doc_id").select(
+        "doc_id", (F.abs(F.col("score") - F.col("again")) < 1e-9).alias("recomputed"),
+        (F.col("sentiment") == F.when(F.col("score") > 0.5, "positive").otherwise("negative")).alias("by_threshold"))
+
+
+def learned(model, train):
+    """Whether the loss over the training rows is below that of always giving their share."""
+    scored = models.predict(model, train).select("label", F.greatest(F.least("score", F.lit(1 - 1e-15)), F.lit(1e-15)).alias("score"))
+    loss = F.avg(-F.log(F.when(F.col("label") == 1, F.col("score")).otherwise(1 - F.col("score"))))
+    found, share = scored.agg(loss, F.avg("label")).first()
+    plain = 0.0 if share in (0.0, 1.0) else -(share * np.log(share) + (1 - share) * np.log(1 - share))
+    return bool(found < plain)
+
+
 @query("t18_sentiment_model", f"""
-SELECT doc_id, true AS scored, true AS by_threshold FROM documents JOIN labels USING (doc_id)
+SELECT doc_id, true AS recomputed, true AS by_threshold, true AS learned FROM documents JOIN labels USING (doc_id)
 WHERE {POINT.format('doc_id')} >= 0.8
 """)
 def t18(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels"), "doc_id")
-    model, _, test = models.train_sentiment(docs, "text", "quality", key="doc_id")
-    return models.predict(model, test).select(
-        "doc_id", F.col("score").between(0, 1).alias("scored"),
-        (F.col("sentiment") == F.when(F.col("score") > 0.5, "positive").otherwise("negative")).alias("by_threshold"),
-    )
+    model, train, test = models.train_sentiment(docs, "text", "quality", key="doc_id")
+    scored = models.predict(model, test).select("doc_id", "score", "sentiment")
+    return score_facts(model, test, scored).withColumn("learned", F.lit(learned(model, train)))

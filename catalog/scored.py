@@ -8,7 +8,8 @@ from catalog.profiling import in_list, rounded
 from catalog.registry import query, table
 from catalog.textual import NEGATIVE, POSITIVE
 from voxlens.functions.text import clean_basic, word_tokens
-from voxlens.operators import scoring
+from voxlens.operators import features, scoring
+from voxlens.session import stage
 
 POS = f"len(list_filter({q.words('t')}, lambda w: w IN ({in_list(POSITIVE)})))"
 NEG = f"len(list_filter({q.words('t')}, lambda w: w IN ({in_list(NEGATIVE)})))"
@@ -48,14 +49,24 @@ def x3(spark, sf):
     return scoring.score_relevance(docs, "text", words=["ption", "heit"]).select("doc_id", "relevant")
 
 
-@query("x5_embed", "SELECT doc_id, 64 AS n_dims, true AS unit FROM documents")
+def embed_facts(docs, embedded):
+    """(doc_id, n_dims, from_words): whether an embedding is the sum of the embeddings of its words,
+    each of which has one dimension, at unit length; zero without words."""
+    counts = stage(features.term_counts(docs.select("doc_id", word_tokens("text").alias("t")), "doc_id", "t"), "term_counts")
+    words = scoring.embed(counts.select(F.col("term").alias("text")).distinct(), "text")
+    places = words.select(F.col("text").alias("term"), F.posexplode("embedding").alias("dim", "x")).where("x <> 0")
+    sums = counts.join(places, "term").groupBy("doc_id", "dim").agg(F.sum(F.col("tf") * F.col("x")).alias("s"))
+    length = sums.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("length"))
+    want = sums.join(length, "doc_id").select("doc_id", "dim", (F.col("s") / F.col("length")).alias("want"))
+    got = embedded.select("doc_id", F.size("embedding").alias("n_dims"), F.posexplode("embedding").alias("dim", "got"))
+    same = F.abs(F.col("got") - F.coalesce("want", F.lit(0.0))) < 1e-5
+    return got.join(want, ["doc_id", "dim"], "left").groupBy("doc_id", "n_dims").agg(F.every(same).alias("from_words"))
+
+
+@query("x5_embed", "SELECT doc_id, 64 AS n_dims, true AS from_words FROM documents")
 def x5(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    empty = F.size(F.coalesce(word_tokens("text"), F.array().cast("array<string>"))) == 0
-    return scoring.embed(docs, "text").select(
-        "doc_id", F.size("embedding").alias("n_dims"),
-        (F.abs(length - F.when(empty, 0.0).otherwise(1.0)) < 1e-5).alias("unit"))
+    return embed_facts(docs, scoring.embed(docs, "text"))
 
 
 def letter_encoder(texts: pd.Series) -> list:

@@ -71,3 +71,27 @@ def test_seeds_and_empty_tables(spark, fitted):
     assert all(np.array_equal(again[k].centres, fits[k].centres) for k in fits)
     none = models.kmeans(rows.limit(0), [2])
     assert none[2].sizes.tolist() == [0, 0] and none[2].cost == 0
+
+
+def test_sentiment_scores(spark):
+    rows = spark.createDataFrame([(i, " ".join(WORDS[i % 2].split()[j % 5] for j in range(i, i + 3))) for i in range(80)], "doc_id long, text string")
+    rows = rows.withColumn("label", (F.col("doc_id") % 2).cast("double"))
+    model, train, test = models.train_sentiment(rows, "text", "label", 1 << 10, key="doc_id")
+    scored = stage(models.predict(model, test).select("doc_id", "score", "sentiment"), "scored")
+    assert every(modelled.score_facts(model, test, scored), "recomputed", "by_threshold") == [True, True]
+    hashed = scored.withColumn("score", F.pmod(F.xxhash64("doc_id"), F.lit(1000)) / 1000)
+    assert every(modelled.score_facts(model, test, hashed), "recomputed") == [False]
+    assert modelled.learned(model, train)
+    turned = train.withColumn("label", 1 - F.col("label"))
+    assert not modelled.learned(model, turned)
+
+
+def test_embeddings(spark):
+    from catalog.scored import embed_facts
+    from voxlens.operators import scoring
+
+    docs = spark.createDataFrame([(i, WORDS[i % 3] + f" w{i}") for i in range(20)] + [(20, ""), (21, None), (22, "rain rain rain")], "doc_id long, text string")
+    embedded = stage(scoring.embed(docs, "text"), "embedded")
+    facts = embed_facts(docs, embedded)
+    assert facts.count() == 23 and every(facts, "from_words") == [True]
+    assert every(embed_facts(docs, embedded.withColumn("embedding", F.reverse("embedding"))), "from_words") == [False]

@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry
 
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "PythonUDF")
-# Operators whose subject is a passed Python function or a parser.
-WITH_PYTHON = ("x4", "x5", "x6", "x7", "t20_extract_terms_tokenizer", "p10_extract_nested_fields", "p11_page_window")
+# Operators whose subject is a passed Python function or a parser, or that work on arrays of numbers.
+WITH_PYTHON = ("x4", "x5", "x6", "x7", "t20_extract_terms_tokenizer", "p10_extract_nested_fields", "p11_page_window",
+               "t9_cluster", "t12_cluster_members", "b7_cluster_corpus", "op11", "op12", "op13")
 LAZY = [n for n in entry.oracle_sql() if not n.startswith(WITH_PYTHON)]
 
 

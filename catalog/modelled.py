@@ -199,13 +199,15 @@ def density_facts(points, clustered, width, min_cell, min_size):
 SELECT count(*) AS n_documents, true AS falling, true AS ranked, true AS dense_clusters FROM documents
 """)
 def t15(spark, sf):
-    embedded = stage(scoring.embed(table(spark, sf, "documents").select("doc_id", "text"), "text"), "embedded")
-    topics = models.embedding_topics(embedded, "text", "embedding")
+    embedded = scoring.embed(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    # The steps of ``embedding_topics``, so that the facts are about the same clusters.
+    points = stage(models.reduced_points(embedded, "embedding", 5, ["doc_id", "text"]), "points")
+    clustered = stage(density.density_clusters(points, "point", 1.0, 4, 10, "topic").select("doc_id", "text", "topic"), "density")
+    topics = models.topic_words(clustered, "text")
     per_topic = falling(topics, "topic", "rank", "weight").groupBy("topic", "size").agg(
         F.every("falls").alias("falls"), (F.max("rank") == F.count("word")).alias("ranked"))
-    points = stage(models.reduced_points(embedded, "embedding", 5, ["doc_id"]).withColumnRenamed("doc_id", "key"), "points")
-    clustered = stage(density.density_clusters(points, "point", 1.0).select("key", "cluster"), "density")
-    good, _ = density_facts(points.where("point is not null"), clustered, 1.0, 4, 10)
+    keyed = points.where("point is not null").select(F.col("doc_id").alias("key"), "point")
+    good, _ = density_facts(keyed, clustered.select(F.col("doc_id").alias("key"), F.col("topic").alias("cluster")), 1.0, 4, 10)
     return per_topic.agg(F.sum("size").alias("n_documents"), F.every("falls").alias("falling"), F.every("ranked").alias("ranked")).withColumn(
         "dense_clusters", F.lit(good))
 

@@ -228,7 +228,11 @@ def embedding_topics(df: DataFrame, text: str, embedding: str, dims: int = 5, mi
     grid cells; what is not dense and clusters below ``min_size`` become topic -1; top words by
     class TF-IDF with the topic size: (topic, size, rank, word, weight)."""
     points = stage(reduced_points(df, embedding, dims, [text]), "points")
-    placed = density_clusters(points, "point", width, min_cell, min_size, "topic")
+    return topic_words(density_clusters(points, "point", width, min_cell, min_size, "topic"), text, n)
+
+
+def topic_words(placed: DataFrame, text: str, n: int = 15) -> DataFrame:
+    """Top words of texts with a ``topic`` by class TF-IDF: (topic, size, rank, word, weight)."""
     sizes = placed.groupBy("topic").agg(_rows().alias("size"))
     tagged = placed.select("topic", word_tokens(text).alias("tokens"))
     return class_tfidf(tagged, "topic", "tokens", n).join(sizes, "topic").select("topic", "size", "rank", "word", "weight")

@@ -144,31 +144,76 @@ def t12(spark, sf):
     return members.join(right, "cluster").join(placed(rows, fits[2], members), "doc_id").select("doc_id", "placed", "member_of_size")
 
 
-@query("t13_lda_topics", """
-SELECT CAST(t AS INTEGER) AS topic, CAST(10 AS BIGINT) AS n_words, true AS falling, true AS positive, true AS known FROM range(3) r(t)
-""")
-def t13(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    counted, vocab = models.counted_vectors(docs, "text", EXCLUDE)
-    topics = models.lda_topics(counted, vocab.vocabulary, k=3, n=10)
-    return topic_facts(topics, counted.select(F.explode("filtered_words").alias("term")).distinct())
-
-
 def weights(spark, sf):
     docs = table(spark, sf, "documents")
     counts = features.term_counts(docs.select("doc_id", word_tokens("text").alias("t")), "doc_id", "t")
     return features.tfidf_l2(counts, docs, "doc_id")
 
 
+def mixed(rows, value, found, k):
+    """(doc_id, term, value, mixed) of a long table: the product of the factors by plain joins."""
+    met = rows.select("doc_id", "term", F.col(value).alias("value")).join(found.terms, "term").join(found.documents, "doc_id")
+    return met.select("doc_id", "term", "value", sum(F.col(f"w{i}") * F.col(f"h{i}") for i in range(k)).alias("mixed"))
+
+
+def close(a, b):
+    return abs(a - b) <= 1e-6 * max(1.0, abs(b))
+
+
+def factor_facts(rows, found, k):
+    """Whether the squared error, recomputed from the factors over all documents and terms, is the
+    last one reported, and whether errors fall."""
+    def gram(df, prefix):
+        names = [f"{prefix}{i}" for i in range(k)]
+        row = df.agg(*[F.sum(F.col(a) * F.col(b)) for a in names for b in names]).first()
+        return np.array([x or 0.0 for x in row])
+
+    v, cross = mixed(rows, "weight", found, k).agg(
+        F.coalesce(F.sum(F.col("value") ** 2), F.lit(0.0)), F.coalesce(F.sum(F.col("value") * F.col("mixed")), F.lit(0.0))).first()
+    error = v - 2 * cross + float(gram(found.documents, "w") @ gram(found.terms, "h"))
+    fall = all(0 < b <= a * (1 + 1e-6) for a, b in zip(found.errors, found.errors[1:]))
+    return fall, close(error, found.errors[-1])
+
+
+def mixture_facts(rows, found, k, alpha=0.1, eta=0.01):
+    """Whether shares add up to one, the log posterior, recomputed from the shares, is the last one
+    reported, and whether it rises."""
+    logs = sum(F.log(f"w{i}") for i in range(k)), sum(F.log(f"h{i}") for i in range(k))
+    seen = mixed(rows, "tf", found, k).agg(F.coalesce(F.sum(F.col("value") * F.log("mixed")), F.lit(0.0))).first()[0]
+    of_docs, off = found.documents.agg(F.sum(logs[0]), F.max(F.abs(sum(F.col(f"w{i}") for i in range(k)) - 1))).first()
+    of_terms, *whole = found.terms.agg(F.sum(logs[1]), *[F.sum(f"h{i}") for i in range(k)]).first()
+    bound = seen + alpha * (of_docs or 0.0) + eta * (of_terms or 0.0)
+    rise = all(b >= a - 1e-6 * abs(a) for a, b in zip(found.bounds, found.bounds[1:]))
+    shares = (off or 0.0) < 1e-9 and all(close(x, 1.0) for x in whole if x is not None)
+    return rise, close(bound, found.bounds[-1]) and shares
+
+
+@query("t13_lda_topics", """
+SELECT CAST(t AS INTEGER) AS topic, CAST(10 AS BIGINT) AS n_words, true AS falling, true AS positive, true AS known,
+       true AS bounds_rise, true AS bound_holds
+FROM range(3) r(t)
+""")
+def t13(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    tokens = features.remove_stopwords(features.tokenize(docs, "text"), "words", EXCLUDE)
+    counts = stage(features.term_counts(tokens, "doc_id", "filtered_words"), "facts")
+    found = models.lda(counts, "doc_id", k=3)
+    rise, holds = mixture_facts(counts, found, 3)
+    facts = topic_facts(models.factor_topics(found.terms, 3, 10), counts.select("term").distinct())
+    return facts.withColumns({"bounds_rise": F.lit(rise), "bound_holds": F.lit(holds)})
+
+
 @query("t14_nmf_topics", """
-SELECT CAST(t AS INTEGER) AS topic, CAST(5 AS BIGINT) AS n_words, true AS falling, true AS positive, true AS known, true AS errors_fall
+SELECT CAST(t AS INTEGER) AS topic, CAST(5 AS BIGINT) AS n_words, true AS falling, true AS positive, true AS known,
+       true AS errors_fall, true AS error_holds
 FROM range(3) r(t)
 """)
 def t14(spark, sf):
-    found = models.nmf(weights(spark, sf), "doc_id", k=3)
-    fall = all(0 < b <= a * (1 + 1e-9) for a, b in zip(found.errors, found.errors[1:]))
+    rows = stage(weights(spark, sf), "facts")
+    found = models.nmf(rows, "doc_id", k=3)
+    fall, holds = factor_facts(rows, found, 3)
     facts = topic_facts(models.factor_topics(found.terms, 3, 5), found.terms.select("term"))
-    return facts.withColumn("errors_fall", F.lit(fall))
+    return facts.withColumns({"errors_fall": F.lit(fall), "error_holds": F.lit(holds)})
 
 
 def density_facts(points, clustered, width, min_cell, min_size):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import modelled
-from voxlens.operators import models
+from voxlens.operators import factors, models
 from voxlens.session import stage
 
 WORDS = ["apple pear plum cherry grape", "hammer nail screw saw drill", "rain snow wind storm cloud"]
@@ -95,3 +95,19 @@ def test_embeddings(spark):
     facts = embed_facts(docs, embedded)
     assert facts.count() == 23 and every(facts, "from_words") == [True]
     assert every(embed_facts(docs, embedded.withColumn("embedding", F.reverse("embedding"))), "from_words") == [False]
+
+
+def test_topics(spark):
+    rows = [(i, t, 1.0 + (i + j) % 3) for i in range(30) for j, t in enumerate(WORDS[i % 3].split())]
+    weights = spark.createDataFrame(rows, "doc_id long, term string, weight double")
+    found = models.nmf(weights, "doc_id", k=3, rounds=3)
+    assert modelled.factor_facts(weights, found, 3) == (True, True)
+    other = factors.Factors(found.documents, found.terms.withColumn("h1", F.col("h1") * 1.1), found.scores)
+    assert modelled.factor_facts(weights, other, 3) == (True, False)
+    assert modelled.factor_facts(weights, factors.Factors(found.documents, found.terms, found.scores[::-1]), 3)[0] is False
+    counts = weights.withColumnRenamed("weight", "tf")
+    found = models.lda(counts, "doc_id", k=3, rounds=3)
+    assert modelled.mixture_facts(counts, found, 3) == (True, True)
+    swapped = found.documents.select("doc_id", F.col("w1").alias("w0"), F.col("w0").alias("w1"), "w2")
+    assert modelled.mixture_facts(counts, factors.Factors(swapped, found.terms, found.scores), 3) == (True, False)
+    assert modelled.mixture_facts(counts, factors.Factors(found.documents, found.terms, found.scores[::-1]), 3)[0] is False

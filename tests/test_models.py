@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxlens.functions.text import word_tokens
-from voxlens.operators import features, models, scoring
+from voxlens.operators import factors, features, models, scoring
 from voxlens.schemas import KEYWORD_CACHE
 
 FRUIT, TOOLS = "apple pear plum cherry grape", "hammer nail screw saw drill"
@@ -46,9 +46,30 @@ def test_cost_and_silhouette(vectors):
 
 
 def test_lda(corpus):
-    rows, vocab = models.counted_vectors(corpus, "text")
-    topics = models.lda_topics(rows, vocab.vocabulary, k=2, n=4).collect()
-    assert len(topics) == 8 and all(r["term"] in FRUIT + TOOLS and r["weight"] > 0 for r in topics)
+    counts = features.term_counts(corpus.select("id", word_tokens("text").alias("t")), "id", "t")
+    tops = models.lda_topics(counts, "id", k=2, n=3, rounds=8).collect()
+    sides = {t: {r["term"] in FRUIT for r in tops if r["topic"] == t} for t in (0, 1)}
+    assert len(tops) == 6 and all(r["weight"] > 0 for r in tops)
+    assert sorted(map(tuple, sides.values())) == [(False,), (True,)]
+
+
+@pytest.mark.parametrize("fit, value", [(models.nmf, "weight"), (models.lda, "tf")])
+def test_odd_entries(spark, monkeypatch, fit, value):
+    """Null keys, terms and values, many blocks and an empty table."""
+    monkeypatch.setattr(factors, "ENTRIES", 4)
+    rows = [(i % 7 or None, f"t{i % 5}", 1.0 + i % 3) for i in range(35)] + [(1, None, 2.0), (2, "t1", None), (9, "t9", 0.0)]
+    df = spark.createDataFrame(rows, f"id int, term string, {value} double")
+    df = df.groupBy("id", "term").agg(F.sum(value).alias(value))
+    before = len(spark.catalog.listTables())
+    found = fit(df, "id", k=2, rounds=2)
+    assert {r["id"] for r in found.documents.collect()} == {None, 1, 2, 3, 4, 5, 6}
+    assert {r["term"] for r in found.terms.collect()} == {f"t{i}" for i in range(5)}
+    monkeypatch.setattr(factors, "ENTRIES", 1 << 17)
+    whole = fit(df, "id", k=2, rounds=2)
+    assert np.allclose(found.scores, whole.scores, rtol=1e-6)
+    empty = fit(df.limit(0), "id", k=2, rounds=2)
+    assert empty.documents.count() == empty.terms.count() == 0
+    assert len(spark.catalog.listTables()) == before
 
 
 def test_nmf(corpus):

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, PCA, HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlens.functions.text import word_tokens
@@ -18,11 +16,11 @@ from voxlens.functions.vectors import cosine
 from voxlens.operators.aggregate import _rows
 from voxlens.operators.density import density_clusters
 from voxlens.operators.clusters import Fit, assign, kmeans, silhouettes, sparse_rows
-from voxlens.operators.features import class_tfidf, count_vectors, remove_stopwords, tfidf_vectors, tokenize
+from voxlens.operators.factors import lda, nmf
+from voxlens.operators.features import class_tfidf, remove_stopwords, tfidf_vectors, tokenize
 from voxlens.operators.ranking import split
-from voxlens.operators.skew import hot_rows
 from voxlens.sources.files import run_sql
-from voxlens.session import discard, fresh_path, stage
+from voxlens.session import fresh_path, stage
 
 
 # Dimensions of hashed term counts: centres of clusters have this size whatever the corpus.
@@ -38,11 +36,6 @@ def text_vectors(df: DataFrame, col: str, words: list[str] | None = None, dims:
     return tfidf_vectors(stage(counted.select(*(df.columns if keep is None else keep), "features"), "term_vectors"))
 
 
-def counted_vectors(df: DataFrame, col: str, words: list[str] | None = None):
-    """tokenize -> stop words -> counts of all terms; returns rows and the vocabulary model."""
-    return count_vectors(remove_stopwords(tokenize(df, col), "words", words))
-
-
 def fit_clusters(df: DataFrame, ks, seed: int = 42, features: str = "tfidf_features") -> tuple[DataFrame, dict[int, Fit]]:
     """Staged sparse rows with all other columns, and K-means fits for all ``ks`` in shared scans."""
     rows = stage(sparse_rows(df, features, [c for c in df.columns if c != features]), "sparse")
@@ -82,111 +75,9 @@ def cluster_members(clustered: DataFrame, key: str, c: int, view: str = "cluster
     return run_sql(clustered.sparkSession, {view: clustered}, f"SELECT {key}, cluster FROM {view} WHERE cluster = {int(c)}")
 
 
-def lda_topics(counted: DataFrame, vocab: list[str], k: int = 3, n: int = 10, seed: int = 42,
-               max_iter: int = 20, features: str = "features") -> DataFrame:
-    """Topics with their top words: (topic, rank, term, weight)."""
-    held = counted.select(features).persist()
-    model = LDA(k=k, seed=seed, maxIter=max_iter, featuresCol=features).fit(held)
-    # k rows of n term numbers: the size of the report, not of the data.
-    found = model.describeTopics(n).collect()
-    held.unpersist()
-    rows = [
-        (r["topic"], i + 1, vocab[t], float(w))
-        for r in found for i, (t, w) in enumerate(zip(r["termIndices"], r["termWeights"]))
-    ]
-    return counted.sparkSession.createDataFrame(rows, "topic int, rank int, term string, weight double")
-
-
-class NmfResult:
-    """Factors of ``weights ~ W H`` and the squared error after each round."""
-
-    def __init__(self, documents: DataFrame, terms: DataFrame, errors: list[float]):
-        self.documents, self.terms, self.errors = documents, terms, errors
-
-
-def _start(key: str, topic: int, seed: int) -> Column:
-    """A stable positive start value for each key and topic."""
-    return (F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed * 1000 + topic)), F.lit(1000)) + 1) / 1000.0
-
-
-def _gram_sums(prefix: str, k: int, *more: Column) -> list[Column]:
-    """k x k inner products of the factor columns, and further sums."""
-    return [
-        F.sum(F.col(f"{prefix}{i}") * F.col(f"{prefix}{j}")).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)
-    ] + [F.sum(m).alias(f"m{i}") for i, m in enumerate(more)]
-
-
-def _observed(df: DataFrame, name: str, prefix: str, k: int, *more: Column):
-    """The table staged, and its gram matrix and further sums, found while it is written."""
-    seen = Observation()
-    staged = stage(df.observe(seen, *_gram_sums(prefix, k, *more)), name)
-    row = seen.get
-    gram = [[float(row[f"g{min(i, j)}_{max(i, j)}"] or 0.0) for j in range(k)] for i in range(k)]
-    return staged, gram, [float(row[f"m{i}"] or 0.0) for i in range(len(more))]
-
-
-def _bucketed(df: DataFrame, by: str, name: str) -> tuple[DataFrame, str]:
-    """A table in the shared folder whose rows lie in one bucket per shuffle partition, so a
-    join by that column leaves them where they are. Also its name."""
-    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(buckets, by).write.bucketBy(buckets, by).option("path", fresh_path(spark, name)).saveAsTable(table)
-    return spark.table(table), table
-
-
-def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int = 42) -> NmfResult:
-    """Non-negative factors of a sparse (key, term, weight) table by multiplicative updates.
-
-    The table is written twice, in buckets by document and, without the terms of very many
-    documents, by term. A round joins the term factors to the second (those terms meet their
-    rows in the first, by broadcast) and sums per document, then the document factors to the
-    first and sums per term: factors and partial sums move, the table does not. Factors are
-    staged after each half round, with their inner products found on the way, and those of
-    the round before are removed. Only k x k numbers come to the driver.
-    """
-    w, h = [f"w{i}" for i in range(k)], [f"h{i}" for i in range(k)]
-    weights = stage(weights.select(key, "term", "weight"), "nmf_input")
-    terms = weights.groupBy("term").agg(_rows().alias("n"))
-    hot_terms = hot_rows(terms, "n").select("term", F.lit(True).alias("hot"))
-    marked = weights.join(F.broadcast(hot_terms), "term", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    by_doc, doc_table = _bucketed(marked, key, "nmf_by_document")
-    by_term, term_table = _bucketed(by_doc.where("not hot").drop("hot"), "term", "nmf_by_term")
-    docs = stage(by_doc.select(key).distinct().select(key, *[_start(key, i, seed).alias(c) for i, c in enumerate(w)]), "nmf_documents")
-    tops, outer, _ = _observed(by_doc.groupBy("term").agg(F.max("hot").alias("hot")).select(
-        "term", "hot", *[_start("term", i, seed + 1).alias(c) for i, c in enumerate(h)]
-    ), "nmf_terms", "h", k)
-    norm = by_doc.agg(F.sum(F.col("weight") * F.col("weight"))).first()[0]
-    errors = []
-    tiny = F.lit(1e-12)
-
-    def updated(old: list[str], num: list[str], gram) -> list[Column]:
-        return [
-            (F.col(old[i]) * F.col(num[i])
-             / (reduce(lambda a, b: a + b, [F.col(old[j]) * gram[j][i] for j in range(k)]) + tiny)).alias(old[i])
-            for i in range(k)
-        ]
-
-    num = [f"num{i}" for i in range(k)]
-    for _ in range(rounds):
-        hot = F.broadcast(tops.where("hot").drop("hot"))
-        cold = by_term.join(tops.where(~F.col("hot")).drop("hot"), "term")
-        met = by_doc.where("hot").drop("hot").join(hot, "term").unionByName(cold)
-        sums = met.groupBy(key).agg(*[F.sum(F.col("weight") * F.col(c)).alias(n) for c, n in zip(h, num)])
-        old, (docs, inner, _) = docs, _observed(
-            docs.join(sums, key).select(key, *updated(w, num, outer)), "nmf_documents", "w", k)
-        discard(old)
-
-        sums = by_doc.join(docs, key).groupBy("term").agg(
-            *[F.sum(F.col("weight") * F.col(c)).alias(n) for c, n in zip(w, num)])
-        cross = reduce(lambda a, b: a + b, [F.col(a) * F.col(b) for a, b in zip(h, num)])
-        old, (tops, outer, (crossed,)) = tops, _observed(
-            tops.join(sums, "term").select("term", "hot", *updated(h, num, inner), *num), "nmf_terms", "h", k, cross)
-        discard(old)
-        tops = tops.drop(*num)
-        errors.append(norm - 2 * crossed + sum(inner[i][j] * outer[i][j] for i in range(k) for j in range(k)))
-    for name in (doc_table, term_table):
-        weights.sparkSession.sql(f"DROP TABLE {name}")
-    return NmfResult(docs, tops.drop("hot"), errors)
+def lda_topics(counts: DataFrame, key: str, k: int = 3, n: int = 10, rounds: int = 20, seed: int = 42) -> DataFrame:
+    """Topics of a (key, term, tf) table with their top words: (topic, rank, term, weight)."""
+    return factor_topics(lda(counts, key, k, rounds, seed).terms, k, n)
 
 
 def nmf_topics(weights: DataFrame, key: str, k: int = 3, n: int = 5, rounds: int = 20, seed: int = 42) -> DataFrame:
@@ -195,7 +86,7 @@ def nmf_topics(weights: DataFrame, key: str, k: int = 3, n: int = 5, rounds: int
 
 
 def factor_topics(terms: DataFrame, k: int, n: int) -> DataFrame:
-    """Top words of the term factors of ``nmf``."""
+    """Top words of the term factors of ``nmf`` or ``lda``."""
     tops = [
         terms.select("term", F.col(f"h{i}").alias("weight")).orderBy(F.desc("weight"), "term").limit(n)
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("m"), "term"))).alias("l"))

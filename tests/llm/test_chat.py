@@ -1,4 +1,5 @@
 from voxlens.llm.chat import assemble, format_pairs
+from voxlens.llm.q_chat import preference_turns
 
 
 def turn(role, text):
@@ -43,3 +44,14 @@ def test_long_conversations_stay_rows(spark):
     rows += [(1, "chosen", 3000, "assistant", "x" * 100000)]
     parts = format_pairs(pairs(spark, rows))
     assert parts.where("part = 'prompt'").count() == 3000 and parts.where("part = 'chosen'").count() == 1
+
+
+def test_sparse_ids(spark):
+    """Conversations far apart have neighbours too; one without a reply, or alone, has no pair."""
+    rows = [(c, t, r, f"{r} {c}") for c in (-5, 0, 1000, 10**12, 7) for t, r in enumerate(("user", "assistant")) if c != 7 or r == "user"]
+    talks = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    said = {(r.pair_id, r.side): r.text for r in preference_turns(talks).where("role = 'assistant'").collect()}
+    ring = [-5, 0, 1000, 10**12]
+    assert said == {(c, "chosen"): f"assistant {c}" for c in ring} | {(c, "rejected"): f"assistant {ring[(i + 1) % 4]}" for i, c in enumerate(ring)}
+    assert preference_turns(talks.where("conv_id in (7, 1000)")).count() == 0
+    assert preference_turns(talks.limit(0)).count() == 0

@@ -1,19 +1,18 @@
 """Query of operator 9.
 
 The table holds no preferences, so pairs are derived from it: chosen is a conversation up to
-its last reply of the assistant, rejected the same with the last reply of the next
-conversation among those whose ids share ``conv_id div 64``, the last of them going on with
-the first.
+its last reply of the assistant, rejected the same with the last reply of the next conversation
+by id that has one, the last going on with the first. Conversations without a reply of the
+assistant have no pair, nor has the only one that has a reply.
 """
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from voxlens.llm.chat import format_pairs
 from voxlens.llm.groups import join_salted
 from voxlens.llm.registry import query, table
-
-NEIGHBOURS = 64
+from voxlens.operators.skew import number_rows
+from voxlens.session import stage
 
 SQL = r"""
 WITH t AS (
@@ -24,9 +23,9 @@ WITH t AS (
 ), reply AS (
   SELECT t.conv_id, t.turn, t.s.t AS text,
          coalesce(lead(t.s.t) OVER w, first_value(t.s.t) OVER w) AS other,
-         count(*) OVER (PARTITION BY t.conv_id // 64) AS n
+         count(*) OVER () AS n
   FROM t JOIN last ON t.conv_id = last.conv_id AND t.turn = last.at
-  WINDOW w AS (PARTITION BY t.conv_id // 64 ORDER BY t.conv_id)
+  WINDOW w AS (ORDER BY t.conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ), parts AS (
   SELECT t.conv_id AS pair_id, 'prompt' AS part, t.turn, t.s.r AS role, t.s.t AS text, 0 AS trained
   FROM t JOIN reply ON t.conv_id = reply.conv_id AND n > 1
@@ -50,14 +49,14 @@ def preference_turns(conversations):
     said = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = conversations.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(
         F.min(said).alias("said")).select("conv_id", "turn", "said.role", "said.text")
+    turns = stage(turns, "chat-turns")
     last = turns.where("role = 'assistant'").groupBy("conv_id").agg(
         F.max(F.struct("turn", "text")).alias("reply")).select("conv_id", F.col("reply.turn").alias("at"), "reply.text")
-    near = F.floor(F.col("conv_id") / NEIGHBOURS)
-    ring = Window.partitionBy(near).orderBy("conv_id")
-    last = last.select(
-        "conv_id", "at", F.coalesce(F.lead("text").over(ring), F.first("text").over(ring)).alias("other"),
-        F.count(F.lit(1)).over(Window.partitionBy(near)).alias("n"),
-    ).where("n > 1").drop("n")
+    # Numbers of all replies by id; each meets the reply of the next number.
+    last = stage(number_rows(last, [F.asc("conv_id")], "at_row"), "chat-replies")
+    n = last.count()
+    other = last.select((F.pmod(F.col("at_row") - 2, F.lit(max(n, 1))) + 1).alias("at_row"), F.col("text").alias("other"))
+    last = last.join(other, "at_row").select("conv_id", "at", "other").where(F.lit(n > 1))
     chosen = join_salted(turns, last.select("conv_id", "at"), ["conv_id"], F.col("turn")).where("turn <= at")
     sides = chosen.where("turn < at").withColumn("side", F.explode(F.array(F.lit("chosen"), F.lit("rejected"))))
     sides = sides.select("conv_id", "side", "turn", "role", "text").union(

@@ -191,3 +191,29 @@ def test_keyword_table(spark):
     assert sorted(r["hobby"] for r in grown.collect()) == ["게임", "게임", "독서"]
     requests = scoring.recommendation_requests(resolved, "{hobby}/{keywords}/{date}", "2025-03-01").collect()
     assert {r["prompt"] for r in requests} == {"게임/화면, 성능, 발열, 저장/2025년 03월 01일", "독서/독서1, 2, 3, 4, 5/2025년 03월 01일"}
+
+
+def test_documents_are_solved_apart(spark):
+    """A document's shares do not depend on the others of its block, and what moves per term is k sums."""
+    draw = np.random.default_rng(3)
+    h = draw.random((50, 3)) + 0.01
+    docs = [draw.choice(50, size, replace=False) for size in (1, 2, 30, 5, 50, 1)]
+    solve = factors._mixtures(0.1)
+    alone = [solve(np.zeros(len(t), np.int32), t, np.ones(len(t)), h) for t in docs]
+    d = np.repeat(np.arange(len(docs), dtype=np.int32), [len(t) for t in docs])
+    theta, sums, whole = solve(d, np.concatenate(docs), np.ones(len(d)), h)
+    assert np.allclose(theta, np.concatenate([a[0] for a in alone]), atol=1e-6)
+    assert np.allclose(sums, sum(a[1] for a in alone)) and np.allclose(whole, sum(a[2] for a in alone))
+    rows = spark.createDataFrame([(i, f"t{t}", 1.0) for i, ts in enumerate(docs) for t in ts], "doc_id long, term string, weight double")
+    with factors._packed(rows, "doc_id", "weight") as (blocks, needs, words):
+        tops = words.select("word", *[F.lit(0.5).alias(f"h{i}") for i in range(3)])
+        assert factors._sums(blocks, needs, tops, 3, solve).columns == ["word", "at", "s0", "s1", "s2"]
+
+
+def test_blocks_grow_with_the_entries(spark, monkeypatch):
+    """Large tables have large blocks, so a term is sent to few of them; small ones keep tasks busy."""
+    rows = spark.range(4000).selectExpr("id div 4 as doc_id", "concat('t', id % 7) as term", "1.0d as weight")
+    monkeypatch.setattr(factors, "ENTRIES", 1000)
+    monkeypatch.setattr(factors, "FEWEST", 10)
+    with factors._packed(rows, "doc_id", "weight") as (blocks, _, _):
+        assert blocks.count() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,11 +1,12 @@
 """Topic factors of sparse (key, term, value) tables: non-negative factors and LDA.
 
 Both fit documents x topics and terms x topics tables. The entries are packed once into blocks of
-whole documents, about ENTRIES entries each, and stay where they are (buckets by block). In a
+whole documents, up to about ENTRIES entries each, and stay where they are (buckets by block). In a
 round each term's factors go once to every block that holds the term, the factors of the block's
 documents are solved there, and the sums per term come back. So a term of nearly all documents is
 one row per block, not per document, and no task or driver holds the vocabulary: the driver sees
-k x k numbers, a task one block and the factors of its terms.
+k x k numbers, a task one block and the factors of its terms. The larger the blocks, the fewer rows
+move, as rare terms differ from document to document; terms move as numbers, not as texts.
 
 Document factors are not kept between rounds: for given term factors they are the optimum of a
 convex problem, solved anew in each block. A round is staged, which cuts the lineage; a block
@@ -27,10 +28,13 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 
 from voxlens.session import discard, fresh_path, stage
 
-#: Entries of a block on average. A document lies in one block whatever its length.
-ENTRIES = 1 << 17
+#: Entries of a block on average, and of blocks that are made smaller to keep all tasks busy. A document
+#: lies in one block whatever its length.
+ENTRIES, FEWEST = 1 << 20, 1 << 17
 #: Steps of the solution within a block, and the change at which it ends.
 STEPS, SETTLED = 100, 1e-6
+#: Entries that are solved together, and the change at which a document's shares are settled.
+RUN, STILL = 1 << 16, 1e-7
 
 
 class Factors:
@@ -76,9 +80,10 @@ def _pack(entries: pa.Table) -> pa.Table:
 
 
 @contextmanager
-def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """The blocks, in buckets by block, and (term, block, pos), in buckets by term: a round moves
-    neither. Both are removed at the end, also after a failure."""
+def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, DataFrame, DataFrame]]:
+    """The blocks, in buckets by block, (word, block, pos), in buckets by word: a round moves
+    neither; and (word, term), the number of each term. All are removed at the end, also after a
+    failure."""
     spark, made = df.sparkSession, []
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -93,7 +98,8 @@ def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, Da
         entries = stage(df.select(
             F.col(key).alias("key"), "term", F.col(value).cast("double").alias("value")
         ).where("term is not null and value is not null and value <> 0"), "topic_entries")
-        count = max(1, math.ceil(entries.count() / ENTRIES))
+        n = entries.count()
+        count = max(1, math.ceil(n / ENTRIES), min(parts, math.ceil(n / FEWEST)))
         dealt = entries.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(count)))
         schema = StructType([
             StructField("block", LongType()), StructField("docs", ArrayType(entries.schema["key"].dataType)),
@@ -102,7 +108,10 @@ def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, Da
         ])
         blocks = bucketed(dealt.groupBy("block").applyInArrow(_pack, schema), "block")
         discard(entries)
-        yield blocks, bucketed(blocks.select(F.posexplode("terms").alias("pos", "term"), "block"), "term")
+        held = blocks.select(F.posexplode("terms").alias("pos", "term"), "block")
+        words = stage(held.select("term").distinct().select(F.monotonically_increasing_id().alias("word"), "term"), "topic_words")
+        yield blocks, bucketed(held.join(words, "term").select("word", "block", "pos"), "word"), words
+        discard(words)
     finally:
         for name in made:
             if spark.catalog.tableExists(name):
@@ -112,15 +121,14 @@ def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, Da
 
 
 def _block(terms: pa.Table, block: pa.Table, k: int):
-    """(documents, terms, places of both, values, factors of the terms) of a packed block."""
-    docs, words, d, t, v = (block[c].combine_chunks().values for c in ("docs", "terms", "d", "t", "v"))
-    h = np.empty((len(words), k))
-    h[terms["pos"].to_numpy()] = np.column_stack([terms[c].to_numpy() for c in _names("h", k)])
-    return docs, words, d.to_numpy(), t.to_numpy(), v.to_numpy(), h
-
-
-def _per_term(t: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    return np.column_stack([np.bincount(t, rows[:, i], n) for i in range(rows.shape[1])])
+    """(words, places of documents and terms, values, factors of the terms) of a packed block."""
+    d, t, v = (block[c].combine_chunks().values.to_numpy() for c in ("d", "t", "v"))
+    pos = terms["pos"].to_numpy()
+    words, h = np.empty(len(pos), np.int64), np.empty((len(pos), k))
+    words[pos] = terms["word"].to_numpy()
+    for i, name in enumerate(_names("h", k)):
+        h[pos, i] = terms[name].to_numpy()
+    return words, d, t, v, h
 
 
 def _starts(d: np.ndarray) -> np.ndarray:
@@ -128,30 +136,38 @@ def _starts(d: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
 
 
-Solve = Callable[[np.ndarray, np.ndarray, np.ndarray, int, np.ndarray], tuple[np.ndarray, np.ndarray, list[float]]]
+Solve = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, list[float]]]
 
 
-def _sums(blocks: DataFrame, needs: DataFrame, tops: DataFrame, k: int, totals: int, solve: Solve) -> DataFrame:
-    """(term, s0, ..., h0, ...): sums per term over all blocks beside the factors they were found
-    with. The row without a term holds ``totals`` sums over all documents."""
-    width, names = max(k, totals), _names("h", k)
+def _sums(blocks: DataFrame, needs: DataFrame, tops: DataFrame, k: int, solve: Solve, beside: bool = False) -> DataFrame:
+    """(word, at, s0, ...): sums per term over all blocks, and with ``beside`` the factors h0, ... they
+    were found with. Rows without a word hold the sums over all documents, k of them in a row."""
+    names = _names("h", k)
 
     def run(terms: pa.Table, block: pa.Table) -> pa.Table:
-        docs, words, d, t, v, h = _block(terms, block, k)
-        _, sums, whole = solve(d, t, v, len(docs), h)
-        columns = {"term": pa.concat_arrays([words, pa.nulls(1, words.type)])}
-        for i in range(width):
-            of_terms = sums[:, i] if i < k else np.zeros(len(words))
-            columns[f"s{i}"] = np.append(of_terms, whole[i] if i < totals else 0.0)
-        for i, name in enumerate(names):
-            columns[name] = np.append(h[:, i], 0.0)
+        words, d, t, v, h = _block(terms, block, k)
+        _, sums, whole = solve(d, t, v, h)
+        more = -(-len(whole) // k)
+        whole = np.append(whole, np.zeros(more * k - len(whole))).reshape(more, k)
+        columns = {"word": pa.concat_arrays([pa.array(words), pa.nulls(more, pa.int64())]),
+                   "at": np.append(np.zeros(len(words), np.int32), np.arange(more, dtype=np.int32))}
+        for i in range(k):
+            columns[f"s{i}"] = np.append(sums[:, i], whole[:, i])
+        for i, name in enumerate(names if beside else []):
+            columns[name] = np.append(h[:, i], np.zeros(more))
         return pa.table(columns)
 
-    held = needs.join(tops, "term").select("block", "pos", *names)
-    schema = "term string, " + ", ".join(f"{c} double" for c in _names("s", width) + names)
-    found = held.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(run, schema)
-    return stage(found.groupBy("term").agg(
-        *[F.sum(c).alias(c) for c in _names("s", width)], *[F.max(c).alias(c) for c in names]), "topic_sums")
+    held = needs.join(tops.hint("shuffle_hash"), "word").select("block", "pos", "word", *names)
+    schema = "word bigint, at int, " + ", ".join(f"{c} double" for c in _names("s", k) + names * beside)
+    found = held.groupBy("block").cogroup(blocks.select("block", "d", "t", "v").groupBy("block")).applyInArrow(run, schema)
+    return stage(found.groupBy("word", "at").agg(
+        *[F.sum(c).alias(c) for c in _names("s", k)], *[F.max(c).alias(c) for c in names * beside]), "topic_sums")
+
+
+def _whole(sums: DataFrame, k: int, totals: int) -> np.ndarray:
+    """The sums over all documents."""
+    rows = sums.where("word is null").select("at", *_names("s", k)).orderBy("at").collect()
+    return np.array([x for row in rows for x in row[1:]] if rows else [0.0] * totals, dtype=float)[:totals]
 
 
 def _documents(blocks: DataFrame, needs: DataFrame, tops: DataFrame, key: str, k: int, solve: Solve) -> DataFrame:
@@ -159,37 +175,40 @@ def _documents(blocks: DataFrame, needs: DataFrame, tops: DataFrame, key: str, k
     names = _names("w", k)
 
     def run(terms: pa.Table, block: pa.Table) -> pa.Table:
-        docs, _, d, t, v, h = _block(terms, block, k)
-        w = solve(d, t, v, len(docs), h)[0]
-        return pa.table({key: docs} | {c: w[:, i] for i, c in enumerate(names)})
+        w = solve(*_block(terms, block, k)[1:])[0]
+        return pa.table({key: block["docs"].combine_chunks().values} | {c: w[:, i] for i, c in enumerate(names)})
 
     kind = blocks.schema["docs"].dataType.elementType
     schema = StructType([StructField(key, kind)] + [StructField(c, DoubleType()) for c in names])
-    held = needs.join(tops, "term").select("block", "pos", *_names("h", k))
-    return stage(held.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(run, schema), "topic_documents")
+    held = needs.join(tops.hint("shuffle_hash"), "word").select("block", "pos", "word", *_names("h", k))
+    packed = blocks.select("block", "docs", "d", "t", "v")
+    return stage(held.groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(run, schema), "topic_documents")
 
 
-def _updated(rows: DataFrame, k: int, prefix: str, new: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """(term, h0, h1, ...): new factors from the sums (or start values) and the factors before. The
-    numbers of a round stay out of the plan, so its compiled code serves all rounds."""
+def _updated(rows: DataFrame, k: int, prefix: str, new: Callable[..., np.ndarray], beside: bool = False) -> DataFrame:
+    """(word, h0, h1, ...): new factors from the sums (or start values) and, with ``beside``, the factors
+    before. The numbers of a round stay out of the plan, so its compiled code serves all rounds."""
     names, of = _names("h", k), _names(prefix, k)
+    given = [of, names] if beside else [of]
 
     def run(batches):
         for batch in batches:
-            values = new(*(np.column_stack([batch[c].to_numpy() for c in columns]) for columns in (of, names)))
-            yield pa.RecordBatch.from_arrays([batch["term"], *(pa.array(values[:, i]) for i in range(k))], ["term", *names])
+            values = new(*(np.column_stack([batch[c].to_numpy() for c in columns]) for columns in given))
+            yield pa.RecordBatch.from_arrays([batch["word"], *(pa.array(values[:, i]) for i in range(k))], ["word", *names])
 
-    wanted = list(dict.fromkeys(["term", *of, *names]))
-    return rows.where("term is not null").select(*wanted).mapInArrow(run, "term string, " + ", ".join(f"{c} double" for c in names))
+    wanted = ["word", *of, *(names if beside else [])]
+    return rows.where("word is not null").select(*wanted).mapInArrow(run, "word bigint, " + ", ".join(f"{c} double" for c in names))
 
 
 def _least_squares(gram: np.ndarray) -> Solve:
     """Non-negative least squares for every document by turns over the topics."""
     k = len(gram)
 
-    def solve(d, t, v, n, h):
-        num = np.add.reduceat(v[:, None] * h[t], _starts(d))
-        w = np.zeros((n, k))
+    def solve(d, t, v, h):
+        starts = _starts(d)
+        counts = np.diff(np.append(starts, len(d)))
+        num = np.column_stack([np.add.reduceat(v * c[t], starts) for c in np.ascontiguousarray(h.T)])
+        w = np.zeros((len(starts), k))
         for _ in range(STEPS):
             moved = 0.0
             for i in range(k):
@@ -201,7 +220,8 @@ def _least_squares(gram: np.ndarray) -> Solve:
                 break
         inner = w.T @ w
         error = float(v @ v - 2 * (w * num).sum() + (inner * gram).sum())
-        return w, _per_term(t, v[:, None] * w[d], len(h)), [*inner.ravel(), error]
+        sums = np.column_stack([np.bincount(t, v * np.repeat(w[:, i], counts), len(h)) for i in range(k)])
+        return w, sums, [*inner.ravel(), error]
 
     return solve
 
@@ -214,8 +234,8 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
     an empty table has empty factors.
     """
     h = _names("h", k)
-    with _packed(weights, key, "weight") as (blocks, needs):
-        tops = needs.select("term").distinct().select("term", *[_start(i, seed).alias(c) for i, c in enumerate(h)])
+    with _packed(weights, key, "weight") as (blocks, needs, words):
+        tops = words.select("word", *[_start(i, seed).alias(c) for i, c in enumerate(h)])
         held, errors = tops, []
 
         def gram() -> np.ndarray:
@@ -223,44 +243,75 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
             return np.array(row, dtype=float).reshape(k, k)
 
         def inner_of(sums: DataFrame) -> np.ndarray:
-            row = sums.where("term is null").select(*_names("s", k * k + 1)).first()
-            whole = np.array(row if row else [0.0] * (k * k + 1), dtype=float)
+            whole = _whole(sums, k, k * k + 1)
             errors.append(float(whole[-1]))
             return whole[:-1].reshape(k, k)
 
         for _ in range(rounds):
-            sums = _sums(blocks, needs, tops, k, k * k + 1, _least_squares(gram()))
+            sums = _sums(blocks, needs, tops, k, _least_squares(gram()), beside=True)
             inner = inner_of(sums)
-            tops = _updated(sums, k, "s", lambda s, h, inner=inner: h * s / (h @ inner + 1e-12))
+            tops = _updated(sums, k, "s", lambda s, h, inner=inner: h * s / (h @ inner + 1e-12), beside=True)
             if held is not None and errors[1:]:
                 discard(held)
             held = sums
         last = _least_squares(gram())
-        final = stage(tops, "topic_terms")
-        inner_of(_sums(blocks, needs, final, k, k * k + 1, last))
-        return Factors(_documents(blocks, needs, final, key, k, last), final, errors[1:])
+        final = stage(tops, "topic_factors")
+        inner_of(_sums(blocks, needs, final, k, last))
+        named = stage(final.join(words, "word").select("term", *h), "topic_terms")
+        return Factors(_documents(blocks, needs, final, key, k, last), named, errors[1:])
+
+
+def _runs(starts: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
+    """First and last document of runs of about RUN entries."""
+    ends, at = np.append(starts, n), 0
+    while at < len(starts):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + RUN, "right")) - 1)
+        yield at, stop
+        at = stop
+
+
+def _shares(v: np.ndarray, held: list[np.ndarray], counts: np.ndarray, alpha: float) -> np.ndarray:
+    """Topic shares (topic, document) by expectation and maximisation. A document leaves as soon as its
+    shares are settled, so steps are only made for those that are not."""
+    k = len(held)
+    theta = np.full((k, len(counts)), 1.0 / k)
+    own, now, length = np.arange(len(counts)), theta, np.add.reduceat(v, np.cumsum(counts) - counts) + k * alpha
+    for _ in range(STEPS):
+        part = [np.repeat(x, counts) * c for x, c in zip(now, held)]
+        rate = v / sum(part[1:], part[0])
+        starts = np.cumsum(counts) - counts
+        new = np.stack([(np.add.reduceat(p * rate, starts) + alpha) / length for p in part])
+        open_ = np.abs(new - now).max(axis=0) > STILL
+        theta[:, own], now = new, new
+        if not open_.any():
+            break
+        if open_.mean() < 0.8:
+            entries = np.repeat(open_, counts)
+            v, held = v[entries], [c[entries] for c in held]
+            own, now, counts, length = own[open_], now[:, open_], counts[open_], length[open_]
+    return theta
 
 
 def _mixtures(alpha: float) -> Solve:
-    """Topic shares of every document by expectation and maximisation."""
-
-    def solve(d, t, v, n, h):
-        k = h.shape[1]
-        theta = np.full((n, k), 1.0 / k)
-        starts, held = _starts(d), h[t]
-        length = np.add.reduceat(v, starts)[:, None] + k * alpha
-        for _ in range(STEPS):
-            part = theta[d] * held
-            new = (np.add.reduceat(part * (v / part.sum(axis=1))[:, None], starts) + alpha) / length
-            moved = float(np.abs(new - theta).max(initial=0.0))
-            theta = new
-            if moved <= SETTLED:
-                break
-        part = theta[d] * held
-        mixed = part.sum(axis=1)
-        shares = part * (v / mixed)[:, None]
-        bound = float(v @ np.log(mixed) + alpha * np.log(theta).sum())
-        return theta, _per_term(t, shares, len(h)), [*shares.sum(axis=0), bound]
+    """Topic shares of every document, and what they add up to."""
+
+    def solve(d, t, v, h):
+        k, starts = h.shape[1], _starts(d)
+        counts, columns = np.diff(np.append(starts, len(d))), np.ascontiguousarray(h.T)
+        theta, sums, whole = np.empty((len(starts), k)), np.zeros((k, len(h))), np.zeros(k + 1)
+        for at, stop in _runs(starts, len(d)):
+            span = slice(starts[at], starts[at] + counts[at:stop].sum())
+            value, held = v[span], [c[t[span]] for c in columns]
+            found = _shares(value, held, counts[at:stop], alpha)
+            part = [np.repeat(x, counts[at:stop]) * c for x, c in zip(found, held)]
+            mixed = sum(part[1:], part[0])
+            for i, p in enumerate(part):
+                share = p * (value / mixed)
+                np.add.at(sums[i], t[span], share)
+                whole[i] += share.sum()
+            whole[k] += value @ np.log(mixed) + alpha * np.log(found).sum()
+            theta[at:stop] = found.T
+        return theta, sums.T, whole
 
     return solve
 
@@ -275,30 +326,30 @@ def lda(counts: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int = 4
     empty table has empty factors.
     """
     h = _names("h", k)
-    with _packed(counts, key, value) as (blocks, needs):
-        start = stage(needs.select("term").distinct().select("term", *[_start(i, seed).alias(c) for i, c in enumerate(h)]), "topic_sums")
+    with _packed(counts, key, value) as (blocks, needs, words):
+        start = stage(words.select("word", *[_start(i, seed).alias(c) for i, c in enumerate(h)]), "topic_sums")
         solve, bounds = _mixtures(alpha), []
 
         def shares(rows: DataFrame, prefix: str, prior: float) -> tuple[DataFrame, float]:
             """Columns divided by their sums, and the log of the prior of the result."""
             of = [F.col(c) + prior for c in _names(prefix, k)]
-            row = rows.where("term is not null").agg(F.count(F.lit(1)), *[F.sum(c) for c in of], *[F.sum(F.log(c)) for c in of]).first()
+            row = rows.where("word is not null").agg(F.count(F.lit(1)), *[F.sum(c) for c in of], *[F.sum(F.log(c)) for c in of]).first()
             n, sums, logs = row[0], np.array(row[1 : k + 1], dtype=float), row[k + 1 :]
-            shared = _updated(rows, k, prefix, lambda s, _, sums=sums: (s + prior) / sums)
+            shared = _updated(rows, k, prefix, lambda s, sums=sums: (s + prior) / sums)
             return shared, eta * sum(l - n * math.log(x) for l, x in zip(logs, sums)) if n else 0.0
 
         def bound(sums: DataFrame, prior: float) -> None:
-            row = sums.where("term is null").select(f"s{k}").first()
-            bounds.append((row[0] if row else 0.0) + prior)
+            bounds.append(float(_whole(sums, k, k + 1)[k]) + prior)
 
         held = start
         tops, prior = shares(start, "h", 0.0)
         for _ in range(rounds):
-            sums = _sums(blocks, needs, tops, k, k + 1, solve)
+            sums = _sums(blocks, needs, tops, k, solve)
             bound(sums, prior)
             tops, prior = shares(sums, "s", eta)
             discard(held)
             held = sums
-        final = stage(tops, "topic_terms")
-        bound(_sums(blocks, needs, final, k, k + 1, solve), prior)
-        return Factors(_documents(blocks, needs, final, key, k, solve), final, bounds[1:])
+        final = stage(tops, "topic_factors")
+        bound(_sums(blocks, needs, final, k, solve), prior)
+        named = stage(final.join(words, "word").select("term", *h), "topic_terms")
+        return Factors(_documents(blocks, needs, final, key, k, solve), named, bounds[1:])

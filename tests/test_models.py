@@ -1,14 +1,17 @@
 """Invariants of clusters, topics and the classifier; scoring with passed functions."""
 
 import datetime as dt
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from voxlens.functions.text import word_tokens
-from voxlens.operators import factors, features, models, scoring
+from voxlens.operators import clusters, factors, features, models, scoring
 from voxlens.schemas import KEYWORD_CACHE
 
 FRUIT, TOOLS = "apple pear plum cherry grape", "hammer nail screw saw drill"
@@ -217,3 +220,22 @@ def test_blocks_grow_with_the_entries(spark, monkeypatch):
     monkeypatch.setattr(factors, "FEWEST", 10)
     with factors._packed(rows, "doc_id", "weight") as (blocks, _, _):
         assert blocks.count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+def test_sums_of_a_task_are_bounded():
+    """The memory of a scan follows the centres, not the rows."""
+    draw, peaks = np.random.default_rng(1), []
+    fits = [clusters.Fit(draw.random((1 << 14, 2)))]
+
+    def batches(n):
+        for _ in range(n):
+            rows = [np.sort(draw.choice(1 << 14, 50, replace=False)).astype(np.int32) for _ in range(1000)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array([np.ones(50)] * 1000), pa.array([50.0] * 1000)], names=["idx", "val", "norm"])
+
+    for n in (2, 40):
+        tracemalloc.start()
+        found = list(clusters._sums(SimpleNamespace(value=clusters._columns(fits)), None)(batches(n)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        sums = sum(part.sum() for b in found for number, _, part in clusters._unpacked(b) if number >= 0)
+        assert sums == n * 50_000
+    assert peaks[1] < 2 * peaks[0]

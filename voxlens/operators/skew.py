@@ -10,6 +10,8 @@ from voxlens.session import cut
 
 # A key is hot if its rows are more than this part of what one shuffle partition gets on average.
 HOT_PART = 0.25
+# Keys that are broadcast at most, besides those that are hot: the most frequent ones.
+FREQUENT = 1 << 17
 
 
 def hot_share(spark: SparkSession) -> float:
@@ -25,16 +27,33 @@ def hot_rows(dim: DataFrame, weight: str, share: float | None = None) -> DataFra
     return dim.where(F.col(weight) > (share or hot_share(dim.sparkSession)) * total)
 
 
+def frequent_rows(dim: DataFrame, weight: str, most: int | None = None) -> DataFrame:
+    """The hot rows of a key table, and all rows whose weight is at least the least power of two that
+    no more than ``most`` rows reach. Runs one job, whose result has a row per power of two."""
+    power = F.floor(F.log2(weight))
+    sizes = dim.where(F.col(weight) > 0).groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, held = None, 0
+    for row in sorted(sizes, reverse=True):
+        held += row["n"]
+        if held > (most or FREQUENT):
+            break
+        least = row["power"]
+    total = dim.agg(F.sum(weight)).scalar()
+    hot = F.col(weight) > hot_share(dim.sparkSession) * total
+    return dim.where(hot if least is None else hot | (power >= least))
+
+
 def join_split(big: DataFrame, dim: DataFrame, key: str, weight: str, share: float | None = None) -> DataFrame:
     """Inner equi-join of ``big`` with a key table holding one row per key. ``dim`` is read
     several times and should be staged.
 
-    ``weight`` is the column of ``dim`` that counts the rows of ``big`` per key. Keys
-    above ``share`` meet their rows in place (broadcast of fewer than ``1 / share``
-    rows), the others are shuffled: by default none of them has more than a quarter of the
-    rows of a mean partition.
+    ``weight`` is the column of ``dim`` that counts the rows of ``big`` per key. The most
+    frequent keys, or with ``share`` those above it, meet their rows in place (broadcast of at
+    most FREQUENT rows and the hot ones, or of fewer than ``1 / share``), the others are shuffled:
+    by default none of them has more than a quarter of the rows of a mean partition, and of words,
+    which are few for most of the rows, little is shuffled.
     """
-    hot = F.broadcast(hot_rows(dim, weight, share))
+    hot = F.broadcast(hot_rows(dim, weight, share) if share else frequent_rows(dim, weight))
     cold = big.join(hot.select(key), key, "left_anti").join(dim, key)
     return big.join(hot, key).unionByName(cold)
 

@@ -9,6 +9,7 @@ from catalog.registry import query, table
 from catalog.textual import NEGATIVE, POSITIVE
 from voxlens.functions.text import clean_basic, word_tokens
 from voxlens.operators import features, scoring
+from voxlens.operators.skew import join_split
 from voxlens.session import stage
 
 POS = f"len(list_filter({q.words('t')}, lambda w: w IN ({in_list(POSITIVE)})))"
@@ -53,14 +54,19 @@ def embed_facts(docs, embedded):
     """(doc_id, n_dims, from_words): whether an embedding is the sum of the embeddings of its words,
     each of which has one dimension, at unit length; zero without words."""
     counts = stage(features.term_counts(docs.select("doc_id", word_tokens("text").alias("t")), "doc_id", "t"), "term_counts")
-    words = scoring.embed(counts.select(F.col("term").alias("text")).distinct(), "text")
-    places = words.select(F.col("text").alias("term"), F.posexplode("embedding").alias("dim", "x")).where("x <> 0")
-    sums = counts.join(places, "term").groupBy("doc_id", "dim").agg(F.sum(F.col("tf") * F.col("x")).alias("s"))
-    length = sums.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("length"))
-    want = sums.join(length, "doc_id").select("doc_id", "dim", (F.col("s") / F.col("length")).alias("want"))
-    got = embedded.select("doc_id", F.size("embedding").alias("n_dims"), F.posexplode("embedding").alias("dim", "got"))
-    same = F.abs(F.col("got") - F.coalesce("want", F.lit(0.0))) < 1e-5
-    return got.join(want, ["doc_id", "dim"], "left").groupBy("doc_id", "n_dims").agg(F.every(same).alias("from_words"))
+    words = scoring.embed(features.document_frequency(counts).withColumnRenamed("term", "text"), "text")
+    places = words.select(F.col("text").alias("term"), "df", F.posexplode("embedding").alias("dim", "x")).where("x <> 0")
+    met = join_split(counts, stage(places, "term_places"), "term", "df")
+    sums = met.groupBy("doc_id", "dim").agg(F.sum(F.col("tf") * F.col("x")).alias("s"))
+    # One row per document from here on, not one per dimension.
+    want = sums.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("length"),
+                                      F.map_from_entries(F.collect_list(F.struct("dim", "s"))).alias("sums"))
+    got = embedded.select("doc_id", F.size("embedding").alias("n_dims"), "embedding").where("n_dims > 0")
+    def wanted(i):
+        return F.coalesce(F.try_element_at("sums", i) / F.col("length"), F.lit(0.0))
+    same = F.transform("embedding", lambda x, i: F.abs(x - wanted(i)) < 1e-5)
+    found = got.join(want, "doc_id", "left").select("doc_id", "n_dims", F.forall(same, lambda x: x).alias("same"))
+    return found.groupBy("doc_id", "n_dims").agg(F.every("same").alias("from_words"))
 
 
 @query("x5_embed", "SELECT doc_id, 64 AS n_dims, true AS from_words FROM documents")

@@ -1,6 +1,7 @@
 """The facts that the queries on fits return fail for wrong fits."""
 
 import copy
+import re
 
 import numpy as np
 import pytest
@@ -111,3 +112,21 @@ def test_topics(spark):
     swapped = found.documents.select("doc_id", F.col("w1").alias("w0"), F.col("w0").alias("w1"), "w2")
     assert modelled.mixture_facts(counts, factors.Factors(swapped, found.terms, found.scores), 3) == (True, False)
     assert modelled.mixture_facts(counts, factors.Factors(found.documents, found.terms, found.scores[::-1]), 3)[0] is False
+
+
+def test_sums_are_made_in_place(spark, fitted):
+    """Entries are not shuffled by dimension, nor embeddings by document and dimension."""
+    from catalog.scored import embed_facts
+    from voxlens.operators import scoring
+
+    rows, fits = fitted
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = modelled.distances(rows, fits)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [idx" in plan and "SortMergeJoin [idx" not in plan
+        docs = spark.createDataFrame([(1, WORDS[0]), (2, WORDS[1])], "doc_id long, text string")
+        plan = embed_facts(docs, stage(scoring.embed(docs, "text"), "embedded"))._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and not re.search(r"Join \[[^]]*dim#", plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)

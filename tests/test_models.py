@@ -239,3 +239,12 @@ def test_sums_of_a_task_are_bounded():
         sums = sum(part.sum() for b in found for number, _, part in clusters._unpacked(b) if number >= 0)
         assert sums == n * 50_000
     assert peaks[1] < 2 * peaks[0]
+
+
+def test_tokenizer_gets_parts(spark):
+    """A batch of texts is not handed to a tokenizer at once."""
+    docs = spark.createDataFrame([(i, "ab " * 40_000) for i in range(30)] + [(30, None), (31, "ab " * 1_000_000)], "id int, text string").coalesce(1)
+    told = features.extract_terms(docs, "text", tokenizer=lambda texts: pd.Series([[str(int(texts.str.len().sum()))]] * len(texts)))
+    got = {r["id"]: int(r["terms"][0]) for r in told.collect()}
+    assert len(got) == 32 and got[31] >= 3_000_000
+    assert all(n <= features.CHARACTERS for i, n in got.items() if i < 30)

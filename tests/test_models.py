@@ -1,6 +1,7 @@
 """Invariants of clusters, topics and the classifier; scoring with passed functions."""
 
 import datetime as dt
+import math
 import tracemalloc
 from types import SimpleNamespace
 
@@ -75,6 +76,26 @@ def test_odd_entries(spark, monkeypatch, fit, value):
     assert len(spark.catalog.listTables()) == before
 
 
+@pytest.mark.parametrize("fit, value", [(models.lda, "tf")])
+def test_rounds_move_no_row_per_term(spark, monkeypatch, fit, value):
+    """Blocks and parts send each other one row, however many terms they share."""
+    monkeypatch.setattr(factors, "ENTRIES", 500)
+    rows = [(i, f"t{(i * 7 + j * j) % 400}", 1.0 + j % 3) for i in range(40) for j in range(50)]
+    df = spark.createDataFrame(rows, f"id int, term string, {value} double").groupBy("id", "term").agg(F.sum(value).alias(value))
+    staged, stage = {}, factors.stage
+
+    def noted(df, name, **options):
+        out = stage(df, name, **options)
+        staged.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(factors, "stage", noted)
+    found = fit(df, "id", k=2, rounds=2)
+    assert found.terms.count() == df.select("term").distinct().count() > 100
+    blocks = max(math.ceil(df.count() / 500), 1)
+    assert blocks > 2 and staged["topic_sums"] and max(staged["topic_sums"]) <= blocks * (blocks + 1)
+
+
 def test_nmf(corpus):
     counts = features.term_counts(corpus.select("id", word_tokens("text").alias("t")), "id", "t")
     weights = features.tfidf_l2(counts, corpus, "id")

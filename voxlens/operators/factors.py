@@ -1,16 +1,16 @@
 """Topic factors of sparse (key, term, value) tables: non-negative factors and LDA.
 
 Both fit documents x topics and terms x topics tables. The entries are packed once into blocks of
-whole documents, up to about ENTRIES entries each, and stay where they are (buckets by block). In a
-round each term's factors go once to every block that holds the term, the factors of the block's
-documents are solved there, and the sums per term come back. So a term of nearly all documents is
-one row per block, not per document, and no task or driver holds the vocabulary: the driver sees
-k x k numbers, a task one block and the factors of its terms. The larger the blocks, the fewer rows
-move, as rare terms differ from document to document; terms move as numbers, not as texts.
-
-Document factors are not kept between rounds: for given term factors they are the optimum of a
-convex problem, solved anew in each block. A round is staged, which cuts the lineage; a block
-that is computed again gives the same sums.
+whole documents, up to about ENTRIES entries each, and stay where they are (buckets by block); the terms
+are dealt by hash over parts. In a round each part sends every block the factors of the block's terms,
+the factors of the block's documents are solved there, and the sums per term go back. What a part and a
+block send each other is one row of bytes, in an order both know, so no round moves, sorts or joins a row per
+term. A term of nearly all documents is one number per block and topic, not per document, and no task
+or driver holds the vocabulary: the driver sees k x k numbers, a task one block and the factors of
+its terms, or the terms of one part and what blocks send about them.
+
+Document factors are the optimum of a convex problem for given term factors, solved in each block in each
+round. A round is staged, which cuts the lineage; a block that is computed again gives the same sums.
 """
 
 from __future__ import annotations
@@ -21,16 +21,20 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 from voxlens.session import discard, fresh_path, stage
 
 #: Entries of a block on average, and of blocks that are made smaller to keep all tasks busy. A document
 #: lies in one block whatever its length.
 ENTRIES, FEWEST = 1 << 20, 1 << 17
+#: Blocks per part of the terms, at most; small tables have as many parts as blocks, large ones as many as tasks at least.
+SHARED = 8
 #: Steps of the solution within a block, and the change at which it ends.
 STEPS, SETTLED = 100, 1e-6
 #: Entries that are solved together, and the change at which a document's shares are settled.
@@ -58,39 +62,85 @@ def _names(prefix: str, k: int) -> list[str]:
 
 
 def _start(topic: int, seed: int) -> Column:
-    """A stable positive start value for each term and topic."""
-    return (F.pmod(F.xxhash64("term", F.lit(seed * 1000 + topic)), F.lit(1000)) + 1) / 1000.0
+    """A stable positive start value for each of the terms and a topic."""
+    return F.transform("terms", lambda term: (F.pmod(F.xxhash64(term, F.lit(seed * 1000 + topic)), F.lit(1000)) + 1) / 1000.0)
 
 
-def _pack(entries: pa.Table) -> pa.Table:
-    """One row: the documents and terms of a block, each once, and its entries by their places,
-    document by document."""
-    docs = entries["key"].combine_chunks().dictionary_encode(null_encoding="encode")
-    terms = entries["term"].combine_chunks().dictionary_encode()
-    order = pa.array(np.argsort(docs.indices.to_numpy(), kind="stable"))
+def _one(values) -> pa.Array:
+    """A list of all values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    def one(values) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
+def _bytes(values: np.ndarray) -> pa.Array:
+    return pa.array([values.tobytes()], pa.binary())
+
+
+def _slices(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of the rows of ``values``, cut at ``ends``."""
+    offsets = (ends * values.shape[1] * 8).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _joined(rows: pa.Table, by: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers in ``by`` ascending, where the rows of each one's data end, and these rows of k numbers."""
+    at = rows[by].to_numpy()
+    order = np.argsort(at)
+    data = rows["data"].combine_chunks().take(pa.array(order))
+    lengths = pc.binary_length(data).to_numpy() // (8 * k)
+    return at[order], np.append(0, np.cumsum(lengths)), np.frombuffer(data.buffers()[2], np.float64, int(lengths.sum()) * k).reshape(-1, k)
+
+
+def _numbers(row: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(row[name][0].as_buffer(), kind)
+
+
+def _pack(parts: int) -> Callable[[pa.Table], pa.Table]:
+    """One row of a block: its documents, how many entries each has, its terms by part, and the places and
+    values of its entries, document by document."""
+
+    def pack(entries: pa.Table) -> pa.Table:
+        docs = entries["key"].combine_chunks().dictionary_encode(null_encoding="encode")
+        terms = entries["term"].combine_chunks().dictionary_encode()
+        part = (pd.util.hash_array(terms.dictionary.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(parts)).astype(np.int64)
+        sorted_ = np.argsort(part, kind="stable")
+        place = np.empty(len(part), np.int32)
+        place[sorted_] = np.arange(len(part), dtype=np.int32)
+        ends = pa.array(np.append(0, np.cumsum(np.bincount(part, minlength=parts))), pa.int32())
+        doc = docs.indices.to_numpy()
+        order = np.argsort(doc, kind="stable")
+        return pa.table({
+            "block": entries["block"].slice(0, 1), "docs": _one(docs.dictionary),
+            "terms": _one(pa.ListArray.from_arrays(ends, terms.dictionary.take(pa.array(sorted_)))),
+            "n": _bytes(np.bincount(doc, minlength=len(docs.dictionary))), "t": _bytes(place[terms.indices.to_numpy()[order]]),
+            "v": _bytes(entries["value"].to_numpy()[order]),
+        })
+
+    return pack
+
+
+def _index(rows: pa.Table) -> pa.Table:
+    """One row of a part: its terms, each once, and where those of each block stand among them."""
+    rows = rows.sort_by("block")
+    words = rows["words"].combine_chunks()
+    terms = words.flatten().dictionary_encode()
     return pa.table({
-        "block": entries["block"].slice(0, 1), "docs": one(docs.dictionary), "terms": one(terms.dictionary),
-        "d": one(docs.indices.cast(pa.int32()).take(order)), "t": one(terms.indices.cast(pa.int32()).take(order)),
-        "v": one(entries["value"].combine_chunks().take(order)),
+        "part": rows["part"].slice(0, 1), "terms": _one(terms.dictionary), "blocks": _bytes(rows["block"].to_numpy()),
+        "ends": _bytes(np.append(0, np.cumsum(pc.list_value_length(words).to_numpy())).astype(np.int64)),
+        "places": _bytes(terms.indices.to_numpy().astype(np.int32)),
     })
 
 
 @contextmanager
-def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, DataFrame, DataFrame]]:
-    """The blocks, in buckets by block, (word, block, pos), in buckets by word: a round moves
-    neither; and (word, term), the number of each term. All are removed at the end, also after a
-    failure."""
+def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The blocks, in buckets by block, and the parts of the terms, in buckets by part: a round moves
+    neither. All are removed at the end, also after a failure."""
     spark, made = df.sparkSession, []
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def bucketed(rows: DataFrame, by: str) -> DataFrame:
+    def bucketed(rows: DataFrame, by: str, n: int) -> DataFrame:
         name = f"topic_{by}_{uuid.uuid4().hex}"
         made.append(name)
-        buckets = min(parts, count)
+        buckets = min(tasks, n)
         rows.repartition(buckets, by).write.bucketBy(buckets, by).option("path", fresh_path(spark, name)).saveAsTable(name)
         return spark.table(name)
 
@@ -99,19 +149,18 @@ def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, Da
             F.col(key).alias("key"), "term", F.col(value).cast("double").alias("value")
         ).where("term is not null and value is not null and value <> 0"), "topic_entries")
         n = entries.count()
-        count = max(1, math.ceil(n / ENTRIES), min(parts, math.ceil(n / FEWEST)))
+        count = max(1, math.ceil(n / ENTRIES), min(tasks, math.ceil(n / FEWEST)))
+        parts = max(min(tasks, count), math.ceil(count / SHARED))
         dealt = entries.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(count)))
         schema = StructType([
             StructField("block", LongType()), StructField("docs", ArrayType(entries.schema["key"].dataType)),
-            StructField("terms", ArrayType(StringType())), StructField("d", ArrayType(IntegerType())),
-            StructField("t", ArrayType(IntegerType())), StructField("v", ArrayType(DoubleType())),
+            StructField("terms", ArrayType(ArrayType(StringType()))), *[StructField(c, BinaryType()) for c in ("n", "t", "v")],
         ])
-        blocks = bucketed(dealt.groupBy("block").applyInArrow(_pack, schema), "block")
+        blocks = bucketed(dealt.groupBy("block").applyInArrow(_pack(parts), schema), "block", count)
         discard(entries)
-        held = blocks.select(F.posexplode("terms").alias("pos", "term"), "block")
-        words = stage(held.select("term").distinct().select(F.monotonically_increasing_id().alias("word"), "term"), "topic_words")
-        yield blocks, bucketed(held.join(words, "term").select("word", "block", "pos"), "word"), words
-        discard(words)
+        held = blocks.select("block", F.posexplode("terms").alias("part", "words")).where(F.size("words") > 0)
+        schema = "part int, terms array<string>, blocks binary, ends binary, places binary"
+        yield blocks, bucketed(held.groupBy("part").applyInArrow(_index, schema), "part", parts)
     finally:
         for name in made:
             if spark.catalog.tableExists(name):
@@ -120,93 +169,107 @@ def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, Da
                 discard(table)
 
 
-def _block(terms: pa.Table, block: pa.Table, k: int):
-    """(words, places of documents and terms, values, factors of the terms) of a packed block."""
-    d, t, v = (block[c].combine_chunks().values.to_numpy() for c in ("d", "t", "v"))
-    pos = terms["pos"].to_numpy()
-    words, h = np.empty(len(pos), np.int64), np.empty((len(pos), k))
-    words[pos] = terms["word"].to_numpy()
-    for i, name in enumerate(_names("h", k)):
-        h[pos, i] = terms[name].to_numpy()
-    return words, d, t, v, h
+#: Rows that blocks and parts send each other: the numbers of a block's terms of one part. What a part keeps has
+#: block -1, what a block keeps (the factors of its documents) part -1; there ``whole`` is what is added up over all.
+ROWS = "block bigint, part int, data binary, whole array<double>"
 
 
-def _starts(d: np.ndarray) -> np.ndarray:
-    """Where each document begins; entries lie document by document."""
-    return np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+def _rows(block, part, values: np.ndarray, ends: np.ndarray, whole: np.ndarray) -> pa.Table:
+    """The first row is what is kept; ``block`` or ``part`` is one number for all."""
+    n = len(ends) - 1
+    return pa.table({
+        "block": pa.array(np.broadcast_to(block, n).astype(np.int64)), "part": pa.array(np.broadcast_to(part, n).astype(np.int32)),
+        "data": _slices(values, ends), "whole": pa.array([np.ravel(whole).tolist()] + [None] * (n - 1), pa.list_(pa.float64())),
+    })
 
 
-Solve = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, list[float]]]
+#: Of the entries per document, the places and values of entries, the factors of terms and those of documents before.
+Solve = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: Of sums per term and the factors before: new factors, and what is added up over all terms.
+Update = Callable[[np.ndarray, np.ndarray | None], tuple[np.ndarray, np.ndarray]]
 
 
-def _sums(blocks: DataFrame, needs: DataFrame, tops: DataFrame, k: int, solve: Solve, beside: bool = False) -> DataFrame:
-    """(word, at, s0, ...): sums per term over all blocks, and with ``beside`` the factors h0, ... they
-    were found with. Rows without a word hold the sums over all documents, k of them in a row."""
-    names = _names("h", k)
+def _sums(blocks: DataFrame, tops: DataFrame, k: int, solve: Solve, scale: np.ndarray, before: DataFrame | None = None) -> DataFrame:
+    """From the factors of the terms, divided by ``scale``: the factors of a block's documents and its sums
+    per term. ``before`` holds the documents of the round before."""
 
-    def run(terms: pa.Table, block: pa.Table) -> pa.Table:
-        words, d, t, v, h = _block(terms, block, k)
-        _, sums, whole = solve(d, t, v, h)
-        more = -(-len(whole) // k)
-        whole = np.append(whole, np.zeros(more * k - len(whole))).reshape(more, k)
-        columns = {"word": pa.concat_arrays([pa.array(words), pa.nulls(more, pa.int64())]),
-                   "at": np.append(np.zeros(len(words), np.int32), np.arange(more, dtype=np.int32))}
-        for i in range(k):
-            columns[f"s{i}"] = np.append(sums[:, i], whole[:, i])
-        for i, name in enumerate(names if beside else []):
-            columns[name] = np.append(h[:, i], np.zeros(more))
-        return pa.table(columns)
+    def run(mail: pa.Table, block: pa.Table) -> pa.Table:
+        part, ends, values = _joined(mail, "part", k)
+        kept = int(ends[1]) if part[0] < 0 else 0
+        if part[0] < 0:
+            part, ends = part[1:], ends[1:] - kept
+        w, sums, whole = solve(_numbers(block, "n", np.int64), _numbers(block, "t", np.int32), _numbers(block, "v", np.float64),
+                               values[kept:] / scale, values[:kept] if kept else None)
+        return _rows(block["block"][0].as_py(), np.append(-1, part), np.concatenate([w, sums]), np.append(0, ends + len(w)), whole)
 
-    held = needs.join(tops.hint("shuffle_hash"), "word").select("block", "pos", "word", *names)
-    schema = "word bigint, at int, " + ", ".join(f"{c} double" for c in _names("s", k) + names * beside)
-    found = held.groupBy("block").cogroup(blocks.select("block", "d", "t", "v").groupBy("block")).applyInArrow(run, schema)
-    return stage(found.groupBy("word", "at").agg(
-        *[F.sum(c).alias(c) for c in _names("s", k)], *[F.max(c).alias(c) for c in names * beside]), "topic_sums")
+    mail = tops.where("block >= 0").select("block", "part", "data")
+    if before is not None:
+        mail = mail.union(before.where("part < 0").select("block", "part", "data"))
+    return stage(mail.groupBy("block").cogroup(blocks.select("block", "n", "t", "v").groupBy("block")).applyInArrow(run, ROWS), "topic_sums")
 
 
-def _whole(sums: DataFrame, k: int, totals: int) -> np.ndarray:
-    """The sums over all documents."""
-    rows = sums.where("word is null").select("at", *_names("s", k)).orderBy("at").collect()
-    return np.array([x for row in rows for x in row[1:]] if rows else [0.0] * totals, dtype=float)[:totals]
+def _sent(part: pa.Table, h: np.ndarray, whole: np.ndarray) -> pa.Table:
+    """The factors of a part's terms, and those that each block needs."""
+    blocks, ends, places = (_numbers(part, c, kind) for c, kind in (("blocks", np.int64), ("ends", np.int64), ("places", np.int32)))
+    return _rows(np.append(-1, blocks), part["part"][0].as_py(), np.concatenate([h, h[places]]), np.append(0, ends + len(h)), whole)
 
 
-def _documents(blocks: DataFrame, needs: DataFrame, tops: DataFrame, key: str, k: int, solve: Solve) -> DataFrame:
-    """(key, w0, w1, ...) for the last factors of the terms."""
-    names = _names("w", k)
+def _updated(parts: DataFrame, sums: DataFrame, k: int, update: Update, before: DataFrame | None = None) -> DataFrame:
+    """New factors of the terms from the sums of all blocks and, if given, the factors before."""
 
-    def run(terms: pa.Table, block: pa.Table) -> pa.Table:
-        w = solve(*_block(terms, block, k)[1:])[0]
-        return pa.table({key: block["docs"].combine_chunks().values} | {c: w[:, i] for i, c in enumerate(names)})
+    def run(mail: pa.Table, part: pa.Table) -> pa.Table:
+        block, ends, values = _joined(mail, "block", k)
+        kept = int(ends[1]) if block[0] < 0 else 0
+        places = _numbers(part, "places", np.int32)
+        found = np.column_stack([np.bincount(places, x) for x in values[kept:].T])
+        return _sent(part, *update(found, values[:kept] if kept else None))
 
-    kind = blocks.schema["docs"].dataType.elementType
-    schema = StructType([StructField(key, kind)] + [StructField(c, DoubleType()) for c in names])
-    held = needs.join(tops.hint("shuffle_hash"), "word").select("block", "pos", "word", *_names("h", k))
-    packed = blocks.select("block", "docs", "d", "t", "v")
-    return stage(held.groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(run, schema), "topic_documents")
+    mail = sums.where("part >= 0").select("block", "part", "data")
+    if before is not None:
+        mail = mail.union(before.where("block < 0").select("block", "part", "data"))
+    held = parts.select("part", "blocks", "ends", "places")
+    return stage(mail.groupBy("part").cogroup(held.groupBy("part")).applyInArrow(run, ROWS), "topic_factors")
 
 
-def _updated(rows: DataFrame, k: int, prefix: str, new: Callable[..., np.ndarray], beside: bool = False) -> DataFrame:
-    """(word, h0, h1, ...): new factors from the sums (or start values) and, with ``beside``, the factors
-    before. The numbers of a round stay out of the plan, so its compiled code serves all rounds."""
-    names, of = _names("h", k), _names(prefix, k)
-    given = [of, names] if beside else [of]
+def _started(parts: DataFrame, k: int, seed: int, update: Update) -> DataFrame:
+    """The factors to start with."""
+    names = _names("h", k)
+
+    def run(part: pa.Table) -> pa.Table:
+        return _sent(part, *update(np.column_stack([part[c].combine_chunks().values.to_numpy() for c in names]), None))
+
+    starts = [_start(i, seed).alias(c) for i, c in enumerate(names)]
+    return stage(parts.select("part", "blocks", "ends", "places", *starts).groupBy("part").applyInArrow(run, ROWS), "topic_factors")
+
+
+def _whole(rows: DataFrame, n: int) -> np.ndarray:
+    """What is added up over all blocks or parts."""
+    found = rows.where("whole is not null").select(F.posexplode("whole").alias("at", "x")).groupBy("at").agg(F.sum("x")).collect()
+    out = np.zeros(n)
+    for at, x in found:
+        out[at] = x
+    return out
+
+
+def _named(held: DataFrame, by: str, names: str, rows: DataFrame, key: str, prefix: str, k: int, scale: np.ndarray) -> DataFrame:
+    """(key, prefix0, prefix1, ...): the documents of blocks or the terms of parts, with the factors they keep."""
 
-    def run(batches):
-        for batch in batches:
-            values = new(*(np.column_stack([batch[c].to_numpy() for c in columns]) for columns in given))
-            yield pa.RecordBatch.from_arrays([batch["word"], *(pa.array(values[:, i]) for i in range(k))], ["word", *names])
+    def run(kept: pa.Table, place: pa.Table) -> pa.Table:
+        x = _joined(kept, by, k)[2] / scale
+        return pa.table({key: place[names].combine_chunks().values} | {f"{prefix}{i}": x[:, i] for i in range(k)})
 
-    wanted = ["word", *of, *(names if beside else [])]
-    return rows.where("word is not null").select(*wanted).mapInArrow(run, "word bigint, " + ", ".join(f"{c} double" for c in names))
+    kind = held.schema[names].dataType.elementType
+    schema = StructType([StructField(key, kind)] + [StructField(c, DoubleType()) for c in _names(prefix, k)])
+    kept = rows.where("whole is not null").select(by, "data")
+    return stage(kept.groupBy(by).cogroup(held.select(by, names).groupBy(by)).applyInArrow(run, schema), f"topic_{names}")
 
 
 def _least_squares(gram: np.ndarray) -> Solve:
     """Non-negative least squares for every document by turns over the topics."""
     k = len(gram)
 
-    def solve(d, t, v, h):
-        starts = _starts(d)
-        counts = np.diff(np.append(starts, len(d)))
+    def solve(counts, t, v, h, before):
+        starts = np.cumsum(counts) - counts
         num = np.column_stack([np.add.reduceat(v * c[t], starts) for c in np.ascontiguousarray(h.T)])
         w = np.zeros((len(starts), k))
         for _ in range(STEPS):
@@ -221,7 +284,7 @@ def _least_squares(gram: np.ndarray) -> Solve:
         inner = w.T @ w
         error = float(v @ v - 2 * (w * num).sum() + (inner * gram).sum())
         sums = np.column_stack([np.bincount(t, v * np.repeat(w[:, i], counts), len(h)) for i in range(k)])
-        return w, sums, [*inner.ravel(), error]
+        return w, sums, np.append(inner, error)
 
     return solve
 
@@ -233,32 +296,29 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
     Rows without a term or weight are left out, a null key is a document like others,
     an empty table has empty factors.
     """
-    h = _names("h", k)
-    with _packed(weights, key, "weight") as (blocks, needs, words):
-        tops = words.select("word", *[_start(i, seed).alias(c) for i, c in enumerate(h)])
-        held, errors = tops, []
-
-        def gram() -> np.ndarray:
-            row = tops.agg(*[F.coalesce(F.sum(F.col(a) * F.col(b)), F.lit(0.0)) for a in h for b in h]).first()
-            return np.array(row, dtype=float).reshape(k, k)
-
-        def inner_of(sums: DataFrame) -> np.ndarray:
-            whole = _whole(sums, k, k * k + 1)
-            errors.append(float(whole[-1]))
-            return whole[:-1].reshape(k, k)
-
-        for _ in range(rounds):
-            sums = _sums(blocks, needs, tops, k, _least_squares(gram()), beside=True)
-            inner = inner_of(sums)
-            tops = _updated(sums, k, "s", lambda s, h, inner=inner: h * s / (h @ inner + 1e-12), beside=True)
-            if held is not None and errors[1:]:
-                discard(held)
-            held = sums
-        last = _least_squares(gram())
-        final = stage(tops, "topic_factors")
-        inner_of(_sums(blocks, needs, final, k, last))
-        named = stage(final.join(words, "word").select("term", *h), "topic_terms")
-        return Factors(_documents(blocks, needs, final, key, k, last), named, errors[1:])
+    with _packed(weights, key, "weight") as (blocks, parts):
+        one, errors = np.ones(k), []
+        tops = _started(parts, k, seed, lambda h, _: (h, h.T @ h))
+        for last in range(rounds + 1):
+            sums = _sums(blocks, tops, k, _least_squares(_whole(tops, k * k).reshape(k, k)), one)
+            *inner, error = _whole(sums, k * k + 1)
+            errors.append(float(error))
+            if last == rounds:
+                break
+            inner = np.reshape(inner, (k, k))
+
+            def update(s, h, inner=inner):
+                new = h * s / (h @ inner + 1e-12)
+                return new, new.T @ new
+
+            held, tops = tops, _updated(parts, sums, k, update, tops)
+            discard(held)
+            discard(sums)
+        found = Factors(_named(blocks, "block", "docs", sums, key, "w", k, one),
+                        _named(parts, "part", "terms", tops, "term", "h", k, one), errors[1:])
+        discard(tops)
+        discard(sums)
+        return found
 
 
 def _runs(starts: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
@@ -270,12 +330,11 @@ def _runs(starts: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
         at = stop
 
 
-def _shares(v: np.ndarray, held: list[np.ndarray], counts: np.ndarray, alpha: float) -> np.ndarray:
-    """Topic shares (topic, document) by expectation and maximisation. A document leaves as soon as its
-    shares are settled, so steps are only made for those that are not."""
-    k = len(held)
-    theta = np.full((k, len(counts)), 1.0 / k)
-    own, now, length = np.arange(len(counts)), theta, np.add.reduceat(v, np.cumsum(counts) - counts) + k * alpha
+def _shares(v: np.ndarray, held: list[np.ndarray], counts: np.ndarray, alpha: float, theta: np.ndarray) -> np.ndarray:
+    """Topic shares (topic, document) by expectation and maximisation from ``theta``. A document leaves as soon
+    as its shares are settled, so steps are only made for those that are not."""
+    theta = theta.copy()
+    own, now, length = np.arange(len(counts)), theta, np.add.reduceat(v, np.cumsum(counts) - counts) + len(held) * alpha
     for _ in range(STEPS):
         part = [np.repeat(x, counts) * c for x, c in zip(now, held)]
         rate = v / sum(part[1:], part[0])
@@ -293,25 +352,26 @@ def _shares(v: np.ndarray, held: list[np.ndarray], counts: np.ndarray, alpha: fl
 
 
 def _mixtures(alpha: float) -> Solve:
-    """Topic shares of every document, and what they add up to."""
-
-    def solve(d, t, v, h):
-        k, starts = h.shape[1], _starts(d)
-        counts, columns = np.diff(np.append(starts, len(d))), np.ascontiguousarray(h.T)
-        theta, sums, whole = np.empty((len(starts), k)), np.zeros((k, len(h))), np.zeros(k + 1)
-        for at, stop in _runs(starts, len(d)):
+    """Topic shares of every document, and what they add up to. For given term factors there is one optimum, so
+    the shares of the round before only save steps."""
+
+    def solve(counts, t, v, h, before):
+        k, starts = h.shape[1], np.cumsum(counts) - counts
+        theta = np.full((k, len(counts)), 1.0 / k) if before is None else np.ascontiguousarray(before.T)
+        columns, share, whole = np.ascontiguousarray(h.T), np.empty((k, len(v))), np.zeros(k + 1)
+        for at, stop in _runs(starts, len(v)):
             span = slice(starts[at], starts[at] + counts[at:stop].sum())
             value, held = v[span], [c[t[span]] for c in columns]
-            found = _shares(value, held, counts[at:stop], alpha)
+            found = _shares(value, held, counts[at:stop], alpha, theta[:, at:stop])
             part = [np.repeat(x, counts[at:stop]) * c for x, c in zip(found, held)]
             mixed = sum(part[1:], part[0])
+            rate = value / mixed
             for i, p in enumerate(part):
-                share = p * (value / mixed)
-                np.add.at(sums[i], t[span], share)
-                whole[i] += share.sum()
+                share[i, span] = p * rate
             whole[k] += value @ np.log(mixed) + alpha * np.log(found).sum()
-            theta[at:stop] = found.T
-        return theta, sums.T, whole
+            theta[:, at:stop] = found
+        whole[:k] = share.sum(axis=1)
+        return theta.T, np.column_stack([np.bincount(t, x, len(h)) for x in share]), whole
 
     return solve
 
@@ -325,31 +385,28 @@ def lda(counts: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int = 4
     Null terms, null and zero counts are left out, a null key is a document like others, an
     empty table has empty factors.
     """
-    h = _names("h", k)
-    with _packed(counts, key, value) as (blocks, needs, words):
-        start = stage(words.select("word", *[_start(i, seed).alias(c) for i, c in enumerate(h)]), "topic_sums")
-        solve, bounds = _mixtures(alpha), []
-
-        def shares(rows: DataFrame, prefix: str, prior: float) -> tuple[DataFrame, float]:
-            """Columns divided by their sums, and the log of the prior of the result."""
-            of = [F.col(c) + prior for c in _names(prefix, k)]
-            row = rows.where("word is not null").agg(F.count(F.lit(1)), *[F.sum(c) for c in of], *[F.sum(F.log(c)) for c in of]).first()
-            n, sums, logs = row[0], np.array(row[1 : k + 1], dtype=float), row[k + 1 :]
-            shared = _updated(rows, k, prefix, lambda s, sums=sums: (s + prior) / sums)
-            return shared, eta * sum(l - n * math.log(x) for l, x in zip(logs, sums)) if n else 0.0
-
-        def bound(sums: DataFrame, prior: float) -> None:
-            bounds.append(float(_whole(sums, k, k + 1)[k]) + prior)
-
-        held = start
-        tops, prior = shares(start, "h", 0.0)
-        for _ in range(rounds):
-            sums = _sums(blocks, needs, tops, k, solve)
-            bound(sums, prior)
-            tops, prior = shares(sums, "s", eta)
+    with _packed(counts, key, value) as (blocks, parts):
+        solve, bounds, before = _mixtures(alpha), [], None
+
+        def shared(prior: float) -> Update:
+            """Sums with their prior, and of those per topic the number, sum and sum of logs."""
+            return lambda s, _: (s + prior, np.concatenate([[len(s)], (s + prior).sum(axis=0), np.log(s + prior).sum(axis=0)]))
+
+        tops = _started(parts, k, seed, shared(0.0))
+        for last in range(rounds + 1):
+            n, *of = _whole(tops, 2 * k + 1)
+            scale = np.array(of[:k]) if n else np.ones(k)
+            prior = eta * float(sum(of[k:]) - n * np.log(scale).sum())
+            sums = _sums(blocks, tops, k, solve, scale, before)
+            bounds.append(float(_whole(sums, k + 1)[k]) + prior)
+            if before is not None:
+                discard(before)
+            if last == rounds:
+                break
+            held, tops, before = tops, _updated(parts, sums, k, shared(eta)), sums
             discard(held)
-            held = sums
-        final = stage(tops, "topic_factors")
-        bound(_sums(blocks, needs, final, k, solve), prior)
-        named = stage(final.join(words, "word").select("term", *h), "topic_terms")
-        return Factors(_documents(blocks, needs, final, key, k, solve), named, bounds[1:])
+        found = Factors(_named(blocks, "block", "docs", sums, key, "w", k, np.ones(k)),
+                        _named(parts, "part", "terms", tops, "term", "h", k, scale), bounds[1:])
+        discard(tops)
+        discard(sums)
+        return found

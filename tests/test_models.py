@@ -234,6 +234,24 @@ def test_documents_are_solved_apart(spark):
         assert factors._sums(blocks, needs, tops, 3, solve).columns == ["word", "at", "s0", "s1", "s2"]
 
 
+def test_a_round_in_long_form(spark, monkeypatch):
+    """Sums that blocks and parts send each other are those of all documents solved together."""
+    monkeypatch.setattr(factors, "ENTRIES", 20)
+    draw = np.random.default_rng(5)
+    docs = [np.sort(draw.choice(40, size, replace=False)) for size in (3, 20, 7, 1, 30)]
+    h, solve = draw.random((40, 2)) + 0.01, factors._mixtures(0.1)
+    d = np.repeat(np.arange(len(docs)), [len(t) for t in docs])
+    _, want, whole = solve(d, np.concatenate(docs), np.ones(len(d)), h)
+    rows = spark.createDataFrame([(i, f"t{t}", 1.0) for i, ts in enumerate(docs) for t in ts.tolist()], "doc_id long, term string, weight double")
+    with factors._packed(rows, "doc_id", "weight") as (blocks, needs, words):
+        given = spark.createDataFrame([(f"t{i}", *x) for i, x in enumerate(h.tolist())], "term string, h0 double, h1 double")
+        sums = factors._sums(blocks, needs, words.join(given, "term"), 2, solve)
+        found = {r["term"]: (r["s0"], r["s1"]) for r in sums.join(words, "word").collect()}
+        ends = [x for r in sums.where("word is null").orderBy("at").collect() for x in r[2:]]
+    assert set(found) == {f"t{t}" for t in np.concatenate(docs)}
+    assert all(np.allclose(x, want[int(t[1:])]) for t, x in found.items()) and np.allclose(ends[:3], whole)
+
+
 def test_blocks_grow_with_the_entries(spark, monkeypatch):
     """Large tables have large blocks, so a term is sent to few of them; small ones keep tasks busy."""
     rows = spark.range(4000).selectExpr("id div 4 as doc_id", "concat('t', id % 7) as term", "1.0d as weight")

@@ -35,10 +35,12 @@ from voxlens.session import discard, fresh_path, stage
 ENTRIES, FEWEST = 1 << 20, 1 << 17
 #: Blocks per part of the terms, at most; small tables have as many parts as blocks, large ones as many as tasks at least.
 SHARED = 8
+#: Bits of a term's number that are its place in its part.
+PLACE = 32
 #: Steps of the solution within a block, and the change at which it ends.
 STEPS, SETTLED = 100, 1e-6
-#: Entries that are solved together, and the change at which a document's shares are settled.
-RUN, STILL = 1 << 16, 1e-7
+#: Entries that are solved together, few enough for a core's own cache, and the change at which a document's shares are settled.
+RUN, STILL = 1 << 13, 1e-7
 
 
 class Factors:
@@ -131,9 +133,9 @@ def _index(rows: pa.Table) -> pa.Table:
 
 
 @contextmanager
-def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, DataFrame]]:
+def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, DataFrame, DataFrame]]:
     """The blocks, in buckets by block, and the parts of the terms, in buckets by part: a round moves
-    neither. All are removed at the end, also after a failure."""
+    neither; and (word, term), the number of each term: its part and place in it. All are removed at the end, also after a failure."""
     spark, made = df.sparkSession, []
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -160,7 +162,9 @@ def _packed(df: DataFrame, key: str, value: str) -> Iterator[tuple[DataFrame, Da
         discard(entries)
         held = blocks.select("block", F.posexplode("terms").alias("part", "words")).where(F.size("words") > 0)
         schema = "part int, terms array<string>, blocks binary, ends binary, places binary"
-        yield blocks, bucketed(held.groupBy("part").applyInArrow(_index, schema), "part", parts)
+        needs = bucketed(held.groupBy("part").applyInArrow(_index, schema), "part", parts)
+        words = needs.select("part", F.posexplode("terms").alias("at", "term"))
+        yield blocks, needs, words.select((F.shiftleft(F.col("part").cast("long"), PLACE) + F.col("at")).alias("word"), "term")
     finally:
         for name in made:
             if spark.catalog.tableExists(name):
@@ -183,13 +187,14 @@ def _rows(block, part, values: np.ndarray, ends: np.ndarray, whole: np.ndarray)
     })
 
 
-#: Of the entries per document, the places and values of entries, the factors of terms and those of documents before.
-Solve = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: Of the documents, terms and values of entries, document by document, the factors of terms and, if given, those of
+#: documents before: factors of documents, sums per term, and what is added up over all documents.
+Solve = Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray]]
 #: Of sums per term and the factors before: new factors, and what is added up over all terms.
 Update = Callable[[np.ndarray, np.ndarray | None], tuple[np.ndarray, np.ndarray]]
 
 
-def _sums(blocks: DataFrame, tops: DataFrame, k: int, solve: Solve, scale: np.ndarray, before: DataFrame | None = None) -> DataFrame:
+def _solved(blocks: DataFrame, tops: DataFrame, k: int, solve: Solve, scale: np.ndarray, before: DataFrame | None = None) -> DataFrame:
     """From the factors of the terms, divided by ``scale``: the factors of a block's documents and its sums
     per term. ``before`` holds the documents of the round before."""
 
@@ -198,8 +203,9 @@ def _sums(blocks: DataFrame, tops: DataFrame, k: int, solve: Solve, scale: np.nd
         kept = int(ends[1]) if part[0] < 0 else 0
         if part[0] < 0:
             part, ends = part[1:], ends[1:] - kept
-        w, sums, whole = solve(_numbers(block, "n", np.int64), _numbers(block, "t", np.int32), _numbers(block, "v", np.float64),
-                               values[kept:] / scale, values[:kept] if kept else None)
+        counts = _numbers(block, "n", np.int64)
+        w, sums, whole = solve(np.repeat(np.arange(len(counts)), counts), _numbers(block, "t", np.int32),
+                               _numbers(block, "v", np.float64), values[kept:] / scale, values[:kept] if kept else None)
         return _rows(block["block"][0].as_py(), np.append(-1, part), np.concatenate([w, sums]), np.append(0, ends + len(w)), whole)
 
     mail = tops.where("block >= 0").select("block", "part", "data")
@@ -242,6 +248,32 @@ def _started(parts: DataFrame, k: int, seed: int, update: Update) -> DataFrame:
     return stage(parts.select("part", "blocks", "ends", "places", *starts).groupBy("part").applyInArrow(run, ROWS), "topic_factors")
 
 
+def _sums(blocks: DataFrame, needs: DataFrame, tops: DataFrame, k: int, solve: Solve) -> DataFrame:
+    """(word, at, s0, ...): one round in long form, from (word, h0, h1, ...). Rows without a word hold the sums over
+    all documents, k of them in a row."""
+
+    def pack(rows: pa.Table, part: pa.Table) -> pa.Table:
+        h = np.empty((rows.num_rows, k))
+        h[rows["word"].to_numpy() % (1 << PLACE)] = np.column_stack([rows[c].to_numpy() for c in _names("h", k)])
+        return _sent(part, h, np.zeros(1))
+
+    def unpack(kept: pa.Table) -> pa.Table:
+        part, _, s = _joined(kept, "part", k)
+        return pa.table({"word": (int(part[0]) << PLACE) + np.arange(len(s)), "at": np.zeros(len(s), np.int32)}
+                        | {c: s[:, i] for i, c in enumerate(_names("s", k))})
+
+    part = F.shiftright("word", PLACE).cast("int").alias("part")
+    mail = tops.select(part, "word", *_names("h", k)).groupBy("part").cogroup(
+        needs.select("part", "blocks", "ends", "places").groupBy("part")).applyInArrow(pack, ROWS)
+    solved = _solved(blocks, mail, k, solve, np.ones(k))
+    added = _updated(needs, solved, k, lambda s, _: (s, np.zeros(1)))
+    schema = "word bigint, at int, " + ", ".join(f"{c} double" for c in _names("s", k))
+    long = added.where("block < 0").select("part", "data").groupBy("part").applyInArrow(unpack, schema)
+    whole = solved.select(F.posexplode("whole").alias("i", "x")).groupBy(F.floor(F.col("i") / k).cast("int").alias("at")).agg(
+        *[F.sum(F.when(F.col("i") % k == i, F.col("x")).otherwise(0.0)).alias(c) for i, c in enumerate(_names("s", k))])
+    return stage(long.union(whole.select(F.lit(None).cast("bigint").alias("word"), "at", *_names("s", k))), "topic_sums")
+
+
 def _whole(rows: DataFrame, n: int) -> np.ndarray:
     """What is added up over all blocks or parts."""
     found = rows.where("whole is not null").select(F.posexplode("whole").alias("at", "x")).groupBy("at").agg(F.sum("x")).collect()
@@ -268,7 +300,8 @@ def _least_squares(gram: np.ndarray) -> Solve:
     """Non-negative least squares for every document by turns over the topics."""
     k = len(gram)
 
-    def solve(counts, t, v, h, before):
+    def solve(d, t, v, h, before=None):
+        counts = np.bincount(d)
         starts = np.cumsum(counts) - counts
         num = np.column_stack([np.add.reduceat(v * c[t], starts) for c in np.ascontiguousarray(h.T)])
         w = np.zeros((len(starts), k))
@@ -296,11 +329,11 @@ def nmf(weights: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int =
     Rows without a term or weight are left out, a null key is a document like others,
     an empty table has empty factors.
     """
-    with _packed(weights, key, "weight") as (blocks, parts):
+    with _packed(weights, key, "weight") as (blocks, parts, _):
         one, errors = np.ones(k), []
         tops = _started(parts, k, seed, lambda h, _: (h, h.T @ h))
         for last in range(rounds + 1):
-            sums = _sums(blocks, tops, k, _least_squares(_whole(tops, k * k).reshape(k, k)), one)
+            sums = _solved(blocks, tops, k, _least_squares(_whole(tops, k * k).reshape(k, k)), one)
             *inner, error = _whole(sums, k * k + 1)
             errors.append(float(error))
             if last == rounds:
@@ -355,7 +388,8 @@ def _mixtures(alpha: float) -> Solve:
     """Topic shares of every document, and what they add up to. For given term factors there is one optimum, so
     the shares of the round before only save steps."""
 
-    def solve(counts, t, v, h, before):
+    def solve(d, t, v, h, before=None):
+        counts = np.bincount(d)
         k, starts = h.shape[1], np.cumsum(counts) - counts
         theta = np.full((k, len(counts)), 1.0 / k) if before is None else np.ascontiguousarray(before.T)
         columns, share, whole = np.ascontiguousarray(h.T), np.empty((k, len(v))), np.zeros(k + 1)
@@ -385,7 +419,7 @@ def lda(counts: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int = 4
     Null terms, null and zero counts are left out, a null key is a document like others, an
     empty table has empty factors.
     """
-    with _packed(counts, key, value) as (blocks, parts):
+    with _packed(counts, key, value) as (blocks, parts, _):
         solve, bounds, before = _mixtures(alpha), [], None
 
         def shared(prior: float) -> Update:
@@ -397,7 +431,7 @@ def lda(counts: DataFrame, key: str, k: int = 3, rounds: int = 20, seed: int = 4
             n, *of = _whole(tops, 2 * k + 1)
             scale = np.array(of[:k]) if n else np.ones(k)
             prior = eta * float(sum(of[k:]) - n * np.log(scale).sum())
-            sums = _sums(blocks, tops, k, solve, scale, before)
+            sums = _solved(blocks, tops, k, solve, scale, before)
             bounds.append(float(_whole(sums, k + 1)[k]) + prior)
             if before is not None:
                 discard(before)
